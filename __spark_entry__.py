@@ -9,8 +9,6 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
-import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -24,8 +22,10 @@ from quillmesh.functions.text import render_postings  # noqa: E402
 from quillmesh.operators import graph as graph_ops  # noqa: E402
 from quillmesh.operators import pairs as pair_ops  # noqa: E402
 from quillmesh.operators import text as text_ops  # noqa: E402
+from quillmesh.operators.skew import spread  # noqa: E402
 from quillmesh.plans import graph, metric, text  # noqa: E402
 from quillmesh.sources.matrices import model_frame  # noqa: E402
+from quillmesh.sources.scratch import scratch_path  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 DIMENSIONS = 64
@@ -39,11 +39,17 @@ DIGITS = 6  # sums run in no fixed order
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).select(
         F.col("doc_id").cast("string").alias("doc"), F.col("source").alias("author"), "text"
     )
 
 
+def document_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        F.col("doc_id").cast("string").alias("doc"), F.col("source").alias("author")
+    )
+
+
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         F.col("l_partkey").alias("src"), F.col("l_suppkey").alias("dst")
@@ -87,13 +93,19 @@ def term_doc_counts(spark, sf_dir):
     return text.term_counts(documents(spark, sf_dir))
 
 
+def _index(spark, sf_dir):
+    return text.inverted_index(
+        documents(spark, sf_dir), size=BLOCK, names=document_list(spark, sf_dir)
+    )
+
+
 def inverted_index(spark, sf_dir):
-    index = text.inverted_index(documents(spark, sf_dir), size=BLOCK)
+    index = _index(spark, sf_dir)
     return index.withColumn("postings", render_postings(F.col("postings")))
 
 
 def postings_roundtrip(spark, sf_dir):
-    index = text.inverted_index(documents(spark, sf_dir), size=BLOCK)
+    index = _index(spark, sf_dir)
     return text_ops.parse_index(text.index_lines(index))
 
 
@@ -103,8 +115,7 @@ def index_by_frequency(spark, sf_dir):
 
 
 def frequent_terms(spark, sf_dir):
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
-    path = f"{folder}/averages-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "averages")
     text.store_averages(documents(spark, sf_dir), path)
     stored = text.stored_averages(spark, path).withColumnRenamed("word", "term")
     return text_ops.above_average(stored, THRESHOLD)
@@ -116,12 +127,11 @@ def top_average_terms(spark, sf_dir):
 
 
 def author_documents(spark, sf_dir):
-    return text_ops.author_documents(documents(spark, sf_dir))
+    return text_ops.author_documents(document_list(spark, sf_dir))
 
 
 def tf_idf(spark, sf_dir):
-    docs = documents(spark, sf_dir)
-    weights = text.tf_idf(docs, docs.select("doc", "author"))
+    weights = text.tf_idf(documents(spark, sf_dir), document_list(spark, sf_dir))
     return weights.withColumn("tf_idf", _round("tf_idf"))
 
 

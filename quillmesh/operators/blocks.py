@@ -9,7 +9,7 @@ Keys with no more than ``size`` items have the one block 0.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 RANGE = "_range"
@@ -31,18 +31,23 @@ def item_splits(items: DataFrame, ranges: int = RANGES) -> list:
     return sorted(set(values[step::step]))[: ranges - 1]
 
 
-def range_of(item: Column, splits: list) -> Column:
-    """Number of splits not above ``item``, found by halving."""
+def with_range(rows: DataFrame, item: str, splits: list) -> DataFrame:
+    """Add RANGE, the number of splits not above the item, found by halving."""
+    if not splits:
+        return rows.withColumn(RANGE, F.lit(0))
 
-    def search(low: int, high: int) -> Column:
+    def search(low: int, high: int) -> str:
         if low == high:
-            return F.lit(low)
+            return str(low)
         middle = (low + high) // 2
-        return F.when(item < F.lit(splits[middle]), search(low, middle)).otherwise(
-            search(middle + 1, high)
+        return (
+            f"CASE WHEN `{item}` < _splits[{middle}] THEN {search(low, middle)} "
+            f"ELSE {search(middle + 1, high)} END"
         )
 
-    return search(0, len(splits))
+    # The indexed literal folds to plain constants.
+    held = rows.withColumn("_splits", F.lit(splits))
+    return held.withColumn(RANGE, F.expr(search(0, len(splits)))).drop("_splits")
 
 
 def list_blocks(rows: DataFrame, key: str, item: str, values: tuple = (),
@@ -73,7 +78,7 @@ def list_blocks(rows: DataFrame, key: str, item: str, values: tuple = (),
     block = F.floor((F.col("_before") + F.col("_rank") - 1) / F.lit(size))
     heads = ["n_items"] + (["total"] if total is not None else [])
     return (
-        ranked.join(offsets, [key, RANGE])
+        ranked.join(offsets.hint("merge"), [key, RANGE])
         .withColumn("block", block.cast("bigint"))
         .groupBy(key, "block")
         .agg(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import BLOCK_SIZE, RANGE, RANGES, item_splits, list_blocks, range_of
+from .blocks import BLOCK_SIZE, RANGES, item_splits, list_blocks, with_range
 from .skew import hot_keys, salted_join
 
 MODES = ("undirected", "directed")
@@ -50,7 +50,7 @@ def adjacency_blocks(edges: DataFrame, mode: str = "undirected",
     """(vertex, block, degree, neighbours), neighbours sorted and distinct."""
     lines = simple_edges(edges, mode)
     splits = item_splits(edges.select("dst"), ranges)
-    rows = both_directions(lines).withColumn(RANGE, range_of(F.col("neighbour"), splits))
+    rows = with_range(both_directions(lines), "neighbour", splits)
     return list_blocks(rows, "vertex", "neighbour", size=size).select(
         "vertex",
         "block",

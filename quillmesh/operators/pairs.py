@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import divide_or_zero, subtract
-from .skew import hot_keys, lookup_join, salted_join
+from .skew import hot_keys, is_small, lookup_join, salted_join
 
 # The numpy helpers travel with the tasks, so executors need no installed copy.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -36,7 +36,8 @@ def difference_pairs(samples: DataFrame, links: DataFrame) -> DataFrame:
     """(i, j, x) for the (i, j) rows of ``links``, from (id, x) samples."""
     at_i = samples.select(F.col("id").alias("i"), F.col("x").alias("_xi"))
     at_j = samples.select(F.col("id").alias("j"), F.col("x").alias("_xj"))
-    both = lookup_join(lookup_join(links, at_i, "i"), at_j, "j")
+    small = is_small(samples)
+    both = lookup_join(lookup_join(links, at_i, "i", small=small), at_j, "j", small=small)
     return both.select("i", "j", subtract(F.col("_xi"), F.col("_xj")).alias("x"))
 
 
@@ -57,9 +58,10 @@ def pair_kernels(pairs: DataFrame, matrix) -> DataFrame:
 
 def with_pair_labels(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """Add same: whether both ends carry one label. A missing label raises."""
+    small = is_small(labels)
     for end in ("i", "j"):
         at_end = labels.select(F.col("id").alias(end), F.col("label").alias(f"_{end}"))
-        pairs = lookup_join(pairs, at_end, end, "left")
+        pairs = lookup_join(pairs, at_end, end, "left", small)
     unlabelled = F.col("_i").isNull() | F.col("_j").isNull()
     message = F.concat(F.lit("no label for a sample of pair "), F.col("i"), F.lit(","), F.col("j"))
     same = F.when(unlabelled, F.raise_error(message)).otherwise(F.col("_i") == F.col("_j"))
@@ -68,9 +70,8 @@ def with_pair_labels(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def with_row_sums(kernels: DataFrame, *sums: Column) -> DataFrame:
     """Attach sums over each i to its pairs; the sums combine map-side."""
-    totals = kernels.groupBy("i").agg(*sums)
-    counts = kernels.groupBy("i").agg(F.count("*").alias("_rows"))
-    return salted_join(kernels, totals, "i", hot_keys(counts, "i", "_rows"))
+    totals = kernels.groupBy("i").agg(*sums, F.count("*").alias("_rows"))
+    return salted_join(kernels, totals, "i", hot_keys(totals, "i", "_rows")).drop("_rows")
 
 
 def pair_probabilities(kernels: DataFrame) -> DataFrame:

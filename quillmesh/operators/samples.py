@@ -46,7 +46,7 @@ def labelled_samples(samples: DataFrame, labels: DataFrame) -> tuple[DataFrame,
     if seen.bare:
         raise ValueError(f"{seen.bare} samples have no label")
     if seen.most > 1:
-        raise ValueError("sample ids repeat")
+        raise ValueError("sample or label ids repeat")
     if seen.low != seen.high:
         raise ValueError(f"vectors differ in length: {seen.low} to {seen.high}")
     return joined, seen.n, seen.low
@@ -74,8 +74,9 @@ def block_cells(samples: DataFrame, blocks: int) -> DataFrame:
     )
     if blocks % 2 == 0 and blocks > 1:
         sent = sent.where(f"step < {half} or block < {half}")
-    conf = samples.sparkSession.conf
-    tasks = min(blocks, int(conf.get("spark.sql.shuffle.partitions")))
+    session = samples.sparkSession
+    tasks = min(blocks, max(int(session.conf.get("spark.sql.shuffle.partitions")),
+                            session.sparkContext.defaultParallelism))
     sent = sent.select(
         ((F.col("block") + F.col("step")) % blocks).alias("target"),
         "own",

@@ -2,26 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A key is hot when it holds more than 1/MAX_HOT_KEYS of the rows, so no data
 # set has more than MAX_HOT_KEYS of them: a table of hot keys always broadcasts.
 MAX_HOT_KEYS = 1000
 SALTS = 64
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out when a scan has fewer partitions than there are cores.
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal rows out when a plain scan has fewer partitions than there are cores.
 
     Such an input is small (each scan partition is bounded), so the extra
     exchange is too; larger inputs are left as they are.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(2 * cores)
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(2 * cores)
 
 
 def hot_keys(counts: DataFrame, key: str, weight: str) -> DataFrame:
@@ -52,13 +54,30 @@ def salted_join(rows: DataFrame, lookup: DataFrame, key: str, hot: DataFrame,
     return dealt.join(copied, [key, "_salt"], how).drop("_salt")
 
 
-def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner",
-                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast the lookup if it is counted small, else a salted shuffle join.
+def is_small(lookup: DataFrame) -> bool:
+    """Whether the rows, counted and weighed, are few enough to broadcast.
 
-    The count stops at ``broadcast_rows + 1`` rows.
+    Looks at no more than BROADCAST_ROWS + 1 rows.
     """
-    if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    weight = sum((_bytes_of(field) for field in lookup.schema), F.lit(0))
+    seen = lookup.limit(BROADCAST_ROWS + 1).agg(
+        F.count("*").alias("rows"), F.coalesce(F.sum(weight), F.lit(0)).alias("bytes")
+    ).first()
+    return seen["rows"] <= BROADCAST_ROWS and seen["bytes"] <= BROADCAST_BYTES
+
+
+def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner",
+                small: bool | None = None) -> DataFrame:
+    """Broadcast the one-row-per-key lookup if it is small, else salt the join."""
+    if is_small(lookup) if small is None else small:
         return rows.join(F.broadcast(lookup), key, how)
     counts = rows.groupBy(key).agg(F.count("*").alias("_rows"))
     return salted_join(rows, lookup, key, hot_keys(counts, key, "_rows"), how)
+
+
+def _bytes_of(field: T.StructField) -> Column:
+    if isinstance(field.dataType, T.ArrayType):
+        return F.coalesce(F.size(field.name) * 8, F.lit(0))
+    if isinstance(field.dataType, T.StringType):
+        return F.coalesce(F.octet_length(field.name), F.lit(0))
+    return F.lit(8)

@@ -7,19 +7,18 @@ from pyspark.sql import functions as F
 
 from ..functions.text import leading_number, render_index_value
 from ..operators import text as ops
-from ..operators.blocks import BLOCK_SIZE, RANGE, RANGES, item_splits, list_blocks, range_of
-from ..operators.skew import spread
+from ..operators.blocks import BLOCK_SIZE, RANGE, RANGES, item_splits, list_blocks, with_range
 from ..sources.keyed_table import put_rows, scan_rows
 
 
 def word_count(docs: DataFrame, text: str = "text") -> DataFrame:
     """(word, n), case-sensitive."""
-    return ops.word_counts(spread(docs.select(text)), text)
+    return ops.word_counts(docs, text)
 
 
 def term_counts(docs: DataFrame, keep: tuple = ()) -> DataFrame:
     """(term, doc, n) - the long form of the index."""
-    return ops.term_counts(spread(docs.select("doc", "text", *keep)), keep)
+    return ops.term_counts(docs, keep)
 
 
 def term_averages(docs: DataFrame) -> DataFrame:
@@ -27,13 +26,16 @@ def term_averages(docs: DataFrame) -> DataFrame:
     return ops.term_averages(term_counts(docs))
 
 
-def inverted_index(docs: DataFrame, size: int = BLOCK_SIZE, ranges: int = RANGES) -> DataFrame:
+def inverted_index(docs: DataFrame, size: int = BLOCK_SIZE, ranges: int = RANGES,
+                   names: DataFrame | None = None) -> DataFrame:
     """(term, block, avg_count, n_docs, postings), postings in document order.
 
     ``avg_count`` and ``n_docs`` are those of the whole term on each block.
+    ``names`` lists the documents (doc) where that is cheaper to scan than
+    ``docs``, as it is for text files.
     """
-    splits = item_splits(docs.select("doc"), ranges)
-    ranged = docs.withColumn(RANGE, range_of(F.col("doc"), splits))
+    splits = item_splits((docs if names is None else names).select("doc"), ranges)
+    ranged = with_range(docs, "doc", splits)
     blocks = list_blocks(term_counts(ranged, (RANGE,)), "term", "doc", ("n",), "n", size)
     return blocks.select(
         "term",

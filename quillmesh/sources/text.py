@@ -19,6 +19,13 @@ def read_documents(spark: SparkSession, path) -> DataFrame:
     )
 
 
+def read_document_names(spark: SparkSession, path) -> DataFrame:
+    """(doc), one row per file; lists the files without reading them."""
+    name = F.element_at(F.split("path", "/"), -1)
+    files = spark.read.format("binaryFile").load(path).select("path")
+    return files.select(document_name(name).alias("doc"))
+
+
 def read_key_values(spark: SparkSession, path) -> DataFrame:
     """(key, value) cut at the first tab; a line without one is all key."""
     parts = F.split("value", "\t", 2)

@@ -24,6 +24,7 @@ from quillmesh.operators import pairs as pair_ops  # noqa: E402
 from quillmesh.operators import text as text_ops  # noqa: E402
 from quillmesh.operators.skew import spread  # noqa: E402
 from quillmesh.plans import graph, metric, text  # noqa: E402
+from quillmesh.sources.keyed_table import scan_rows  # noqa: E402
 from quillmesh.sources.matrices import model_frame  # noqa: E402
 from quillmesh.sources.scratch import scratch_path  # noqa: E402
 
@@ -117,7 +118,7 @@ def index_by_frequency(spark, sf_dir):
 def frequent_terms(spark, sf_dir):
     path = scratch_path(spark, "averages")
     text.store_averages(documents(spark, sf_dir), path)
-    stored = text.stored_averages(spark, path).withColumnRenamed("word", "term")
+    stored = scan_rows(spark, path).withColumnRenamed("word", "term")
     return text_ops.above_average(stored, THRESHOLD)
 
 

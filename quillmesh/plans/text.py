@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import leading_number, render_index_value
+from ..functions.text import leading_number, render_index_value, render_postings
 from ..operators import text as ops
 from ..operators.blocks import BLOCK_SIZE, RANGE, RANGES, item_splits, list_blocks, with_range
-from ..sources.keyed_table import put_rows, scan_rows
+from ..sources.keyed_table import put_rows
+from ..sources.scratch import scratch_path
+from ..sources.text import write_key_values
 
 
 def word_count(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -87,5 +89,15 @@ def store_averages(docs: DataFrame, path: str) -> int:
     return put_rows(averages, path, "word")
 
 
-def stored_averages(spark: SparkSession, path: str) -> DataFrame:
-    return scan_rows(spark, path)
+def store_index(docs: DataFrame, path: str, out: str, names: DataFrame | None = None) -> int:
+    """Averages into the keyed table at ``path``, bare posting lists to ``out``.
+
+    The index is worked out once, into a scratch table both are read from.
+    """
+    spark = docs.sparkSession
+    held = scratch_path(spark, "index")
+    inverted_index(docs, names=names).write.parquet(held)
+    index = spark.read.parquet(held)
+    write_key_values(index, out, F.col("term"), render_postings(F.col("postings")))
+    first = index.where("block = 0").select(F.col("term").alias("word"), "avg_count")
+    return put_rows(first, path, "word")

@@ -14,8 +14,10 @@ def read_lines(spark: SparkSession, path) -> DataFrame:
 
 def read_documents(spark: SparkSession, path) -> DataFrame:
     """(doc, text), one row per line, named after the file it stands in."""
+    # The metadata column holds the name as in a URL, where a plus is a plus.
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
     return spark.read.text(path).select(
-        document_name(F.col("_metadata.file_name")).alias("doc"), F.col("value").alias("text")
+        document_name(name).alias("doc"), F.col("value").alias("text")
     )
 
 

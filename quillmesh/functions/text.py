@@ -47,13 +47,14 @@ def posting_entries(value: Column) -> Column:
     return F.split(F.substring(value, F.instr(value, ",") + 2, F.length(value)), r";\s")
 
 
-def entry_doc(entry: Column) -> Column:
-    """Everything before the last ``: ``, so names may hold the separator."""
-    return F.regexp_extract(entry, r"^(?s)(.*):\s([^:]*)$", 1)
+def entry_count(entry: Column) -> Column:
+    return F.substring_index(entry, ": ", -1).cast("bigint")
 
 
-def entry_count(entry: Column) -> Column:
-    return F.regexp_extract(entry, r"^(?s)(.*):\s([^:]*)$", 2).cast("bigint")
+def entry_doc(entry: Column) -> Column:
+    """Everything before the last ``: ``, so names may hold the separator."""
+    count = F.substring_index(entry, ": ", -1)
+    return F.left(entry, F.length(entry) - F.length(count) - 2)
 
 
 def leading_number(line: Column) -> Column:

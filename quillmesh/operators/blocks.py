@@ -14,16 +14,21 @@ from pyspark.sql import functions as F
 
 RANGE = "_range"
 BLOCK_SIZE = 10_000
-RANGES = 64
+MIN_RANGES = 64
+MAX_RANGES = 1024
 _SAMPLES_PER_RANGE = 32
 
 
-def item_splits(items: DataFrame, ranges: int = RANGES) -> list:
+def item_splits(items: DataFrame, ranges: int | None = None) -> list:
     """Up to ``ranges - 1`` values cutting the one-column ``items`` evenly.
 
-    Taken from a bounded random sample. Splits steer only how the ranking is
-    spread over tasks, never what comes out.
+    As many ranges as shuffle partitions by default, within limits. The splits
+    come from a bounded random sample and steer only how the ranking is spread
+    over tasks, never what comes out.
     """
+    if ranges is None:
+        partitions = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranges = max(MIN_RANGES, min(MAX_RANGES, partitions))
     name = items.columns[0]
     sample = items.orderBy(F.rand(7)).limit(ranges * _SAMPLES_PER_RANGE)
     values = sorted(row[0] for row in sample.where(F.col(name).isNotNull()).collect())
@@ -56,7 +61,7 @@ def list_blocks(rows: DataFrame, key: str, item: str, values: tuple = (),
 
     ``rows`` carry RANGE, the range number of the item. Ranks are counted
     within (key, range), so even a key with every row is ranked by many tasks;
-    the counts of a key's earlier ranges, at most RANGES rows, shift them.
+    the counts of a key's earlier ranges, at most MAX_RANGES rows, shift them.
     """
     within = Window.partitionBy(key, RANGE).orderBy(item)
     ranked = rows.withColumn("_rank", F.row_number().over(within))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import BLOCK_SIZE, RANGES, item_splits, list_blocks, with_range
-from .skew import hot_keys, salted_join
+from .blocks import BLOCK_SIZE, item_splits, list_blocks, with_range
+from .skew import flag_hot, is_hot, salted_join
 
 MODES = ("undirected", "directed")
 
@@ -24,6 +24,9 @@ def simple_edges(edges: DataFrame, mode: str = "undirected") -> DataFrame:
         F.greatest("src", "dst").alias("hi"),
         (F.col("src") < F.col("dst")).alias("up"),
     )
+    # Said out loud, so that no later join adds it on one side only: equal plans
+    # share one shuffle.
+    ends = ends.where("lo IS NOT NULL AND hi IS NOT NULL")
     if mode == "undirected":
         return ends.select("lo", "hi").distinct()
     return (
@@ -46,7 +49,7 @@ def both_directions(lines: DataFrame) -> DataFrame:
 
 
 def adjacency_blocks(edges: DataFrame, mode: str = "undirected",
-                     size: int = BLOCK_SIZE, ranges: int = RANGES) -> DataFrame:
+                     size: int = BLOCK_SIZE, ranges: int | None = None) -> DataFrame:
     """(vertex, block, degree, neighbours), neighbours sorted and distinct."""
     lines = simple_edges(edges, mode)
     splits = item_splits(edges.select("dst"), ranges)
@@ -61,25 +64,33 @@ def adjacency_blocks(edges: DataFrame, mode: str = "undirected",
 
 def degrees(lines: DataFrame) -> DataFrame:
     ends = lines.select(F.explode(F.array("lo", "hi")).alias("vertex"))
-    return ends.groupBy("vertex").agg(F.count("*").alias("degree"))
+    return (
+        ends.where("vertex IS NOT NULL")
+        .groupBy("vertex")
+        .agg(F.count("*").alias("degree"))
+    )
 
 
-def oriented_edges(lines: DataFrame, degree: DataFrame, hot: DataFrame) -> DataFrame:
+def oriented_edges(lines: DataFrame, flagged: DataFrame) -> DataFrame:
     """(tail, head, head_degree): each edge from its lower to its higher end.
 
     Vertices are ordered by (degree, id), so with m edges no vertex is the
-    tail of more than sqrt(2 m). Ends of degree 1 close no triangle.
+    tail of more than sqrt(2 m). ``flagged`` holds (vertex, degree, _hot); an
+    edge with an end that is not in it falls out.
     """
-    useful = degree.where("degree > 1")
-    at_lo = useful.select(F.col("vertex").alias("lo"), F.col("degree").alias("lo_degree"))
-    at_hi = useful.select(F.col("vertex").alias("hi"), F.col("degree").alias("hi_degree"))
-    both = salted_join(salted_join(lines, at_lo, "lo", hot), at_hi, "hi", hot)
+    hot = flagged.where("_hot").select("vertex")
+    both = lines
+    for end in ("lo", "hi"):
+        at_end = flagged.select(
+            F.col("vertex").alias(end), F.col("degree").alias(f"{end}_degree"), "_hot"
+        )
+        both = salted_join(flag_hot(both, end, hot), at_end, end)
     up = F.struct("lo_degree", "lo") < F.struct("hi_degree", "hi")
     return both.select(
         F.when(up, F.col("lo")).otherwise(F.col("hi")).alias("tail"),
         F.when(up, F.col("hi")).otherwise(F.col("lo")).alias("head"),
         F.greatest("lo_degree", "hi_degree").alias("head_degree"),
-    )
+    ).where("tail IS NOT NULL")
 
 
 def count_triangles(edges: DataFrame, mode: str = "undirected") -> DataFrame:
@@ -91,22 +102,30 @@ def count_triangles(edges: DataFrame, mode: str = "undirected") -> DataFrame:
     by one intersection. Mids are hubs, so their rows are salted.
     """
     lines = simple_edges(edges, mode)
-    degree = degrees(lines)
-    hot = hot_keys(degree, "vertex", "degree")
-    heads = (
-        oriented_edges(lines, degree, hot)
+    total = lines.agg(F.count("*") * 2).scalar()
+    # An end of degree 1 closes no triangle.
+    flagged = degrees(lines).where("degree > 1").withColumn(
+        "_hot", is_hot(F.col("degree"), total)
+    )
+    tails = (
+        oriented_edges(lines, flagged)
         .groupBy("tail")
-        .agg(F.sort_array(F.collect_list(F.struct("head_degree", "head"))).alias("ranked"))
-        .select("tail", F.col("ranked.head").alias("heads"))
+        .agg(F.sort_array(F.collect_list(F.struct("head_degree", "head"))).alias("heads"))
     )
     open_edges = (
-        heads.where(F.size("heads") > 1)
-        .select("heads", F.posexplode("heads").alias("at", "mid"))
+        tails.where(F.size("heads") > 1)
+        .select(F.col("heads.head").alias("heads"), F.posexplode("heads").alias("at", "mid"))
         .where(F.col("at") + 1 < F.size("heads"))
-        .select("mid", F.slice("heads", F.col("at") + 2, F.size("heads")).alias("later"))
+        .select(
+            F.col("mid.head").alias("mid"),
+            F.slice("heads", F.col("at") + 2, F.size("heads")).alias("later"),
+            is_hot(F.col("mid.head_degree"), total).alias("_hot"),
+        )
     )
-    mids = heads.select(F.col("tail").alias("mid"), F.col("heads").alias("mid_heads"))
-    closed = F.size(F.array_intersect("later", "mid_heads")).cast("bigint")
-    return salted_join(open_edges, mids, "mid", hot).agg(
-        F.coalesce(F.sum(closed), F.lit(0)).alias("n")
+    mids = flag_hot(
+        tails.select(F.col("tail").alias("mid"), F.col("heads.head").alias("mid_heads")),
+        "mid",
+        flagged.where("_hot").select("vertex"),
     )
+    closed = F.size(F.array_intersect("later", "mid_heads")).cast("bigint")
+    return salted_join(open_edges, mids, "mid").agg(F.coalesce(F.sum(closed), F.lit(0)).alias("n"))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import divide_or_zero, subtract
-from .skew import hot_keys, is_small, lookup_join, salted_join
+from .skew import flag_hot, hot_keys, is_small, lookup_join, salted_join
 
 # The numpy helpers travel with the tasks, so executors need no installed copy.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -71,7 +71,10 @@ def with_pair_labels(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 def with_row_sums(kernels: DataFrame, *sums: Column) -> DataFrame:
     """Attach sums over each i to its pairs; the sums combine map-side."""
     totals = kernels.groupBy("i").agg(*sums, F.count("*").alias("_rows"))
-    return salted_join(kernels, totals, "i", hot_keys(totals, "i", "_rows")).drop("_rows")
+    hot = hot_keys(totals, "i", "_rows")
+    return salted_join(
+        flag_hot(kernels, "i", hot), flag_hot(totals.drop("_rows"), "i", hot), "i"
+    )
 
 
 def pair_probabilities(kernels: DataFrame) -> DataFrame:

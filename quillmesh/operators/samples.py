@@ -20,8 +20,9 @@ from ..functions.vectors import divide_or_zero
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-MAX_BLOCK = 1024
+MAX_BLOCK = 2048
 MIN_BLOCK = 64
+BLOCK_BYTES = 8 << 20
 
 
 def labelled_samples(samples: DataFrame, labels: DataFrame) -> tuple[DataFrame, int, int]:
@@ -52,11 +53,11 @@ def labelled_samples(samples: DataFrame, labels: DataFrame) -> tuple[DataFrame,
     return joined, seen.n, seen.low
 
 
-def block_count(samples: DataFrame, n: int) -> int:
-    """Blocks of at most about MAX_BLOCK samples, and enough to fill the cores."""
+def block_count(samples: DataFrame, n: int, d: int) -> int:
+    """Blocks of about MAX_BLOCK samples or BLOCK_BYTES, and enough to fill the cores."""
     cores = samples.sparkSession.sparkContext.defaultParallelism
-    size = min(MAX_BLOCK, max(MIN_BLOCK, math.ceil(n / (2 * cores))))
-    return math.ceil(n / size)
+    most = max(1, min(MAX_BLOCK, BLOCK_BYTES // (8 * d)))
+    return math.ceil(n / min(most, max(MIN_BLOCK, math.ceil(n / (2 * cores)))))
 
 
 def block_cells(samples: DataFrame, blocks: int) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 # A key is hot when it holds more than 1/MAX_HOT_KEYS of the rows, so no data
 # set has more than MAX_HOT_KEYS of them: a table of hot keys always broadcasts.
 MAX_HOT_KEYS = 1000
-SALTS = 64
+MIN_SALTS = 64
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 << 20
 
@@ -26,30 +26,36 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(2 * cores)
 
 
+def is_hot(weight: Column, total: Column) -> Column:
+    """Whether a key of this weight holds more than 1/MAX_HOT_KEYS of all."""
+    return weight * MAX_HOT_KEYS > total
+
+
 def hot_keys(counts: DataFrame, key: str, weight: str) -> DataFrame:
-    """Keys holding more than 1/MAX_HOT_KEYS of all weight; one row per key."""
+    """The hot keys of a table with one row per key."""
     total = counts.agg(F.sum(weight)).scalar()
-    return counts.where(F.col(weight) * MAX_HOT_KEYS > total).select(key)
+    return counts.where(is_hot(F.col(weight), total)).select(key)
+
 
+def flag_hot(rows: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Add _hot to rows; it is null on all but the rows of hot keys."""
+    flags = hot.select(F.col(hot.columns[0]).alias(key), F.lit(True).alias("_hot"))
+    return rows.join(F.broadcast(flags), key, "left")
 
-def salted_join(rows: DataFrame, lookup: DataFrame, key: str, hot: DataFrame,
-                how: str = "inner") -> DataFrame:
-    """Join ``rows`` with a one-row-per-key ``lookup``.
 
-    Rows of a hot key are dealt over SALTS tasks and only the lookup rows of
-    hot keys are copied; every other key is joined as usual.
+def salted_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join ``rows`` with a one-row-per-key ``lookup``; both carry _hot.
+
+    Rows of a hot key are dealt over as many tasks as a shuffle has, and only
+    the lookup rows of hot keys are copied; other keys are joined as usual.
     """
-    flags = F.broadcast(hot.select(F.col(hot.columns[0]).alias(key), F.lit(True).alias("_hot")))
-    dealt = rows.join(flags, key, "left").withColumn(
-        "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS))).otherwise(0),
-    ).drop("_hot")
-    copied = lookup.join(flags, key, "left").withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_hot"), F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
-            .otherwise(F.array(F.lit(0).cast("bigint")))
-        ),
+    salts = max(MIN_SALTS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(salts))
+    every = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    only = F.array(F.lit(0).cast("bigint"))
+    dealt = rows.withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(0)).drop("_hot")
+    copied = lookup.withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(only))
     ).drop("_hot")
     return dealt.join(copied, [key, "_salt"], how).drop("_salt")
 
@@ -72,7 +78,8 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner"
     if is_small(lookup) if small is None else small:
         return rows.join(F.broadcast(lookup), key, how)
     counts = rows.groupBy(key).agg(F.count("*").alias("_rows"))
-    return salted_join(rows, lookup, key, hot_keys(counts, key, "_rows"), how)
+    hot = hot_keys(counts, key, "_rows")
+    return salted_join(flag_hot(rows, key, hot), flag_hot(lookup, key, hot), key, how)
 
 
 def _bytes_of(field: T.StructField) -> Column:

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import graph as ops
-from ..operators.blocks import BLOCK_SIZE, RANGES
+from ..operators.blocks import BLOCK_SIZE
 
 
 def adjacency(edges: DataFrame, mode: str = "undirected", size: int = BLOCK_SIZE,
-              ranges: int = RANGES) -> DataFrame:
+              ranges: int | None = None) -> DataFrame:
     """(vertex, block, degree, neighbours)."""
     return ops.adjacency_blocks(edges, mode, size, ranges)
 

@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 
 from ..operators import pairs as pair_ops
 from ..operators import samples as sample_ops
+from ..sources.matrices import read_keyed, write_keyed
+from ..sources.scratch import scratch_path
 
 
 def sample_success(samples: DataFrame, labels: DataFrame, matrix=None) -> DataFrame:
     """(id, p): chance that a sample picks a neighbour of its own label."""
     rows, n, d = sample_ops.labelled_samples(samples, labels)
-    sums = sample_ops.kernel_sums(rows, _start(matrix, d), sample_ops.block_count(rows, n))
+    sums = sample_ops.kernel_sums(rows, _start(matrix, d), sample_ops.block_count(rows, n, d))
     return sample_ops.success(sums).select("id", "p")
 
 
@@ -32,7 +34,7 @@ def expected_correct(successes: DataFrame) -> DataFrame:
 def nca_gradient(samples: DataFrame, labels: DataFrame, matrix=None) -> DataFrame:
     """(r, c, v) of the ascent direction at ``matrix``."""
     rows, n, d = sample_ops.labelled_samples(samples, labels)
-    return _sample_gradient(rows, sample_ops.block_count(rows, n))(_start(matrix, d))
+    return _sample_gradient(rows, sample_ops.block_count(rows, n, d))(_start(matrix, d))
 
 
 def nca_fit(samples: DataFrame, labels: DataFrame, lr: float, epochs: int,
@@ -45,7 +47,7 @@ def nca_fit(samples: DataFrame, labels: DataFrame, lr: float, epochs: int,
     rows, n, d = sample_ops.labelled_samples(samples, labels)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _ascend(_sample_gradient(rows, sample_ops.block_count(rows, n)),
+        return _ascend(_sample_gradient(rows, sample_ops.block_count(rows, n, d)),
                        _start(matrix, d), lr, epochs, tol)
     finally:
         rows.unpersist()
@@ -60,13 +62,12 @@ def pair_success(pairs: DataFrame, labels: DataFrame, matrix) -> DataFrame:
 
 def nca_fit_pairs(pairs: DataFrame, labels: DataFrame, dim: int, lr: float, epochs: int,
                   tol: float | None = None) -> list:
-    """As ``nca_fit``, over the given pairs."""
-    pairs = pairs.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _ascend(lambda a: pair_ops.pair_gradient(pairs, labels, a),
-                       np.eye(dim), lr, epochs, tol)
-    finally:
-        pairs.unpersist()
+    """As ``nca_fit``, over the given pairs, written once and read every epoch."""
+    held = scratch_path(pairs.sparkSession, "pairs")
+    write_keyed(pairs, held)
+    stored = read_keyed(pairs.sparkSession, held)
+    return _ascend(lambda a: pair_ops.pair_gradient(stored, labels, a),
+                   np.eye(dim), lr, epochs, tol)
 
 
 def knn_predict(samples: DataFrame, labels: DataFrame, k: int, matrix=None) -> DataFrame:
@@ -76,7 +77,7 @@ def knn_predict(samples: DataFrame, labels: DataFrame, k: int, matrix=None) -> D
     label.
     """
     rows, n, d = sample_ops.labelled_samples(samples, labels)
-    found = sample_ops.nearest(rows, _start(matrix, d), sample_ops.block_count(rows, n), k)
+    found = sample_ops.nearest(rows, _start(matrix, d), sample_ops.block_count(rows, n, d), k)
     order = Window.partitionBy("id").orderBy("distance", "neighbour")
     votes = (
         found.withColumn("_at", F.row_number().over(order))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import leading_number, render_index_value, render_postings
 from ..operators import text as ops
-from ..operators.blocks import BLOCK_SIZE, RANGE, RANGES, item_splits, list_blocks, with_range
+from ..operators.blocks import BLOCK_SIZE, RANGE, item_splits, list_blocks, with_range
 from ..sources.keyed_table import put_rows
 from ..sources.scratch import scratch_path
 from ..sources.text import write_key_values
@@ -28,7 +28,7 @@ def term_averages(docs: DataFrame) -> DataFrame:
     return ops.term_averages(term_counts(docs))
 
 
-def inverted_index(docs: DataFrame, size: int = BLOCK_SIZE, ranges: int = RANGES,
+def inverted_index(docs: DataFrame, size: int = BLOCK_SIZE, ranges: int | None = None,
                    names: DataFrame | None = None) -> DataFrame:
     """(term, block, avg_count, n_docs, postings), postings in document order.
 

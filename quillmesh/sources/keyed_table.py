@@ -21,7 +21,11 @@ def put_rows(rows: DataFrame, path: str, key: str) -> int:
     """
     version = _latest(rows.sparkSession, path) + 1
     values = [c for c in rows.columns if c != key]
-    single = rows.groupBy(key).agg(F.max(F.struct(*values)).alias("row")).select(key, "row.*")
+    if len(values) == 1:
+        single = rows.groupBy(key).agg(F.max(values[0]).alias(values[0]))
+    else:
+        greatest = F.max(F.struct(*values)).alias("row")
+        single = rows.groupBy(key).agg(greatest).select(key, "row.*")
     single.write.mode("errorifexists").parquet(f"{path}/{_VERSION}={version}")
     return version
 
@@ -30,8 +34,7 @@ def scan_rows(spark: SparkSession, path: str) -> DataFrame:
     stored = spark.read.parquet(path)
     values = [c for c in stored.columns if c != _VERSION]
     key = values[0]
-    newest = F.max_by(F.struct(*values[1:]), _VERSION).alias("row")
-    return stored.groupBy(key).agg(newest).select(key, "row.*")
+    return stored.groupBy(key).agg(*(F.max_by(v, _VERSION).alias(v) for v in values[1:]))
 
 
 def export_rows(spark: SparkSession, path: str, out: str, mode: str = "errorifexists") -> None:

@@ -161,8 +161,9 @@ def pair_kernel(spark, sf_dir):
 
 
 def pair_probabilities(spark, sf_dir):
-    kernels = pair_ops.pair_kernels(pairs(spark, sf_dir), np.eye(DIMENSIONS)).drop("x")
-    return pair_ops.pair_probabilities(kernels).select("i", "j", _round("p"))
+    table = pairs(spark, sf_dir)
+    kernels = pair_ops.pair_kernels(table, np.eye(DIMENSIONS)).drop("x")
+    return pair_ops.pair_probabilities(kernels, table).select("i", "j", _round("p"))
 
 
 def pair_success(spark, sf_dir):

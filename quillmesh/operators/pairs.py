@@ -68,18 +68,22 @@ def with_pair_labels(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.withColumn("same", same).drop("_i", "_j")
 
 
-def with_row_sums(kernels: DataFrame, *sums: Column) -> DataFrame:
-    """Attach sums over each i to its pairs; the sums combine map-side."""
-    totals = kernels.groupBy("i").agg(*sums, F.count("*").alias("_rows"))
-    hot = hot_keys(totals, "i", "_rows")
-    return salted_join(
-        flag_hot(kernels, "i", hot), flag_hot(totals.drop("_rows"), "i", hot), "i"
-    )
+def with_row_sums(kernels: DataFrame, pairs: DataFrame, *sums: Column) -> DataFrame:
+    """Attach sums over each i to its pairs; the sums combine map-side.
+
+    Hot i are counted off ``pairs``, whose other columns need not be read.
+    """
+    hot = hot_keys(pairs.groupBy("i").agg(F.count("*").alias("_rows")), "i", "_rows")
+    totals = kernels.groupBy("i").agg(*sums)
+    return salted_join(flag_hot(kernels, "i", hot), flag_hot(totals, "i", hot), "i")
 
 
-def pair_probabilities(kernels: DataFrame) -> DataFrame:
-    """Add p = k / sum of k over the pairs of i; 0 where k is 0."""
-    summed = with_row_sums(kernels, F.sum("k").alias("_z"))
+def pair_probabilities(kernels: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """Add p = k / sum of k over the pairs of i; 0 where k is 0.
+
+    ``pairs`` is the table the kernels came from, if it is at hand.
+    """
+    summed = with_row_sums(kernels, kernels if pairs is None else pairs, F.sum("k").alias("_z"))
     return summed.withColumn("p", divide_or_zero(F.col("k"), F.col("_z"))).drop("_z")
 
 
@@ -96,7 +100,7 @@ def pair_gradient(pairs: DataFrame, labels: DataFrame, matrix) -> DataFrame:
     """
     kernels = with_pair_labels(pair_kernels(pairs, matrix), labels)
     own = F.when(F.col("same"), F.col("k")).otherwise(0.0)
-    summed = with_row_sums(kernels, F.sum("k").alias("_z"), F.sum(own).alias("_s"))
+    summed = with_row_sums(kernels, pairs, F.sum("k").alias("_z"), F.sum(own).alias("_s"))
     p_pair = divide_or_zero(F.col("k"), F.col("_z"))
     p_row = divide_or_zero(F.col("_s"), F.col("_z"))
     weighted = summed.select("x", (p_pair * (p_row - F.col("same").cast("double"))).alias("w"))

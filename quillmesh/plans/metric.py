@@ -56,7 +56,7 @@ def nca_fit(samples: DataFrame, labels: DataFrame, lr: float, epochs: int,
 def pair_success(pairs: DataFrame, labels: DataFrame, matrix) -> DataFrame:
     """(i, p) over the given pairs."""
     kernels = pair_ops.pair_kernels(pairs, matrix).drop("x")
-    probabilities = pair_ops.pair_probabilities(kernels)
+    probabilities = pair_ops.pair_probabilities(kernels, pairs)
     return pair_ops.pair_success(pair_ops.with_pair_labels(probabilities, labels))
 
 

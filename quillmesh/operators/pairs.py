@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import divide_or_zero, subtract
-from .skew import flag_hot, hot_keys, is_small, lookup_join, salted_join
+from .skew import is_small, lookup_join
 
 # The numpy helpers travel with the tasks, so executors need no installed copy.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -71,11 +71,12 @@ def with_pair_labels(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 def with_row_sums(kernels: DataFrame, pairs: DataFrame, *sums: Column) -> DataFrame:
     """Attach sums over each i to its pairs; the sums combine map-side.
 
-    Hot i are counted off ``pairs``, whose other columns need not be read.
+    The i are counted off ``pairs``, whose other columns need not be read: few
+    of them spare the pairs a shuffle, and hot ones are salted.
     """
-    hot = hot_keys(pairs.groupBy("i").agg(F.count("*").alias("_rows")), "i", "_rows")
+    counts = pairs.groupBy("i").agg(F.count("*").alias("_rows"))
     totals = kernels.groupBy("i").agg(*sums)
-    return salted_join(flag_hot(kernels, "i", hot), flag_hot(totals, "i", hot), "i")
+    return lookup_join(kernels, totals, "i", small=is_small(counts), counts=counts)
 
 
 def pair_probabilities(kernels: DataFrame, pairs: DataFrame | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 # set has more than MAX_HOT_KEYS of them: a table of hot keys always broadcasts.
 MAX_HOT_KEYS = 1000
 MIN_SALTS = 64
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 
 
@@ -73,11 +73,16 @@ def is_small(lookup: DataFrame) -> bool:
 
 
 def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner",
-                small: bool | None = None) -> DataFrame:
-    """Broadcast the one-row-per-key lookup if it is small, else salt the join."""
+                small: bool | None = None, counts: DataFrame | None = None) -> DataFrame:
+    """Broadcast the one-row-per-key lookup if it is small, else salt the join.
+
+    ``small`` tells where that is known already. ``counts`` holds (key, _rows),
+    the rows of each key, where it comes cheaper than off ``rows``.
+    """
     if is_small(lookup) if small is None else small:
         return rows.join(F.broadcast(lookup), key, how)
-    counts = rows.groupBy(key).agg(F.count("*").alias("_rows"))
+    if counts is None:
+        counts = rows.groupBy(key).agg(F.count("*").alias("_rows"))
     hot = hot_keys(counts, key, "_rows")
     return salted_join(flag_hot(rows, key, hot), flag_hot(lookup, key, hot), key, how)
 

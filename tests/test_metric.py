@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from quillmesh.functions import vectors
 from quillmesh.operators import pairs as pair_ops
 from quillmesh.operators import samples as sample_ops
+from quillmesh.operators import skew
 from quillmesh.plans import metric
 
 ONE = np.eye(1)
@@ -163,6 +164,17 @@ def test_bad_inputs_raise(line, spark):
         metric.sample_success(samples.where("false"), labels)
 
 
+def test_large_lookups_give_the_same(line, monkeypatch):
+    samples, labels, pairs = line
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
+    again = all_pairs(samples)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, pairs.collect()))
+    got = pair_ops.pair_gradient(again, labels, ONE)
+    assert matrix(got, 1)[0, 0] == pytest.approx(0.135530, abs=1e-6)
+    with pytest.raises(Exception, match="no label for a sample of pair"):
+        metric.pair_success(again, labels.where("id <> 'c'"), ONE).collect()
+
+
 def test_label_with_one_member_counts_nothing(line):
     samples, labels, _ = line
     assert {r.id: r.p for r in metric.sample_success(samples, labels).collect()}["c"] == 0.0
@@ -175,8 +187,10 @@ def test_pairs_count_only_as_given(line):
     assert {r.i: r.p for r in metric.pair_success(fewer, labels, ONE).collect()}["b"] == 1.0
 
 
-def test_hot_sample_in_a_pair_table(spark):
-    """One i holds most pairs; its rows are salted and still sum up whole."""
+@pytest.mark.parametrize("most", [10, 500_000])
+def test_hot_sample_in_a_pair_table(spark, monkeypatch, most):
+    """One i holds most pairs; salted or not, its rows sum up whole."""
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", most)
     n = 2000
     links = [(0, j) for j in range(n)] + [(i, 0) for i in range(1, n)]
     pairs = spark.createDataFrame(

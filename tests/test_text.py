@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quillmesh.functions.text import author_of, leading_number, render_postings
+from quillmesh.operators import skew
 from quillmesh.operators import text as ops
 from quillmesh.operators.blocks import item_splits, list_blocks, with_range
 from quillmesh.plans import text
@@ -106,6 +107,23 @@ def test_tf_idf_drops_authors_not_listed(novels, spark):
     assert {r.author for r in text.tf_idf(novels, some).collect()} == {"authora"}
 
 
+def test_tf_idf_with_many_authors(novels, listed, monkeypatch):
+    usual = rows(text.tf_idf(novels, listed))
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
+    assert rows(text.tf_idf(novels, listed)) == usual
+
+
+def test_broadcast_checks_rows_and_bytes(spark, monkeypatch):
+    df = spark.createDataFrame([("ab", [1.0] * 4), (None, None)], "s STRING, x ARRAY<DOUBLE>")
+    assert skew.is_small(df)
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 33)
+    assert not skew.is_small(df)
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 34)
+    assert skew.is_small(df)
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 1)
+    assert not skew.is_small(df)
+
+
 def test_tf_idf_off_the_text_index(novels, listed):
     lines = text.index_lines(text.inverted_index(novels))
     assert rows(text.tf_idf_from_lines(lines, listed)) == rows(text.tf_idf(novels, listed))

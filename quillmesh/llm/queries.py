@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import mixing, packing, simhash
+from . import (
+    language, line_dedup, mixing, packing, personal_data, quality, simhash, substrings, toxicity,
+    va_search,
+)
 
 
 def _table(spark, sf_dir, name):
@@ -19,22 +22,73 @@ def op1_source_mix(spark, sf_dir):
     return mixing.taken_words(mixing.mix(_documents(spark, sf_dir)))
 
 
+def op2_exact_top_k(spark, sf_dir):
+    return va_search.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op3_line_dedup(spark, sf_dir):
+    return line_dedup.line_report(_documents(spark, sf_dir))
+
+
 def op4_best_fit_packing(spark, sf_dir):
     return packing.pack(_documents(spark, sf_dir))
 
 
+def op5_quality_trees(spark, sf_dir):
+    found = quality.judged(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+    return found.select("doc_id", *quality.STATS, "base_failed", "score", "kept")
+
+
+def op6_personal_data(spark, sf_dir):
+    found = personal_data.find_personal_data(_documents(spark, sf_dir))
+    counts = [f"n_{kind}" for kind in personal_data.KINDS]
+    return found.select("doc_id", *counts, F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
+def op7_toxicity(spark, sf_dir):
+    return toxicity.toxicity_scores(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+
+
+def op8_substring_dedup(spark, sf_dir):
+    found = substrings.without_repeats(_documents(spark, sf_dir))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_simhash_near_dedup(spark, sf_dir):
     classes = simhash.simhash_classes(_documents(spark, sf_dir))
     return classes.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
+def op10_language(spark, sf_dir):
+    docs = _documents(spark, sf_dir)
+    return language.predict(docs, language.learn(docs))
+
+
+_ALL = (
+    op1_source_mix, op2_exact_top_k, op3_line_dedup, op4_best_fit_packing, op5_quality_trees,
+    op6_personal_data, op7_toxicity, op8_substring_dedup, op9_simhash_near_dedup, op10_language,
+)
+
+
 def queries() -> dict:
-    return {
-        "op1_source_mix": op1_source_mix,
-        "op4_best_fit_packing": op4_best_fit_packing,
-        "op9_simhash_near_dedup": op9_simhash_near_dedup,
-    }
+    return {query.__name__: query for query in _ALL}
 
 
 def oracle_sql() -> dict:
-    return {}
+    """Only what SQL answers over whole tables in a fair time; the rest has brute-force tests."""
+    return {
+        "op2_exact_top_k": """
+            WITH vectors AS (
+              SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS v
+              FROM embeddings),
+            scores AS (
+              SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                     CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+              FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id
+              WHERE q.vec_id % 20 = 0),
+            ranked AS (
+              SELECT *, CAST(row_number() OVER (
+                       PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+              FROM scores)
+            SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
+    }

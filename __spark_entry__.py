@@ -28,6 +28,14 @@ from quillmesh.sources.keyed_table import scan_rows  # noqa: E402
 from quillmesh.sources.matrices import model_frame  # noqa: E402
 from quillmesh.sources.scratch import scratch_path  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from quillmesh.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "quillmesh.llm"):
+        raise
+    llm = corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 DIMENSIONS = 64
 BLOCK = 100  # small enough for the common terms of sf0.01 to fill several blocks
@@ -219,6 +227,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if llm is None:
+        return _own_queries()
+    return _own_queries() | llm.queries() | {"pipeline": corpus_pipeline.run}
+
+
+def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "word_count": word_count,
         "term_doc_counts": term_doc_counts,
@@ -355,6 +369,13 @@ def _rounded(expression: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    if llm is None:
+        return _own_sql()
+    of_pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return _own_sql() | llm.oracle_sql() | of_pipeline
+
+
+def _own_sql() -> dict[str, str]:
     counts = f"WITH {_TERMS} SELECT term, doc, n FROM counts"
     return {
         "word_count": r"""

@@ -20,10 +20,10 @@ def database():
 
 
 def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert entry._own_queries().keys() == entry._own_sql().keys()
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry._own_queries()))
 def test_query_equals_sql(spark, database, name):
     found = entry.queries()[name](spark, SF_DIR)
     columns = sorted(found.columns)

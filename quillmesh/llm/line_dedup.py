@@ -55,7 +55,10 @@ def segments(n: int, edits: int) -> list:
 
 def probes(n: int, edits: int) -> list:
     """(length, segment, start, size): parts of a line of n characters that can
-    equal a segment of a line of that length, without missing a near line."""
+    equal a segment of a line of that length, without missing a near line.
+
+    Its own segments, which are such parts too, are left out.
+    """
     out = []
     for length in range(max(0, n - edits), n + 1):
         gap = n - length
@@ -63,7 +66,7 @@ def probes(n: int, edits: int) -> list:
             # A part may move by the edits left of it, and by those right of it.
             low = max(at - i, at + gap - (edits - i), 0)
             high = min(at + i, at + gap + (edits - i), n - size)
-            out += [(length, i, start, size) for start in range(low, high + 1)]
+            out += [(length, i, start, size) for start in range(low, high + 1) if gap or start != at]
     return out
 
 
@@ -167,22 +170,24 @@ def candidates(docs: DataFrame, edits: int, min_chars: int, hot_lines: int = HOT
 
 
 def _met(columns: list, most: int):
-    """Pairs of a segment's line and a line with an equal part, signs close."""
+    """Pairs of a segment's line and a line with an equal part, signs close.
+
+    A line's segments are among its parts. Most segments are of one line alone.
+    """
     key, cell, line, sign, own = columns
     if not len(key):
         return
     turns = np.flatnonzero((key[1:] != key[:-1]) | (cell[1:] != cell[:-1])) + 1
     starts = np.concatenate([[0], turns])
     ends = np.concatenate([turns, [len(key)]])
-    owned = np.add.reduceat(own.astype(np.int64), starts)
+    shared = np.logical_or.reduceat(own, starts)
+    shared &= np.minimum.reduceat(line, starts) != np.maximum.reduceat(line, starts)
     out = []
-    for a, b in zip(starts[(owned > 0) & (ends - starts > owned)], ends[(owned > 0) & (ends - starts > owned)]):
+    for a, b in zip(starts[shared].tolist(), ends[shared].tolist()):
+        theirs, at = np.unique(line[a:b], return_index=True)
+        other = sign[a:b][at].view(np.uint64)
         mine, at = np.unique(line[a:b][own[a:b]], return_index=True)
         signs = sign[a:b][own[a:b]][at].view(np.uint64)
-        theirs, at = np.unique(line[a:b][~own[a:b]], return_index=True)
-        other = sign[a:b][~own[a:b]][at].view(np.uint64)
-        if len(mine) == 1 and len(theirs) == 1 and mine[0] == theirs[0]:
-            continue
         step = max(1, (1 << 20) // len(other))
         for first in range(0, len(mine), step):
             near = np.bitwise_count(signs[first:first + step, None] ^ other[None, :]) <= most

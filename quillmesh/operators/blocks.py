@@ -23,15 +23,18 @@ def item_splits(items: DataFrame, ranges: int | None = None) -> list:
     """Up to ``ranges - 1`` values cutting the one-column ``items`` evenly.
 
     As many ranges as shuffle partitions by default, within limits. The splits
-    come from a bounded random sample and steer only how the ranking is spread
-    over tasks, never what comes out.
+    come from a random sample of about _SAMPLES_PER_RANGE items per range, of
+    which a partition sends fewer the more partitions there are. They steer only
+    how the ranking is spread over tasks, never what comes out.
     """
     if ranges is None:
         partitions = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         ranges = max(MIN_RANGES, min(MAX_RANGES, partitions))
     name = items.columns[0]
-    sample = items.orderBy(F.rand(7)).limit(ranges * _SAMPLES_PER_RANGE)
-    values = sorted(row[0] for row in sample.where(F.col(name).isNotNull()).collect())
+    held = items.where(F.col(name).isNotNull())
+    rows = held.agg(F.count("*")).first()[0]
+    share = min(1.0, ranges * _SAMPLES_PER_RANGE / max(1, rows))
+    values = sorted(row[0] for row in held.sample(share, 7).collect())
     step = max(1, len(values) // ranges)
     return sorted(set(values[step::step]))[: ranges - 1]
 

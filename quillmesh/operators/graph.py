@@ -52,7 +52,9 @@ def adjacency_blocks(edges: DataFrame, mode: str = "undirected",
                      size: int = BLOCK_SIZE, ranges: int | None = None) -> DataFrame:
     """(vertex, block, degree, neighbours), neighbours sorted and distinct."""
     lines = simple_edges(edges, mode)
-    splits = item_splits(edges.select("dst"), ranges)
+    # Both ends are neighbours of something, so both give splits.
+    ends = edges.select(F.explode(F.array("src", "dst")).alias("neighbour"))
+    splits = item_splits(ends, ranges)
     rows = with_range(both_directions(lines), "neighbour", splits)
     return list_blocks(rows, "vertex", "neighbour", size=size).select(
         "vertex",

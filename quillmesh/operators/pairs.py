@@ -48,7 +48,7 @@ def pair_kernels(pairs: DataFrame, matrix) -> DataFrame:
 
     def kernels(batches):
         for batch in batches:
-            moved = _vectors(batch.column("x"), batch.num_rows) @ a.value.T
+            moved = vectors_of(batch.column("x"), a.value.shape[1]) @ a.value.T
             k = np.exp(-np.einsum("nd,nd->n", moved, moved))
             k[pc.equal(batch.column("i"), batch.column("j")).to_numpy(zero_copy_only=False)] = 0.0
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(k)], names=schema.names)
@@ -57,7 +57,10 @@ def pair_kernels(pairs: DataFrame, matrix) -> DataFrame:
 
 
 def with_pair_labels(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Add same: whether both ends carry one label. A missing label raises."""
+    """Add same: whether both ends carry one label. A missing or repeated label raises."""
+    repeated = F.concat(F.lit("more than one label for sample "), F.col("id"))
+    labels = labels.groupBy("id").agg(
+        F.when(F.count("*") > 1, F.raise_error(repeated)).otherwise(F.first("label")).alias("label"))
     small = is_small(labels)
     for end in ("i", "j"):
         at_end = labels.select(F.col("id").alias(end), F.col("label").alias(f"_{end}"))
@@ -99,7 +102,7 @@ def pair_gradient(pairs: DataFrame, labels: DataFrame, matrix) -> DataFrame:
 
     A task folds its pairs into one d x d matrix, so no pair ever carries one.
     """
-    kernels = with_pair_labels(pair_kernels(pairs, matrix), labels)
+    kernels = pair_kernels(with_pair_labels(pairs, labels), matrix)
     own = F.when(F.col("same"), F.col("k")).otherwise(0.0)
     summed = with_row_sums(kernels, pairs, F.sum("k").alias("_z"), F.sum(own).alias("_s"))
     p_pair = divide_or_zero(F.col("k"), F.col("_z"))
@@ -110,7 +113,7 @@ def pair_gradient(pairs: DataFrame, labels: DataFrame, matrix) -> DataFrame:
     def fold(batches):
         total = np.zeros((a.value.shape[1], a.value.shape[1]))
         for batch in batches:
-            x = _vectors(batch.column("x"), batch.num_rows)
+            x = vectors_of(batch.column("x"), a.value.shape[1])
             w = batch.column("w").to_numpy(zero_copy_only=False)
             total += x.T @ (x * w[:, None])
         yield _matrix_batch(a.value @ total)
@@ -124,9 +127,15 @@ def _shipped(df: DataFrame, matrix):
     return df.sparkSession.sparkContext.broadcast(np.asarray(matrix, dtype=float))
 
 
-def _vectors(column, n: int) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(n, -1) if n else flat.reshape(0, 0)
+def vectors_of(column, d: int) -> np.ndarray:
+    """The vectors of a batch as rows; raises unless all hold ``d`` numbers."""
+    flat = column.flatten()
+    lengths = pc.list_value_length(column)
+    if column.null_count or flat.null_count:
+        raise ValueError("a vector or one of its components is null")
+    if not pc.all(pc.equal(lengths, d)).as_py() and len(column):
+        raise ValueError(f"vectors differ in length from {d}: {sorted(set(lengths.to_pylist()))[:5]}")
+    return flat.to_numpy(zero_copy_only=False).reshape(len(column), d)
 
 
 def _matrix_batch(matrix: np.ndarray):

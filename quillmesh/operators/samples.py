@@ -174,6 +174,8 @@ def _unpack(rows) -> dict:
     for field in rows.type:
         column = rows.field(field.name)
         if field.name == "x":
+            if column.null_count or column.flatten().null_count:
+                raise ValueError("a vector or one of its components is null")
             column = column.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1)
         elif field.name in ("p", "z"):
             column = column.to_numpy(zero_copy_only=False)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A key is hot when it holds more than 1/MAX_HOT_KEYS of the rows, so no data
-# set has more than MAX_HOT_KEYS of them: a table of hot keys always broadcasts.
-MAX_HOT_KEYS = 1000
+# A key is hot when it holds more rows than a shuffle partition has on average,
+# or than 1/MIN_HOT_KEYS of all. So there are no more hot keys than partitions.
+MIN_HOT_KEYS = 1000
 MIN_SALTS = 64
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
@@ -27,8 +27,9 @@ def spread(scan: DataFrame) -> DataFrame:
 
 
 def is_hot(weight: Column, total: Column) -> Column:
-    """Whether a key of this weight holds more than 1/MAX_HOT_KEYS of all."""
-    return weight * MAX_HOT_KEYS > total
+    """Whether a key of this weight holds more than the share of a task."""
+    partitions = int(SparkSession.active().conf.get("spark.sql.shuffle.partitions"))
+    return weight * max(MIN_HOT_KEYS, partitions) > total
 
 
 def hot_keys(counts: DataFrame, key: str, weight: str) -> DataFrame:

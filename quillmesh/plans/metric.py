@@ -61,13 +61,13 @@ def pair_success(pairs: DataFrame, labels: DataFrame, matrix) -> DataFrame:
 
 
 def nca_fit_pairs(pairs: DataFrame, labels: DataFrame, dim: int, lr: float, epochs: int,
-                  tol: float | None = None) -> list:
+                  tol: float | None = None, matrix=None) -> list:
     """As ``nca_fit``, over the given pairs, written once and read every epoch."""
     held = scratch_path(pairs.sparkSession, "pairs")
     write_keyed(pairs, held)
     stored = read_keyed(pairs.sparkSession, held)
     return _ascend(lambda a: pair_ops.pair_gradient(stored, labels, a),
-                   np.eye(dim), lr, epochs, tol)
+                   _start(matrix, dim), lr, epochs, tol)
 
 
 def knn_predict(samples: DataFrame, labels: DataFrame, k: int, matrix=None) -> DataFrame:

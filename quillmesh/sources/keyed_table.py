@@ -5,7 +5,6 @@ Each put adds a version folder; a scan returns the newest row of every key.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +18,7 @@ def put_rows(rows: DataFrame, path: str, key: str) -> int:
 
     Of two rows with one key in a single put, the greater is kept.
     """
-    version = _latest(rows.sparkSession, path) + 1
+    version = max(_versions(rows.sparkSession, path, finished=False), default=0) + 1
     values = [c for c in rows.columns if c != key]
     if len(values) == 1:
         single = rows.groupBy(key).agg(F.max(values[0]).alias(values[0]))
@@ -31,7 +30,12 @@ def put_rows(rows: DataFrame, path: str, key: str) -> int:
 
 
 def scan_rows(spark: SparkSession, path: str) -> DataFrame:
-    stored = spark.read.parquet(path)
+    """The newest row of every key; only puts that were finished count."""
+    versions = _versions(spark, path)
+    folders = [f"{path}/{_VERSION}={version}" for version in versions]
+    stored = spark.read.option("basePath", path).parquet(*folders)
+    if len(versions) == 1:
+        return stored.drop(_VERSION)
     values = [c for c in stored.columns if c != _VERSION]
     key = values[0]
     return stored.groupBy(key).agg(*(F.max_by(v, _VERSION).alias(v) for v in values[1:]))
@@ -44,9 +48,17 @@ def export_rows(spark: SparkSession, path: str, out: str, mode: str = "errorifex
     write_key_values(rows, out, F.col(key), F.col(value), mode)
 
 
-def _latest(spark: SparkSession, path: str) -> int:
-    try:
-        stored = spark.read.parquet(path)
-    except AnalysisException:
-        return 0
-    return stored.agg(F.max(_VERSION)).first()[0] or 0
+def _versions(spark: SparkSession, path: str, finished: bool = True) -> list:
+    """Numbers of the version folders, by listing them."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(top):
+        return []
+    found = []
+    for status in store.listStatus(top):
+        folder = status.getPath()
+        name = folder.getName()
+        done = spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
+        if name.startswith(f"{_VERSION}=") and (not finished or store.exists(done)):
+            found.append(int(name.split("=")[1]))
+    return sorted(found)

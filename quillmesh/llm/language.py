@@ -103,8 +103,8 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> dict | None:
     sample.sort(key=lambda r: (r.doc_id, r.lang, bytes(r["at"]), bytes(r["values"])))
     x = []
     for r in sample:
-        at = np.frombuffer(r["at"], dtype="<u2").astype(np.int64)
-        x.append((at, np.frombuffer(r["values"], dtype="<f4") * idf[at] * _SCALE))
+        at = np.frombuffer(r["at"], dtype="<u2")
+        x.append((at, (np.frombuffer(r["values"], dtype="<f4") * idf[at] * _SCALE).astype(np.float32)))
     y = np.array([languages.index(r.lang) for r in sample], dtype=np.int64)
     back = np.arange(len(y)) % 5 == 4
     weights, bias = train([r for r, b in zip(x, back) if not b], y[~back], len(languages), DIMS,

@@ -205,8 +205,9 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray, labelled: int =
     for r in sample:
         pairs = np.frombuffer(r.packed, dtype="<i4").reshape(-1, 2)
         pairs = pairs[np.argsort(pairs[:, 0])]
-        x.append((pairs[:, 0].astype(np.int64), np.minimum(pairs[:, 1], 3).astype(float)))
-    return train(x, (y > 0).astype(np.int64), 2, DIMS, alpha=0.3, l1=0.6, l2=0.5, epochs=4)
+        x.append((pairs[:, 0].copy(), np.minimum(pairs[:, 1], 3).astype(np.float32)))
+    del sample
+    return train(x, (y > 0).astype(np.int64), 2, DIMS, alpha=0.5, l1=2.0, l2=0.1, epochs=6)
 
 
 class TokenScores(dict):

@@ -1,0 +1,182 @@
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from quillmesh.llm import language, personal_data, quality, toxicity
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+DOCS = "doc_id BIGINT, text STRING, lang STRING, score STRING, kind INT"
+ODD = [None, "", " \n", "word", "1 2 3", "aaaa " * 3000, "é" * 40]
+
+
+def frame(spark, texts, lang=lambda i: None):
+    return spark.createDataFrame([(i, t, lang(i), "x", 1) for i, t in enumerate(texts)], DOCS)
+
+
+# --- quality ----------------------------------------------------------------
+
+
+def brute_stats(text):
+    words = WORD.findall(text or "")
+    windows = Counter(zip(words, words[1:], words[2:]))
+    covered, seen, repeated = set(), set(), 0
+    for i in range(len(words) - 2):
+        if windows[tuple(words[i:i + 3])] > 1:
+            covered |= {i, i + 1, i + 2}
+    for line in (text or "").split("\n"):
+        if WORD.search(line):
+            repeated += line in seen
+            seen.add(line)
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), repeated, len(covered))
+
+
+def test_statistics_and_verdicts(spark, tables):
+    docs, labels = tables("documents"), tables("labels")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = quality.judged(docs, labels).collect()
+    assert len(rows) == len(texts)
+    marks = {r.doc_id: r.quality for r in labels.collect()}
+    for r in rows:
+        stats = brute_stats(texts[r.doc_id])
+        assert tuple(r[c] for c in quality.STATS) == stats
+        assert r.base_failed == (stats[0] < 50 or 100 * stats[4] > 50 * stats[0])
+        assert not (r.kept and r.base_failed)
+    judged = [r for r in rows if r.doc_id in marks and not r.base_failed]
+    assert np.mean([r.kept == (marks[r.doc_id] == 1) for r in judged]) > 0.9
+
+
+def test_odd_texts_without_labels(spark):
+    labels = spark.createDataFrame([], "doc_id BIGINT, quality INT, toxic INT")
+    rows = quality.judged(frame(spark, ODD), labels).collect()
+    for r in rows:
+        assert tuple(r[c] for c in quality.STATS) == brute_stats(ODD[r.doc_id])
+        assert r.kept == (not r.base_failed)
+    assert quality.judged(frame(spark, []), labels).count() == 0
+
+
+def test_trees_are_monotonic_and_learn():
+    rng = np.random.default_rng(0)
+    x = rng.uniform(size=(2000, 2))
+    y = ((x[:, 0] > 0.5) ^ (rng.uniform(size=2000) < 0.05)).astype(float)
+    trees = quality.boost(x, y, [-1, 0])
+    line = np.column_stack([np.linspace(0, 1, 50), np.full(50, 0.5)])
+    assert (np.diff(trees.probability(line)) <= 1e-12).all()
+    free = quality.boost(x, y, [1, 0])
+    assert (np.diff(free.probability(line)) >= -1e-12).all()
+    assert ((free.probability(x) > 0.5) == (x[:, 0] > 0.5)).mean() > 0.97
+
+
+# --- toxicity ---------------------------------------------------------------
+
+
+def test_toxicity_held_out(spark):
+    rng = np.random.default_rng(4)
+    good = ["river", "stone", "window", "garden", "letter", "mountain", "summer", "idea"]
+    bad = ["idiot", "stupid", "scum"]
+    texts, marks = [], []
+    for i in range(600):
+        words = list(rng.choice(good, 40))
+        toxic = i % 4 == 0
+        if toxic:
+            words[::10] = rng.choice(bad, 4)
+        texts.append(" ".join(words))
+        marks.append((i, 1, int(toxic)))
+    planted = ["river st0ne 1d10t " * 3, "garden i.d.i.o.t letter s.c.u.m stuuupid", "summer s t u p i d idea"]
+    labels = spark.createDataFrame(marks + [(None, 1, 1), (3, 1, None)], "doc_id BIGINT, quality INT, toxic INT")
+    rows = {r.doc_id: r for r in toxicity.toxicity_scores(frame(spark, texts + planted + ODD), labels).collect()}
+    for i in range(600):
+        assert rows[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0)
+    assert np.mean([rows[i].predicted == marks[i][2] for i in range(600) if rows[i].held_out]) > 0.95
+    assert [rows[600 + i].predicted for i in range(3)] == [1, 1, 1]
+    assert [rows[603 + i].predicted for i in range(len(ODD))] == [0] * len(ODD)
+    none = spark.createDataFrame([], "doc_id BIGINT, quality INT, toxic INT")
+    assert {r.score for r in toxicity.toxicity_scores(frame(spark, ODD), none).collect()} == {0.0}
+    assert toxicity.toxicity_scores(frame(spark, []), none).count() == 0
+
+
+# --- language ---------------------------------------------------------------
+
+
+def test_language_held_out(spark, tables):
+    docs = tables("documents")
+    rows = language.predict(docs, language.learn(docs)).collect()
+    want = {r.doc_id: r.lang for r in docs.collect() if r.lang}
+    held = [r for r in rows if r.held_out]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    assert np.mean([r.lang_pred == want[r.doc_id] for r in held if r.doc_id in want]) > 0.95
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_odd_texts_have_no_language(spark):
+    texts = ODD + ["der hund und die katze " * 20, "the dog and the cat " * 20] * 10
+    docs = frame(spark, texts, lambda i: [None, "de", "en"][0 if i < len(ODD) else 1 + (i - len(ODD)) % 2])
+    rows = {r.doc_id: r for r in language.predict(docs, language.learn(docs)).collect()}
+    for i, text in enumerate(texts):
+        und = text is None or not any(map(str.isalpha, text))
+        assert (rows[i].lang_pred == "und") == und and (rows[i].score == 0.0) == und
+    assert rows[len(ODD)].lang_pred == "de" and rows[len(ODD) + 1].lang_pred == "en"
+    none = frame(spark, ODD)
+    assert {r.lang_pred for r in language.predict(none, language.learn(none)).collect()} == {"und"}
+
+
+def test_long_texts_are_read_whole():
+    text = "abcé" * 300_000
+    assert sum(len(ids) for ids in language.grams(text)) == pytest.approx(3 * len(text), abs=8)
+
+
+# --- personal data ----------------------------------------------------------
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def fits(kind, match):
+    digits = re.sub("[^0-9]", "", match)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in match.split("."))
+    if kind == "phone":
+        return 10 <= len(digits) <= 15
+    doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
+    return kind == "email" or 14 <= len(digits) <= 19 and sum(x - 9 * (x > 9) for x in doubled) % 10 == 0
+
+
+def brute_spans(text):
+    found = [(m.start(), i, f"{kind}:{m.start()}:{m.end()}") for i, (kind, pattern) in enumerate(PLAIN.items())
+             for m in re.finditer(pattern, text or "") if fits(kind, m[0])]
+    return ",".join(x for _, _, x in sorted(found))
+
+
+def test_base_spans_against_brute_force(spark, tables):
+    rng = np.random.default_rng(9)
+    parts = ["1", "23", "4.5", ".", "@", "a", "b-c", "_", "+", "%", " ", " 12", "255", "256", "-", "(", ")", "é",
+             "😀", "\n", "4041894974608795"]
+    texts = ["".join(rng.choice(parts, rng.integers(1, 60))) for _ in range(800)] + ODD
+    texts += [r.text for r in tables("documents").collect()]
+    rows = personal_data.find_personal_data(frame(spark, texts)).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert r.base_spans == brute_spans(texts[r.doc_id])
+        assert set(filter(None, r.base_spans.split(","))) <= set(r.spans.split(","))
+        kinds = Counter(x.split(":")[0] for x in r.base_spans.split(",") if x)
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(kinds[k] for k in personal_data.KINDS)
+
+
+def test_contexts_find_unknown_identifiers(spark):
+    texts = [f"call +1 (55{i}) 555-{1000 + i} now" for i in range(8)] + ["call (551) 555-7777 now", "year 1999"]
+    rows = {r.doc_id: r for r in personal_data.find_personal_data(frame(spark, texts)).collect()}
+    assert rows[8].n_phone == 0 and "phone:11:19" in rows[8].spans.split(",")
+    assert rows[9].spans == ""
+    assert personal_data.find_personal_data(frame(spark, [])).count() == 0
+
+
+def test_very_long_runs(spark):
+    texts = ["a" * 200_000, "1" * 200_000, "1.2" * 60_000, "+1" + " " * 100_000]
+    rows = personal_data.find_personal_data(frame(spark, texts)).collect()
+    assert [r.n_phone for r in rows] == [0, 0, 0, 0] and sum(r.n_ip for r in rows) > 0

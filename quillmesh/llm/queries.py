@@ -79,7 +79,7 @@ def oracle_sql() -> dict:
     return {
         "op2_exact_top_k": """
             WITH vectors AS (
-              SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS v
+              SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
               FROM embeddings),
             scores AS (
               SELECT q.vec_id AS query_id, c.vec_id AS vec_id,

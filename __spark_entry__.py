@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from quillmesh.functions import vectors  # noqa: E402
-from quillmesh.functions.text import render_postings  # noqa: E402
+from quillmesh.functions.text import leading_number, render_postings  # noqa: E402
 from quillmesh.operators import graph as graph_ops  # noqa: E402
 from quillmesh.operators import pairs as pair_ops  # noqa: E402
 from quillmesh.operators import text as text_ops  # noqa: E402
@@ -118,6 +118,19 @@ def postings_roundtrip(spark, sf_dir):
     return text_ops.parse_index(text.index_lines(index))
 
 
+def sorted_index_lines(spark, sf_dir):
+    """The lines of the text index by average, cut up again to be compared."""
+    tab = F.lit("\t")
+    lines = text.index_lines(_index(spark, sf_dir))
+    lines = text.sort_index_lines(lines.select(F.concat("key", tab, "value").alias("value")))
+    postings = F.expr("substring(value, instr(value, '\t') + 1)")
+    return lines.select(
+        F.substring_index("value", "\t", 1).alias("term"),
+        leading_number(F.col("value")).alias("avg_count"),
+        F.regexp_replace(postings, "^[^,]*, ", "").alias("postings"),
+    )
+
+
 def index_by_frequency(spark, sf_dir):
     averages = text.term_averages(documents(spark, sf_dir))
     return text.index_by_frequency(averages).select("term", "avg_count")
@@ -139,6 +152,22 @@ def author_documents(spark, sf_dir):
     return text_ops.author_documents(document_list(spark, sf_dir))
 
 
+def _named(rows: DataFrame) -> DataFrame:
+    """Documents named author and number, with no other sign of the author."""
+    return rows.withColumn("doc", F.concat("author", "doc")).drop("author")
+
+
+def authors_from_names(spark, sf_dir):
+    return text_ops.author_documents(_named(document_list(spark, sf_dir)))
+
+
+def tf_idf_from_lines(spark, sf_dir):
+    names = _named(document_list(spark, sf_dir))
+    index = text.inverted_index(_named(documents(spark, sf_dir)), size=BLOCK, names=names)
+    weights = text.tf_idf_from_lines(text.index_lines(index), names)
+    return weights.withColumn("tf_idf", _round("tf_idf"))
+
+
 def tf_idf(spark, sf_dir):
     weights = text.tf_idf(documents(spark, sf_dir), document_list(spark, sf_dir))
     return weights.withColumn("tf_idf", _round("tf_idf"))
@@ -238,11 +267,14 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "term_doc_counts": term_doc_counts,
         "inverted_index": inverted_index,
         "postings_roundtrip": postings_roundtrip,
+        "sorted_index_lines": sorted_index_lines,
         "index_by_frequency": index_by_frequency,
         "frequent_terms": frequent_terms,
         "top_average_terms": top_average_terms,
         "author_documents": author_documents,
+        "authors_from_names": authors_from_names,
         "tf_idf": tf_idf,
+        "tf_idf_from_lines": tf_idf_from_lines,
         "adjacency_any": _adjacency("undirected"),
         "adjacency_reciprocal": _adjacency("directed"),
         "degrees": degrees,
@@ -276,6 +308,8 @@ averages AS (
   FROM counts GROUP BY term)
 """
 
+_AUTHOR = "regexp_replace(source || CAST(doc_id AS VARCHAR), '[0-9]+.*$', '')"
+
 _EDGES_ANY = """
 lines AS (
   SELECT DISTINCT least(l_partkey, l_suppkey) AS lo, greatest(l_partkey, l_suppkey) AS hi
@@ -392,6 +426,13 @@ def _own_sql() -> dict[str, str]:
                    string_agg(doc || ': ' || n || '; ', '' ORDER BY doc) AS postings
             FROM ranked JOIN averages USING (term) GROUP BY term, block, avg_count, n_docs""",
         "postings_roundtrip": counts,
+        "sorted_index_lines": f"""
+            WITH {_TERMS}, ranked AS (
+              SELECT term, doc, n,
+                     (row_number() OVER (PARTITION BY term ORDER BY doc) - 1) // {BLOCK} AS block
+              FROM counts)
+            SELECT term, avg_count, string_agg(doc || ': ' || n || '; ', '' ORDER BY doc) AS postings
+            FROM ranked JOIN averages USING (term) GROUP BY term, block, avg_count""",
         "index_by_frequency": f"WITH {_TERMS} SELECT term, avg_count FROM averages",
         "frequent_terms": f"""
             WITH {_TERMS} SELECT term, avg_count FROM averages WHERE avg_count > {THRESHOLD}""",
@@ -400,6 +441,16 @@ def _own_sql() -> dict[str, str]:
             ORDER BY avg_count DESC, term LIMIT 100""",
         "author_documents": """
             SELECT source AS author, count(*) AS n_docs FROM documents GROUP BY source""",
+        "authors_from_names": f"SELECT {_AUTHOR} AS author, count(*) AS n_docs FROM documents GROUP BY 1",
+        "tf_idf_from_lines": f"""
+            WITH {_TERMS}, authors AS (
+              SELECT {_AUTHOR} AS author, count(*) AS n_docs FROM documents GROUP BY 1),
+            author_terms AS (
+              SELECT regexp_replace(author || doc, '[0-9]+.*$', '') AS author, term,
+                     CAST(sum(n) AS BIGINT) AS tf, count(*) AS df
+              FROM counts GROUP BY 1, 2)
+            SELECT author, term, tf, df, {_rounded('tf * ln(authors.n_docs / (df + 1.0))')} AS tf_idf
+            FROM author_terms JOIN authors USING (author)""",
         "tf_idf": f"""
             WITH {_TERMS}, authors AS (
               SELECT source AS author, count(*) AS n_docs FROM documents GROUP BY source),

@@ -6,6 +6,7 @@ Inputs and outputs are paths; text goes in and comes out as plain lines.
 from __future__ import annotations
 
 import argparse
+from itertools import count
 
 import numpy as np
 from pyspark.sql import SparkSession
@@ -17,7 +18,7 @@ from .plans import graph, metric, text
 from .sources import keyed_table
 from .sources import text as files
 from .sources.delimited import read_delimited
-from .sources.matrices import save_model
+from .sources.matrices import last_epoch, load_model, save_epoch
 
 AVERAGES = "word STRING, count DOUBLE"
 
@@ -87,10 +88,17 @@ def triangles(spark, a):
 
 def nca(spark, a):
     labels = files.read_labels(spark, a.labels)
+    done, matrix = 0, np.eye(a.dim)
+    if a.resume:
+        done = last_epoch(spark, a.output)
+        matrix = load_model(spark, a.output, done)
+    else:
+        save_epoch(spark, 0, matrix, a.output, "overwrite")
+    numbers = count(done + 1)
     history = metric.nca_fit_pairs(
-        files.read_pairs(spark, a.pairs), labels, a.dim, a.lr, a.epochs, a.tol
+        files.read_pairs(spark, a.pairs), labels, a.dim, a.lr, a.epochs - done, a.tol, matrix,
+        lambda learned: save_epoch(spark, next(numbers), learned, a.output),
     )
-    save_model(spark, history, a.output)
     for row in np.asarray(history[-1]):
         print(" ".join(repr(float(v)) for v in row))
 
@@ -124,6 +132,8 @@ def parser() -> argparse.ArgumentParser:
     training.add_argument("lr", type=float)
     training.add_argument("epochs", type=int)
     training.add_argument("--tol", type=float)
+    training.add_argument("--resume", action="store_true",
+                          help="go on from the last epoch that the output holds")
     return top
 
 

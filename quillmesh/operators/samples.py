@@ -63,32 +63,41 @@ def block_count(samples: DataFrame, n: int, d: int) -> int:
 def block_cells(samples: DataFrame, blocks: int) -> DataFrame:
     """(own, other, diagonal) rows, one for every two blocks.
 
-    Block b is sent to b, b+1, ... half way round the ring of blocks, so each
-    two blocks meet once and each block is the target of as many rows.
+    Blocks are dealt to groups and every two groups meet in one cell, where
+    their blocks do. A block travels once or twice per group, and groups grow
+    with the root of the tasks, not with the samples. Cells are merged, so the
+    blocks of a group may spill.
     """
-    half = blocks // 2
+    session = samples.sparkSession
+    tasks = max(int(session.conf.get("spark.sql.shuffle.partitions")),
+                session.sparkContext.defaultParallelism)
+    groups = group_count(blocks, tasks)
     packed = samples.groupBy(
         F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block")
     ).agg(F.collect_list(F.struct(*samples.columns)).alias("rows"))
-    sent = packed.select(
-        "block", F.col("rows").alias("own"), F.explode(F.sequence(F.lit(0), F.lit(half))).alias("step")
+    group = F.col("block") % groups
+    own = packed.select(
+        group.alias("low"), F.explode(F.sequence(group, F.lit(groups - 1))).alias("high"),
+        F.col("block").alias("own_block"), F.col("rows").alias("own"),
     )
-    if blocks % 2 == 0 and blocks > 1:
-        sent = sent.where(f"step < {half} or block < {half}")
-    session = samples.sparkSession
-    tasks = min(blocks, max(int(session.conf.get("spark.sql.shuffle.partitions")),
-                            session.sparkContext.defaultParallelism))
-    sent = sent.select(
-        ((F.col("block") + F.col("step")) % blocks).alias("target"),
-        "own",
-        (F.col("step") == 0).alias("diagonal"),
-    ).repartition(tasks, "target")
-    targets = packed.select(F.col("block").alias("target"), F.col("rows").alias("other"))
-    return sent.join(targets.repartition(tasks, "target").hint("shuffle_hash"), "target").select(
-        "own", "other", "diagonal"
+    other = packed.select(
+        F.explode(F.sequence(F.lit(0), group)).alias("low"), group.alias("high"),
+        F.col("block").alias("other_block"), F.col("rows").alias("other"),
+    )
+    tasks = min(tasks, groups * (groups + 1) // 2)
+    own, other = (side.repartition(tasks, "low", "high") for side in (own, other))
+    return (
+        own.join(other.hint("merge"), ["low", "high"])
+        .where("low < high or own_block <= other_block")
+        .select("own", "other", (F.col("own_block") == F.col("other_block")).alias("diagonal"))
     )
 
 
+def group_count(blocks: int, tasks: int) -> int:
+    """Groups of blocks for about two cells per task."""
+    return min(blocks, math.ceil(2 * math.sqrt(tasks)))
+
+
 def kernel_sums(samples: DataFrame, matrix, blocks: int) -> DataFrame:
     """(id, z, s): kernel sums of each sample over all others and its own label."""
     a = samples.sparkSession.sparkContext.broadcast(np.asarray(matrix, dtype=float))

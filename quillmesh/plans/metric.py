@@ -38,17 +38,19 @@ def nca_gradient(samples: DataFrame, labels: DataFrame, matrix=None) -> DataFram
 
 
 def nca_fit(samples: DataFrame, labels: DataFrame, lr: float, epochs: int,
-            tol: float | None = None, matrix=None) -> list:
+            tol: float | None = None, matrix=None,
+            each: Callable[[np.ndarray], None] | None = None) -> list:
     """Matrices by epoch, [0] being the start (the identity by default).
 
-    Ends early once no entry of A moves by ``tol`` or more. Only A, d x d
-    numbers, comes to the driver; the plan of an epoch never grows.
+    Ends early once no entry of A moves by ``tol`` or more. ``each`` is given A
+    after every epoch. Only A, d x d numbers, comes to the driver; the plan of
+    an epoch never grows.
     """
     rows, n, d = sample_ops.labelled_samples(samples, labels)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _ascend(_sample_gradient(rows, sample_ops.block_count(rows, n, d)),
-                       _start(matrix, d), lr, epochs, tol)
+                       _start(matrix, d), lr, epochs, tol, each)
     finally:
         rows.unpersist()
 
@@ -61,13 +63,14 @@ def pair_success(pairs: DataFrame, labels: DataFrame, matrix) -> DataFrame:
 
 
 def nca_fit_pairs(pairs: DataFrame, labels: DataFrame, dim: int, lr: float, epochs: int,
-                  tol: float | None = None, matrix=None) -> list:
+                  tol: float | None = None, matrix=None,
+                  each: Callable[[np.ndarray], None] | None = None) -> list:
     """As ``nca_fit``, over the given pairs, written once and read every epoch."""
     held = scratch_path(pairs.sparkSession, "pairs")
     write_keyed(pairs, held)
     stored = read_keyed(pairs.sparkSession, held)
     return _ascend(lambda a: pair_ops.pair_gradient(stored, labels, a),
-                   _start(matrix, dim), lr, epochs, tol)
+                   _start(matrix, dim), lr, epochs, tol, each)
 
 
 def knn_predict(samples: DataFrame, labels: DataFrame, k: int, matrix=None) -> DataFrame:
@@ -102,7 +105,7 @@ def _sample_gradient(rows: DataFrame, blocks: int) -> Callable[[np.ndarray], Dat
 
 
 def _ascend(gradient: Callable[[np.ndarray], DataFrame], a: np.ndarray, lr: float,
-            epochs: int, tol: float | None) -> list:
+            epochs: int, tol: float | None, each) -> list:
     history = [a]
     for _ in range(epochs):
         step = np.zeros_like(a)
@@ -110,6 +113,8 @@ def _ascend(gradient: Callable[[np.ndarray], DataFrame], a: np.ndarray, lr: floa
             step[row.r, row.c] = lr * row.v
         a = a + step
         history.append(a)
+        if each is not None:
+            each(a)
         if tol is not None and np.abs(step).max() < tol:
             break
     return history

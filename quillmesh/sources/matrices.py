@@ -32,11 +32,21 @@ def save_model(spark: SparkSession, history: list, path: str, mode: str = "overw
     model_frame(spark, history).write.mode(mode).parquet(path)
 
 
+def save_epoch(spark: SparkSession, epoch: int, matrix, path: str, mode: str = "append") -> None:
+    """Add the matrix of one epoch to a model, in one file: all of it or nothing."""
+    rows = model_frame(spark, [matrix]).withColumn("epoch", F.lit(epoch))
+    rows.coalesce(1).write.mode(mode).parquet(path)
+
+
+def last_epoch(spark: SparkSession, path: str) -> int:
+    return spark.read.parquet(path).agg(F.max("epoch")).first()[0]
+
+
 def load_model(spark: SparkSession, path: str, epoch: int | None = None) -> np.ndarray:
     """The matrix of one epoch, the last by default; d x d numbers."""
     stored = spark.read.parquet(path)
     if epoch is None:
-        epoch = stored.agg(F.max("epoch")).first()[0]
+        epoch = last_epoch(spark, path)
     rows = stored.where(F.col("epoch") == epoch).collect()
     matrix = np.zeros((1 + max(r.r for r in rows), 1 + max(r.c for r in rows)))
     for row in rows:

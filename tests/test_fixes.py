@@ -4,12 +4,14 @@ import os
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quillmesh.operators import blocks, skew
 from quillmesh.operators import graph as graph_ops
 from quillmesh.operators import pairs as pair_ops
+from quillmesh.operators import samples as sample_ops
 from quillmesh.plans import metric
-from quillmesh.sources import keyed_table, scratch
+from quillmesh.sources import keyed_table, matrices, scratch
 
 ONE = np.eye(2)
 PAIRS = "i STRING, j STRING, x ARRAY<DOUBLE>"
@@ -72,7 +74,6 @@ def test_null_components_of_samples_raise(spark):
 def test_ranges_cover_both_ends(spark):
     edges = spark.range(4000).selectExpr("id AS src", "id % 10 + 5000 AS dst")
     ends = graph_ops.both_directions(graph_ops.simple_edges(edges))
-    from pyspark.sql import functions as F
 
     splits = blocks.item_splits(edges.select(F.explode(F.array("src", "dst")).alias("v")), 16)
     counts = [r["count"] for r in blocks.with_range(ends, "neighbour", splits).groupBy(blocks.RANGE).count().collect()]
@@ -102,3 +103,37 @@ def test_scratch_tables(spark, tmp_path):
     assert kept.count() == 5 and os.listdir(tmp_path)[0].startswith("five-")
 
 
+
+
+def test_copies_of_a_block_follow_the_tasks_not_the_samples():
+    for tasks in (8, 200, 20_000):
+        groups = [sample_ops.group_count(blocks, tasks) for blocks in (10**3, 10**5, 10**7)]
+        assert max(groups) <= 2 * tasks**0.5 + 1
+        assert groups[1] == groups[2]
+
+
+@pytest.mark.parametrize("blocks", [1, 2, 7, 12])
+def test_every_two_blocks_meet_in_one_cell(spark, blocks):
+    rows = spark.range(200).select("id", F.lit("a").alias("label"), F.array(F.lit(1.0)).alias("x"))
+    cells = sample_ops.block_cells(rows, blocks).select(
+        F.explode("own.id").alias("i"), "other.id", "diagonal")
+    met = cells.select("i", F.explode("id").alias("j"), "diagonal")
+    found = [(min(r.i, r.j), max(r.i, r.j)) for r in met.collect() if not r.diagonal or r.i <= r.j]
+    assert sorted(found) == [(i, j) for i in range(200) for j in range(i, 200)]
+
+
+def test_a_cut_training_goes_on(spark, tmp_path):
+    pairs = [("a", "b", [1.0, 0.0]), ("a", "c", [0.0, 1.0]), ("b", "a", [-1.0, 0.0]),
+             ("b", "c", [-1.0, 1.0]), ("c", "a", [0.0, -1.0]), ("c", "b", [1.0, -1.0])]
+    rows = spark.createDataFrame(pairs, "i STRING, j STRING, x ARRAY<DOUBLE>")
+    labels = spark.createDataFrame([("a", "1"), ("b", "1"), ("c", "2")], "id STRING, label STRING")
+    path = str(tmp_path / "model")
+    whole = metric.nca_fit_pairs(rows, labels, 2, 0.1, 3)
+    matrices.save_epoch(spark, 0, whole[0], path)
+    seen = []
+    metric.nca_fit_pairs(rows, labels, 2, 0.1, 2, each=seen.append)
+    for epoch, matrix in enumerate(seen, 1):
+        matrices.save_epoch(spark, epoch, matrix, path)
+    assert matrices.last_epoch(spark, path) == 2
+    more = metric.nca_fit_pairs(rows, labels, 2, 0.1, 1, matrix=matrices.load_model(spark, path))
+    assert np.allclose(more[-1], whole[-1]) and not np.allclose(whole[-1], whole[0])

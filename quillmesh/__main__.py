@@ -103,6 +103,21 @@ def nca(spark, a):
         print(" ".join(repr(float(v)) for v in row))
 
 
+def _learned(spark, a):
+    return load_model(spark, a.model, last_epoch(spark, a.model) if a.epoch is None else a.epoch)
+
+
+def pair_probabilities(spark, a):
+    found = metric.pair_probabilities(files.read_pairs(spark, a.pairs), _learned(spark, a))
+    files.write_key_values(found, a.output, F.concat("i", F.lit(","), "j"), F.col("p"))
+
+
+def pair_success(spark, a):
+    pairs, labels = files.read_pairs(spark, a.pairs), files.read_labels(spark, a.labels)
+    found = metric.pair_success(pairs, labels, _learned(spark, a))
+    files.write_key_values(found, a.output, F.col("i"), F.col("p"))
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="quillmesh", description=__doc__)
     jobs = top.add_subparsers(required=True, metavar="job")
@@ -134,6 +149,9 @@ def parser() -> argparse.ArgumentParser:
     training.add_argument("--tol", type=float)
     training.add_argument("--resume", action="store_true",
                           help="go on from the last epoch that the output holds")
+    for after in (job(pair_probabilities, "pairs", "model", "output"),
+                  job(pair_success, "pairs", "labels", "model", "output")):
+        after.add_argument("--epoch", type=int, help="of the model; the last by default")
     return top
 
 

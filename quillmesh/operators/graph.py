@@ -9,6 +9,7 @@ from .blocks import BLOCK_SIZE, item_splits, list_blocks, with_range
 from .skew import flag_hot, is_hot, salted_join
 
 MODES = ("undirected", "directed")
+CHUNK = 1000  # mids of one tail that one task opens
 
 
 def simple_edges(edges: DataFrame, mode: str = "undirected") -> DataFrame:
@@ -95,13 +96,14 @@ def oriented_edges(lines: DataFrame, flagged: DataFrame) -> DataFrame:
     ).where("tail IS NOT NULL")
 
 
-def count_triangles(edges: DataFrame, mode: str = "undirected") -> DataFrame:
+def count_triangles(edges: DataFrame, mode: str = "undirected", chunk: int = CHUNK) -> DataFrame:
     """One row, n. Each triangle is met once, at its lowest vertex.
 
     For an edge tail -> mid the closing vertices are the later heads of tail
     that are heads of mid too. Head lists hold at most sqrt(2 m) vertices and
     no pair of them is written out: the edge carries the list and is answered
-    by one intersection. Mids are hubs, so their rows are salted.
+    by one intersection. Mids are hubs, so their rows are salted. A tail with
+    more than ``chunk`` heads is opened by several tasks.
     """
     lines = simple_edges(edges, mode)
     total = lines.agg(F.count("*") * 2).scalar()
@@ -114,9 +116,14 @@ def count_triangles(edges: DataFrame, mode: str = "undirected") -> DataFrame:
         .groupBy("tail")
         .agg(F.sort_array(F.collect_list(F.struct("head_degree", "head"))).alias("heads"))
     )
+    parts = F.explode(F.sequence(F.lit(0), F.size("heads") - 2, F.lit(chunk)))
+    short = tails.where(F.size("heads").between(2, chunk)).withColumn("first", F.lit(0))
+    long = tails.where(F.size("heads") > F.greatest(F.lit(1), F.lit(chunk))).withColumn("first", parts)
+    some = F.slice("heads", F.col("first") + 1, F.lit(chunk))
     open_edges = (
-        tails.where(F.size("heads") > 1)
-        .select(F.col("heads.head").alias("heads"), F.posexplode("heads").alias("at", "mid"))
+        short.unionByName(long.repartition("tail", "first"))
+        .select(F.col("heads.head").alias("heads"), "first", F.posexplode(some).alias("at", "mid"))
+        .withColumn("at", F.col("first") + F.col("at"))
         .where(F.col("at") + 1 < F.size("heads"))
         .select(
             F.col("mid.head").alias("mid"),

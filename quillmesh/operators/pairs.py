@@ -71,15 +71,19 @@ def with_pair_labels(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.withColumn("same", same).drop("_i", "_j")
 
 
-def with_row_sums(kernels: DataFrame, pairs: DataFrame, *sums: Column) -> DataFrame:
+def row_counts(pairs: DataFrame) -> DataFrame:
+    """(i, _rows), read off no other column of the pairs."""
+    return pairs.groupBy("i").agg(F.count("*").alias("_rows"))
+
+
+def with_row_sums(kernels: DataFrame, counts: DataFrame, small: bool, *sums: Column) -> DataFrame:
     """Attach sums over each i to its pairs; the sums combine map-side.
 
-    The i are counted off ``pairs``, whose other columns need not be read: few
-    of them spare the pairs a shuffle, and hot ones are salted.
+    ``counts`` are the rows of each i and ``small`` tells whether they are few:
+    few of them spare the pairs a shuffle, and hot ones are salted.
     """
-    counts = pairs.groupBy("i").agg(F.count("*").alias("_rows"))
     totals = kernels.groupBy("i").agg(*sums)
-    return lookup_join(kernels, totals, "i", small=is_small(counts), counts=counts)
+    return lookup_join(kernels, totals, "i", small=small, counts=counts)
 
 
 def pair_probabilities(kernels: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
@@ -87,7 +91,8 @@ def pair_probabilities(kernels: DataFrame, pairs: DataFrame | None = None) -> Da
 
     ``pairs`` is the table the kernels came from, if it is at hand.
     """
-    summed = with_row_sums(kernels, kernels if pairs is None else pairs, F.sum("k").alias("_z"))
+    counts = row_counts(kernels if pairs is None else pairs)
+    summed = with_row_sums(kernels, counts, is_small(counts), F.sum("k").alias("_z"))
     return summed.withColumn("p", divide_or_zero(F.col("k"), F.col("_z"))).drop("_z")
 
 
@@ -98,13 +103,19 @@ def pair_success(probabilities: DataFrame) -> DataFrame:
 
 
 def pair_gradient(pairs: DataFrame, labels: DataFrame, matrix) -> DataFrame:
-    """(r, c, v) of A . sum of w x x^T with w = p_ij (p_i - [same label]).
+    """(r, c, v) of A . sum of w x x^T with w = p_ij (p_i - [same label])."""
+    counts = row_counts(pairs)
+    return labelled_gradient(with_pair_labels(pairs, labels), counts, is_small(counts), matrix)
+
+
+def labelled_gradient(pairs: DataFrame, counts: DataFrame, small: bool, matrix) -> DataFrame:
+    """As ``pair_gradient``, over pairs that carry same, with their row counts.
 
     A task folds its pairs into one d x d matrix, so no pair ever carries one.
     """
-    kernels = pair_kernels(with_pair_labels(pairs, labels), matrix)
+    kernels = pair_kernels(pairs, matrix)
     own = F.when(F.col("same"), F.col("k")).otherwise(0.0)
-    summed = with_row_sums(kernels, pairs, F.sum("k").alias("_z"), F.sum(own).alias("_s"))
+    summed = with_row_sums(kernels, counts, small, F.sum("k").alias("_z"), F.sum(own).alias("_s"))
     p_pair = divide_or_zero(F.col("k"), F.col("_z"))
     p_row = divide_or_zero(F.col("_s"), F.col("_z"))
     weighted = summed.select("x", (p_pair * (p_row - F.col("same").cast("double"))).alias("w"))
@@ -116,7 +127,7 @@ def pair_gradient(pairs: DataFrame, labels: DataFrame, matrix) -> DataFrame:
             x = vectors_of(batch.column("x"), a.value.shape[1])
             w = batch.column("w").to_numpy(zero_copy_only=False)
             total += x.T @ (x * w[:, None])
-        yield _matrix_batch(a.value @ total)
+        yield matrix_batch(a.value @ total)
 
     return weighted.mapInArrow(fold, "r INT, c INT, v DOUBLE").groupBy("r", "c").agg(
         F.sum("v").alias("v")
@@ -138,7 +149,7 @@ def vectors_of(column, d: int) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).reshape(len(column), d)
 
 
-def _matrix_batch(matrix: np.ndarray):
+def matrix_batch(matrix: np.ndarray):
     r, c = np.indices(matrix.shape)
     return pa.RecordBatch.from_arrays(
         [pa.array(r.ravel(), pa.int32()), pa.array(c.ravel(), pa.int32()), pa.array(matrix.ravel())],

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import divide_or_zero
+from .pairs import matrix_batch
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -143,7 +144,7 @@ def gradient(samples: DataFrame, successes: DataFrame, matrix, blocks: int) -> D
             total += x.T @ (x * v.sum(axis=1)[:, None])
             total += y.T @ (y * v.sum(axis=0)[:, None])
             total -= cross + cross.T
-        yield _matrix_batch(a.value @ total)
+        yield matrix_batch(a.value @ total)
 
     parts = block_cells(scored, blocks).mapInArrow(fold, "r INT, c INT, v DOUBLE")
     return parts.groupBy("r", "c").agg(F.sum("v").alias("v"))
@@ -220,14 +221,6 @@ def _sums_batch(ids, z: np.ndarray, s: np.ndarray):
     return pa.RecordBatch.from_arrays([ids, pa.array(z), pa.array(s)], names=["id", "z", "s"])
 
 
-def _matrix_batch(matrix: np.ndarray):
-    r, c = np.indices(matrix.shape)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(r.ravel(), pa.int32()), pa.array(c.ravel(), pa.int32()), pa.array(matrix.ravel())],
-        names=["r", "c", "v"],
-    )
-
-
 def _nearest_batch(own: dict, other: dict, distance: np.ndarray, k: int, diagonal: bool):
     order = pa.compute.sort_indices(other["id"]).to_numpy()
     if diagonal:

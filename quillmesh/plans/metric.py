@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from ..operators import pairs as pair_ops
 from ..operators import samples as sample_ops
-from ..sources.matrices import read_keyed, write_keyed
-from ..sources.scratch import scratch_path
+from ..operators.skew import is_small
+from ..sources.scratch import keep
 
 
 def sample_success(samples: DataFrame, labels: DataFrame, matrix=None) -> DataFrame:
@@ -57,19 +57,27 @@ def nca_fit(samples: DataFrame, labels: DataFrame, lr: float, epochs: int,
 
 def pair_success(pairs: DataFrame, labels: DataFrame, matrix) -> DataFrame:
     """(i, p) over the given pairs."""
+    kernels = pair_ops.pair_kernels(pair_ops.with_pair_labels(pairs, labels), matrix).drop("x")
+    return pair_ops.pair_success(pair_ops.pair_probabilities(kernels, pairs))
+
+
+def pair_probabilities(pairs: DataFrame, matrix) -> DataFrame:
+    """(i, j, p) over the given pairs."""
     kernels = pair_ops.pair_kernels(pairs, matrix).drop("x")
-    probabilities = pair_ops.pair_probabilities(kernels, pairs)
-    return pair_ops.pair_success(pair_ops.with_pair_labels(probabilities, labels))
+    return pair_ops.pair_probabilities(kernels, pairs).select("i", "j", "p")
 
 
 def nca_fit_pairs(pairs: DataFrame, labels: DataFrame, dim: int, lr: float, epochs: int,
                   tol: float | None = None, matrix=None,
                   each: Callable[[np.ndarray], None] | None = None) -> list:
-    """As ``nca_fit``, over the given pairs, written once and read every epoch."""
-    held = scratch_path(pairs.sparkSession, "pairs")
-    write_keyed(pairs, held)
-    stored = read_keyed(pairs.sparkSession, held)
-    return _ascend(lambda a: pair_ops.pair_gradient(stored, labels, a),
+    """As ``nca_fit``, over the given pairs.
+
+    Pairs are labelled, counted and written once; an epoch reads them.
+    """
+    stored = keep(pair_ops.with_pair_labels(pairs, labels), "pairs")
+    counts = keep(pair_ops.row_counts(stored), "rows")
+    small = is_small(counts)
+    return _ascend(lambda a: pair_ops.labelled_gradient(stored, counts, small, a),
                    _start(matrix, dim), lr, epochs, tol, each)
 
 

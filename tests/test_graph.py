@@ -113,3 +113,10 @@ def test_hubs_with_a_third_of_all_edges(spark):
     lists = graph.adjacency(edges, size=500).where(F.col("vertex") == n).orderBy("block").collect()
     assert [v for r in lists for v in r.neighbours] == list(range(n)) + [n + 1]
     assert max(len(r.neighbours) for r in lists) == 500
+
+
+def test_a_tail_with_many_heads_is_opened_in_chunks(spark):
+    pairs = [(a, b) for a in range(30) for b in range(a)] + [(100 + a, a) for a in range(30)]
+    edges = spark.createDataFrame(pairs, "src BIGINT, dst BIGINT")
+    for chunk in (1, 4, 28, 29, 1000):
+        assert ops.count_triangles(edges, "undirected", chunk).first().n == brute_force(pairs, "undirected")[1]

@@ -163,3 +163,11 @@ def test_graph_and_metric_jobs_from_the_command_line(spark, tmp_path, capsys):
           "1", "0.1", "1"])
     assert matrices.load_model(spark, str(tmp_path / "model"))[0, 0] == pytest.approx(1.013553, abs=1e-6)
     assert capsys.readouterr().out.startswith("1.01355")
+    learned = [str(tmp_path / "model"), "--epoch", "0"]
+    main(["pair-probabilities", str(tmp_path / "pairs"), learned[0], str(tmp_path / "p"), *learned[1:]])
+    p = dict(line.split("\t") for line in lines_of(tmp_path / "p"))
+    assert float(p["0,1"]) == pytest.approx(0.952574, abs=1e-6) and float(p["1,1"]) == 0.0
+    main(["pair-success", str(tmp_path / "pairs"), str(tmp_path / "labels"), learned[0],
+          str(tmp_path / "success"), *learned[1:]])
+    success = dict(line.split("\t") for line in lines_of(tmp_path / "success"))
+    assert float(success["1"]) == pytest.approx(0.5) and float(success["2"]) == 0.0

@@ -86,6 +86,32 @@ def test_near_copies_go_and_others_stay(spark):
     assert sorted(r.doc_id for r in got.collect()) == list(range(0, 120, 3))
 
 
+def jaccard(x, y):
+    x, y = ({tuple(t.split()[i:i + 5]) for i in range(len(t.split()) - 4)} for t in (x, y))
+    return len(x & y) / len(x | y)
+
+
+@pytest.mark.parametrize("tile", [2048, 5])
+def test_near_copies_are_verified(spark, tile):
+    # (n - 10) shared of n + 10 shingles, and so on: an index just under or over what is wanted.
+    rng = np.random.default_rng(8)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    rows, want = [], []
+    for near in [0.65, 0.7, 0.75, 0.79, 0.8, 0.81, 0.85] * 8:
+        words = list(rng.choice(vocabulary, 364))
+        fresh = round(360 * (1 - near) / (1 + near) + (0.49 if near < 0.8 else -0.49))
+        other = words[:364 - fresh] + [f"x{rng.integers(10 ** 9)}" for _ in range(fresh)]
+        x, y = " ".join(words), " ".join(other)
+        assert abs(jaccard(x, y) - near) < 0.005 and (jaccard(x, y) >= 0.8) == (near >= 0.8)
+        rows += [(len(rows), x), (len(rows) + 1, y)]
+        want += [len(rows) - 2] + [len(rows) - 1] * (near < 0.8)
+    # One fingerprint, but sets that share one of three shingles.
+    rows += [(900, "a " * 40 + "b"), (901, "a " * 40 + "c"), (902, None), (903, " "), (904, "One two"), (905, "one  two")]
+    want += [900, 901, 902, 904]
+    got = simhash.deduplicated(frame(spark, rows), tile=tile, **simhash.NEAR)
+    assert sorted(r.doc_id for r in got.collect()) == want
+
+
 def test_repeated_starts():
     rng = np.random.default_rng(0)
     for _ in range(60):

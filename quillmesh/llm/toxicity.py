@@ -3,7 +3,10 @@
 Disguised tokens (1d10t, i.d.i.o.t, s t u p i d, looooser) are read as noisy
 spellings: every character stands for itself, for letters it looks like, or
 for nothing. The likeliest letters under a character model of all documents
-are found by the Viterbi algorithm over that lattice. The restored words and
+are found by the Viterbi algorithm over that lattice, whose cost grows with the
+length of the token alone, so tokens and runs of any length are read whole. A
+token of letters, two of them doubled, or without any letter, counts as it
+stands and as it is read. The restored words and
 their beginnings are weighed by a logistic regression learned from labels.
 
 The character model is a trigram model over the counts of all words of all
@@ -36,7 +39,7 @@ LABELLED = 6000  # documents that weights are learned from, about
 DIMS = 1 << 18
 SYMBOLS = 64
 _MEMO = 400_000  # tokens remembered by a task
-_LONGEST = 32  # characters of a token that may be a disguise
+_REMEMBERED = 256  # characters of the longest token that is remembered
 
 # Letters that a character may stand for.
 LOOKS = {
@@ -46,6 +49,7 @@ LOOKS = {
 _ENDS = ".,;:?\"'()[]{}<>»«“”„…*#%&-_=~/\\"
 _SPACED = re.compile(r"(?<!\S)(?:\S ){2,}\S(?!\S)")
 _REPEATED = re.compile(r"(.)\1\1")
+_DOUBLED = re.compile(r"(.)\1")
 _COST_LOOK, _COST_DROP, _COST_SKIP, _COST_BREAK = 1.0, 0.5, 9.0, 0.5
 
 
@@ -58,7 +62,11 @@ def symbol(letter: str) -> int:
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, n): lower-case words of letters only, over all documents."""
+    """(word, n): lower-case words of letters only, over all documents.
+
+    Not those with a letter three times in a row: they would teach the model
+    that long runs are likely.
+    """
     def count(batches):
         held = Counter()
         for batch in batches:
@@ -77,7 +85,7 @@ def _counted(held: Counter):
     words = Counter()
     for token, n in held.items():
         word = token.strip(_ENDS)
-        if word.isalpha():
+        if word.isalpha() and not _REPEATED.search(word):
             words[word] += n
     return pa.RecordBatch.from_arrays(
         [pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], names=["word", "n"])
@@ -111,56 +119,74 @@ def character_model(counts: DataFrame) -> np.ndarray:
     return np.log(p).astype(np.float32)
 
 
-def restore(token: str, model: np.ndarray) -> str:
-    """The likeliest words that ``token``, in lower case, disguises."""
-    beams = {(0, 0): (0.0, "")}
+def restore(token: str, model: list) -> str:
+    """The likeliest words that ``token``, in lower case, disguises.
+
+    ``model`` is flat. A state is the last two letters, so there are no more
+    than SYMBOLS ** 2 of them; each holds its score and its last letter, linked
+    to those before.
+    """
+    beams = {0: (0.0, None)}
     last = ""
     for char in token:
         options = []
         if char.isalpha():
-            options.append((char, 0.0))
+            options.append((char, symbol(char), 0.0))
             if char == last:
-                options.append(("", _COST_DROP))
+                options.append(("", 0, _COST_DROP))
         elif char == " ":
-            options += [("", _COST_DROP), (" ", _COST_BREAK)]
+            options += [("", 0, _COST_DROP), (" ", 0, _COST_BREAK)]
         else:
-            options += [(letter, _COST_LOOK) for letter in LOOKS.get(char, "")]
-            options.append(("", _COST_SKIP if char in LOOKS else _COST_DROP))
+            options += [(letter, symbol(letter), _COST_LOOK) for letter in LOOKS.get(char, "")]
+            options.append(("", 0, _COST_SKIP if char in LOOKS else _COST_DROP))
         last, new = char, {}
-        for (a, b), (score, text) in beams.items():
-            for letter, cost in options:
+        for state, (score, letters) in beams.items():
+            for letter, code, cost in options:
                 if not letter:
-                    state, gain = (a, b), -cost
-                elif letter == " ":
-                    state, gain = (0, 0), float(model[a, b, 0]) - cost
+                    to, gain, held = state, score - cost, letters
                 else:
-                    c = symbol(letter)
-                    state, gain = (b, c), float(model[a, b, c]) - cost
-                if state not in new or new[state][0] < score + gain:
-                    new[state] = (score + gain, text + letter)
+                    at = state * SYMBOLS + code
+                    to, gain = (at % SYMBOLS ** 2 if code else 0), score + model[at] - cost
+                    held = (letter, letters)
+                if to not in new or new[to][0] < gain:
+                    new[to] = (gain, held)
         beams = new
-    ended = [(score + float(model[a, b, 0]), text) for (a, b), (score, text) in beams.items()]
-    return max(ended)[1].strip()
+    _, letters = max(((score + model[state * SYMBOLS], held) for state, (score, held) in beams.items()),
+                     key=lambda end: end[0])
+    out = []
+    while letters:
+        letter, letters = letters
+        out.append(letter)
+    return "".join(reversed(out)).strip()
 
 
 class Features(dict):
     """Feature ids of a lower-case token, worked out once per token."""
 
     def __init__(self, model: np.ndarray):
-        self.model = model
+        self.model = model.ravel().tolist()
 
     def __missing__(self, token: str) -> tuple:
         if len(self) >= _MEMO:
             self.clear()
-        found = self[token] = self._ids(token)
+        found = self._ids(token)
+        if len(token) <= _REMEMBERED:
+            self[token] = found
         return found
 
     def _ids(self, token: str) -> tuple:
         word = token.strip(_ENDS)
-        if not word.isalpha() or _REPEATED.search(word):
-            if len(word) <= _LONGEST and any(map(str.isalpha, word)):
-                word = restore(word, self.model)
-        return tuple({i for w in word.split() for i in word_ids(w)})
+        found = set()
+        if word.isalpha() and not _REPEATED.search(word):
+            found.add(word)
+            if _DOUBLED.search(word):
+                found.update(restore(word, self.model).split())
+        else:
+            if not any(map(str.isalpha, word)):
+                found.update(word.split())
+            if any(c.isalpha() or c in LOOKS for c in word):
+                found.update(restore(word, self.model).split())
+        return tuple({i for w in found for i in word_ids(w)})
 
 
 def word_ids(word: str) -> list:
@@ -172,8 +198,7 @@ def tokens_of(text: str) -> set:
     """Distinct lower-case tokens; a run of single characters is one more."""
     low = text.lower()
     tokens = set(low.split())
-    for run in _SPACED.findall(low):
-        tokens.update(run[at:at + 2 * _LONGEST] for at in range(0, len(run), 2 * _LONGEST))
+    tokens.update(_SPACED.findall(low))
     return tokens
 
 
@@ -220,7 +245,9 @@ class TokenScores(dict):
         if len(self) >= _MEMO:
             self.clear()
         get = self.weights.get
-        found = self[token] = sum(get(i, 0.0) for i in self.features._ids(token))
+        found = sum(get(i, 0.0) for i in self.features._ids(token))
+        if len(token) <= _REMEMBERED:
+            self[token] = found
         return found
 
 

@@ -97,6 +97,27 @@ def test_toxicity_held_out(spark):
     assert toxicity.toxicity_scores(frame(spark, []), none).count() == 0
 
 
+def test_long_and_doubled_disguises(spark):
+    rng = np.random.default_rng(5)
+    good = ["river", "stone", "window", "garden", "letter", "mountain", "summer", "idea", "you", "are", "a"]
+    bad = ["idiot", "stupid", "ass"]
+    texts, marks = [], []
+    for i in range(600):
+        words = list(rng.choice(good, 40))
+        if i % 4 == 0:
+            words[::10] = rng.choice(bad, 4)
+        texts.append(" ".join(words))
+        marks.append((i, 1, int(i % 4 == 0)))
+    run = lambda words, n: " ".join((words * n)[:n])
+    toxic = [run("youareastupididiot", n) for n in (17, 18, 33, 100)]
+    toxic += ["st" + "u" * 60 + "pid", "i" + "." * 30 + "d.i.o.t", "stuupid", "idiiot", "@$$", "river " * 20 + "@$$"]
+    clean = [run("rivergardenwindow", n) for n in (17, 34, 102)] + ["letter summer", "1999 2024-01-01", "==== ...", "$"]
+    labels = spark.createDataFrame(marks, "doc_id BIGINT, quality INT, toxic INT")
+    rows = {r.doc_id: r for r in toxicity.toxicity_scores(frame(spark, texts + toxic + clean), labels).collect()}
+    assert [rows[600 + i].predicted for i in range(len(toxic))] == [1] * len(toxic)
+    assert [rows[600 + len(toxic) + i].predicted for i in range(len(clean))] == [0] * len(clean)
+
+
 # --- language ---------------------------------------------------------------
 
 

@@ -29,7 +29,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that equal or nearly equal an earlier line go; documents stay."""
-    return line_dedup.without_repeats(docs)
+    return line_dedup.without_repeats(docs, exact_from=1)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

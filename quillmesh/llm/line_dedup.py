@@ -12,7 +12,9 @@ Segments that very many lines share are found in a sample and dealt to a grid
 of cells, where every two of their lines meet once.
 
 Defined cases: lines are cut at newlines; lines under ``MIN_CHARS`` characters
-are never looked at or removed; equal lines are one class by hash; a null text
+are matched only if equal, and only from ``exact_from`` characters on (the
+query and the pipeline pass 1); shorter or blank ones are never looked at or
+removed; equal lines are one class by hash; a null text
 stays null; documents stay, if need be with an empty text; repeated rows are
 repeats like any other, the first by (doc_id, text) keeps the line and equal
 rows keep it together; an empty table gives no rows. Only doc_id and text are
@@ -78,14 +80,15 @@ def _signs(line: str) -> int:
     return int(np.packbits((counts & 1).astype(np.uint8), bitorder="little").view(np.int64)[0])
 
 
-def line_table(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(doc_id, uid, at, line, check, hot): a row per line that is looked at.
+def line_table(docs: DataFrame, min_chars: int, exact_from: int = MIN_CHARS) -> DataFrame:
+    """(doc_id, uid, at, line, check): a row per line that is looked at.
 
     line and check are two hashes of it. uid stands for (doc_id, text).
     """
     uid = F.xxhash64("doc_id", "text").alias("uid")
     each = docs.select("doc_id", uid, F.posexplode(F.split("text", "\n", -1)).alias("at", "text"))
-    each = each.where(F.length("text") >= min_chars)
+    short = (F.length("text") >= exact_from) & F.col("text").rlike(r"\S")
+    each = each.where((F.length("text") >= min_chars) | short)
     return each.select("doc_id", "uid", "at", F.xxhash64("text").alias("line"),
                        F.xxhash64(F.lit("check"), "text").alias("check"))
 
@@ -278,14 +281,14 @@ def near_lines(docs: DataFrame, lines: DataFrame, edits: int = EDITS, min_chars:
 
 
 def repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
-                   hot_lines: int = HOT_LINES) -> tuple[DataFrame, DataFrame]:
+                   hot_lines: int = HOT_LINES, exact_from: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(uid, at) of the lines to remove, and (line, links, class) of lines with near ones.
 
     The first of a class in the order of (doc_id, uid, at) stays; a null doc_id
     comes last.
     """
     docs = docs.select("doc_id", "text")
-    lines = keep(line_table(docs, min_chars), "lines")
+    lines = keep(line_table(docs, min_chars, min_chars if exact_from is None else exact_from), "lines")
     links = keep(near_lines(docs, lines, edits, min_chars, hot_lines), "links")
     roots = keep(components(links), "classes")
     degrees = links.select(F.explode(F.array("a", "b")).alias("line")).groupBy("line").agg(
@@ -325,11 +328,12 @@ def line_report(docs: DataFrame, **options) -> DataFrame:
     n_lines counts lines that are looked at. n_links are the near but different
     lines that they have, class_id the least class of those lines, null for none.
     """
-    options = {"min_chars": MIN_CHARS} | options
+    options = {"min_chars": MIN_CHARS, "exact_from": None} | options
+    exact_from = options["min_chars"] if options["exact_from"] is None else options["exact_from"]
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("uid"))
     removed, classes = repeated_lines(docs, **options)
     gone = removed.groupBy("uid").agg(F.count("*").alias("n_removed"))
-    lines = keep(line_table(docs, options["min_chars"]), "lines")
+    lines = keep(line_table(docs, options["min_chars"], exact_from), "lines")
     found = lookup_join(lines.select("uid", "at", "line").distinct(), keep(classes, "links"), "line", "left")
     sums = found.groupBy("uid").agg(F.count("*").alias("n_lines"), F.sum("links").alias("n_links"),
                                     F.min("class").alias("class_id"))

@@ -88,6 +88,15 @@ def test_against_brute_force(spark, hot_lines):
     assert counts == sorted(want)
 
 
+def test_short_lines_by_hash(spark):
+    docs = [(1, "Share\n\n}\nRead more\n  "), (2, "Share\n\nShore\n}\n  \nRead more"), (3, "\n}\nown"), (4, None)]
+    frame = spark.createDataFrame(docs, "doc_id BIGINT, text STRING")
+    got = {r.doc_id: r.text for r in ld.without_repeats(frame, exact_from=1).collect()}
+    assert got == {1: docs[0][1], 2: "\nShore\n  ", 3: "\nown", 4: None}
+    report = {r.doc_id: (r.n_lines, r.n_removed, r.n_links) for r in ld.line_report(frame, exact_from=1).collect()}
+    assert report == {1: (3, 0, 0), 2: (4, 3, 0), 3: (2, 1, 0), 4: (0, 0, 0)}
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id BIGINT, text STRING")
     assert ld.without_repeats(docs).count() == 0

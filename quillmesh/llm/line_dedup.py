@@ -9,7 +9,8 @@ counts, and the rest is verified by a banded bit-parallel edit distance over
 the texts. Lines that links connect are one class; the first one stays.
 
 Segments that very many lines share are found in a sample and dealt to a grid
-of cells, where every two of their lines meet once.
+of cells, where every two of their lines meet. The grid of a segment grows with
+its lines, so a cell holds about twice ``HOT_LINES`` of them at most.
 
 Defined cases: lines are cut at newlines; lines under ``MIN_CHARS`` characters
 are matched only if equal, and only from ``exact_from`` characters on (the
@@ -37,7 +38,6 @@ EDITS = 2
 MIN_CHARS = 24
 SAMPLE = 64  # one line of so many tells which segments are hot
 HOT_LINES = 20_000  # lines with a segment, about, beyond which it is dealt out
-GRID = 8  # parts that the lines of a hot segment are dealt into
 _SEEN = 500_000  # hashes of lines that a task remembers, to send each once
 _SEED = 42
 
@@ -138,17 +138,26 @@ def segment_keys(docs: DataFrame, edits: int, min_chars: int, share: int = 1) ->
     return docs.select("text").mapInArrow(keys, _KEYS)
 
 
+def dealt(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """The rows with a cell; rows of hot (key, parts) go to as many cells as parts.
+
+    Part p of a hot key meets part q in the one cell (least, greatest).
+    """
+    rows = lookup_join(rows, hot, "key", "left")
+    part = F.pmod("line", "parts")
+    others = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1),
+                         lambda q: F.least(part, q) * F.col("parts") + F.greatest(part, q))
+    cells = F.when(F.col("parts").isNotNull(), others).otherwise(F.array(F.lit(-1).cast("bigint")))
+    return rows.withColumn("cell", F.explode(cells)).drop("parts")
+
+
 def candidates(docs: DataFrame, edits: int, min_chars: int, hot_lines: int = HOT_LINES) -> DataFrame:
     """(a, b): pairs of different lines that share a segment and have close signs."""
     sample = segment_keys(docs, edits, min_chars, SAMPLE).groupBy("key").agg(F.count("*").alias("n"))
-    hot = keep(sample.where(F.col("n") * SAMPLE > hot_lines).select("key"), "hot")
-    rows = lookup_join(segment_keys(docs, edits, min_chars), hot.withColumn("hot", F.lit(True)), "key", "left")
-    # Part p of a hot key meets part q in the one cell (least, greatest).
-    part = F.pmod("line", F.lit(GRID))
-    others = F.transform(F.sequence(F.lit(0), F.lit(GRID - 1)), lambda q: F.least(part, q) * GRID + F.greatest(part, q))
-    cells = F.explode(F.when(F.col("hot"), others).otherwise(F.array(F.lit(-1).cast("bigint"))))
-    dealt = rows.withColumn("cell", cells).drop("hot")
-    dealt = dealt.repartition("key", "cell").sortWithinPartitions("key", "cell")
+    hot = sample.where(F.col("n") * SAMPLE > hot_lines)
+    hot = keep(hot.select("key", F.ceil(F.col("n") * SAMPLE / hot_lines).cast("bigint").alias("parts")), "hot")
+    met = dealt(segment_keys(docs, edits, min_chars), hot)
+    met = met.repartition("key", "cell").sortWithinPartitions("key", "cell")
     most = 4 * edits
 
     def meet(batches):
@@ -169,7 +178,7 @@ def candidates(docs: DataFrame, edits: int, min_chars: int, hot_lines: int = HOT
         if rest is not None:
             yield from _met(rest, most)
 
-    return dealt.mapInArrow(meet, "a BIGINT, b BIGINT").distinct()
+    return met.mapInArrow(meet, "a BIGINT, b BIGINT").distinct()
 
 
 def _met(columns: list, most: int):

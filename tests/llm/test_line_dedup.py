@@ -97,6 +97,23 @@ def test_short_lines_by_hash(spark):
     assert report == {1: (3, 0, 0), 2: (4, 3, 0), 3: (2, 1, 0), 4: (0, 0, 0)}
 
 
+def test_cells_of_a_hot_segment_are_bounded(spark):
+    rng = random.Random(11)
+    lines = [rng.getrandbits(63) for _ in range(3000)]
+    rows = spark.createDataFrame([(7, x) for x in lines] + [(8, lines[0])], "key BIGINT, line BIGINT")
+    hot = spark.createDataFrame([(7, 30)], "key BIGINT, parts BIGINT")
+    cells = {}
+    for r in ld.dealt(rows, hot).collect():
+        cells.setdefault((r.key, r.cell), []).append(r.line)
+    assert cells.pop((8, -1)) == [lines[0]]
+    assert max(map(len, cells.values())) < 2 * 3000 / 30 * 1.4
+    homes = {}
+    for (_, cell), held in cells.items():
+        for x in held:
+            homes.setdefault(x, set()).add(cell)
+    assert all(homes[a] & homes[b] for a in lines[:100] for b in lines)
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id BIGINT, text STRING")
     assert ld.without_repeats(docs).count() == 0

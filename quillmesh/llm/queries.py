@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import (
-    language, line_dedup, mixing, packing, personal_data, quality, simhash, substrings, toxicity,
+    conversations, filter_audit, language, line_dedup, mixing, packing, personal_data, quality, simhash, substrings, toxicity,
     va_search,
 )
 
@@ -64,9 +64,18 @@ def op10_language(spark, sf_dir):
     return language.predict(docs, language.learn(docs))
 
 
+def op11_conversation_repair(spark, sf_dir):
+    return conversations.report(_table(spark, sf_dir, "conversations"))
+
+
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit.audit(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+
+
 _ALL = (
     op1_source_mix, op2_exact_top_k, op3_line_dedup, op4_best_fit_packing, op5_quality_trees,
     op6_personal_data, op7_toxicity, op8_substring_dedup, op9_simhash_near_dedup, op10_language,
+    op11_conversation_repair, op12_filter_audit,
 )
 
 
@@ -91,4 +100,54 @@ def oracle_sql() -> dict:
                        PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
               FROM scores)
             SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
+        "op12_filter_audit": r"""
+            WITH RECURSIVE texts AS (
+              SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+              FROM documents),
+            judged AS (
+              SELECT doc_id, part,
+                     [len(words) < 200,
+                      100 * len(list_distinct(words)) < 50 * len(words),
+                      100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t),
+                      regexp_matches(t, '[#$%&*|]'),
+                      coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false)] AS fails
+              FROM texts),
+            marks AS (
+              SELECT doc_id, coalesce(max(CASE WHEN quality = 1 THEN 1 ELSE 0 END), 0) AS good,
+                     coalesce(max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END), 0) AS toxic
+              FROM labels GROUP BY doc_id),
+            groups AS (
+              SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good,
+                     coalesce(sum(toxic), 0) AS toxic
+              FROM judged LEFT JOIN marks USING (doc_id) GROUP BY part, fails),
+            orders(o) AS (
+              SELECT '' UNION ALL
+              SELECT o || f FROM orders, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) v(f)
+              WHERE NOT contains(o, f)),
+            steps AS (
+              SELECT o AS filter_order, step, instr('ABCDE', substr(o, step, 1)) AS f,
+                     [instr('ABCDE', substr(o, k, 1)) FOR k IN range(1, step)] AS earlier,
+                     [k FOR k IN range(1, 6) IF k <> instr('ABCDE', substr(o, step, 1))] AS others
+              FROM orders, (SELECT CAST(unnest(range(1, 6)) AS INTEGER) AS step) WHERE length(o) = 5),
+            seen AS (
+              SELECT part, filter_order, step, f, n, good, toxic, fails[f] AS failed,
+                     list_bool_or([false] || [fails[k] FOR k IN earlier]) AS gone,
+                     list_bool_or([fails[k] FOR k IN others]) AS elsewhere
+              FROM groups, steps),
+            counted AS (
+              SELECT part, filter_order, step, f,
+                     sum(CASE WHEN failed OR gone THEN 0 ELSE n END) AS kept,
+                     sum(CASE WHEN failed AND NOT gone THEN n ELSE 0 END) AS removed,
+                     sum(CASE WHEN failed AND gone THEN n ELSE 0 END) AS redundant,
+                     sum(CASE WHEN failed AND NOT elsewhere THEN n ELSE 0 END) AS unique_fails,
+                     sum(CASE WHEN failed AND NOT gone THEN good ELSE 0 END) AS good_lost,
+                     sum(CASE WHEN failed AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost
+              FROM seen GROUP BY part, filter_order, step, f)
+            SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept,
+                   CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+                   CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+                   CAST(toxic_lost AS BIGINT) AS toxic_lost,
+                   CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+            FROM counted""",
     }

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import (
-    conversations, filter_audit, language, line_dedup, mixing, packing, personal_data, quality, simhash, substrings, toxicity,
-    va_search,
+    conversations, filter_audit, language, line_dedup, mixing, ngram_join, packing, personal_data, quality, simhash,
+    substrings, toxicity, va_search,
 )
 
 
@@ -72,10 +72,14 @@ def op12_filter_audit(spark, sf_dir):
     return filter_audit.audit(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
 
 
+def op13_ngram_join(spark, sf_dir):
+    return ngram_join.ngram_classes(_documents(spark, sf_dir))
+
+
 _ALL = (
     op1_source_mix, op2_exact_top_k, op3_line_dedup, op4_best_fit_packing, op5_quality_trees,
     op6_personal_data, op7_toxicity, op8_substring_dedup, op9_simhash_near_dedup, op10_language,
-    op11_conversation_repair, op12_filter_audit,
+    op11_conversation_repair, op12_filter_audit, op13_ngram_join,
 )
 
 
@@ -150,4 +154,34 @@ def oracle_sql() -> dict:
                    CAST(toxic_lost AS BIGINT) AS toxic_lost,
                    CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
             FROM counted""",
+        # By shingles in common; the query goes by groups of them.
+        "op13_ngram_join": r"""
+            WITH RECURSIVE words AS (
+              SELECT row_number() OVER () AS row, doc_id,
+                     regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x20\x09-\x0D]+') AS w
+              FROM documents),
+            sets AS (
+              SELECT row, doc_id, list_sort(list_distinct(
+                       CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                       ELSE [array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)] END)) AS s
+              FROM words),
+            names AS (SELECT s, len(s) AS n, min(row) AS id FROM sets WHERE len(s) > 0 GROUP BY s),
+            tokens AS (SELECT id, n, unnest(s) AS t FROM names),
+            pairs AS (
+              SELECT a.id AS a, b.id AS b
+              FROM tokens a JOIN tokens b
+                ON a.t = b.t AND a.id < b.id AND 100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n
+              GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+            sides AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs),
+            reach(a, b) AS (
+              SELECT id, id FROM names UNION
+              SELECT reach.a, sides.b FROM reach JOIN sides ON sides.a = reach.b),
+            roots AS (SELECT a AS id, min(b) AS root FROM reach GROUP BY a),
+            placed AS (SELECT row, doc_id, sets.s, root FROM sets LEFT JOIN names USING (s) LEFT JOIN roots USING (id)),
+            least AS (SELECT root, min(doc_id) AS component_id FROM placed WHERE root IS NOT NULL GROUP BY root)
+            SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles,
+                   CASE WHEN len(s) = 0 THEN doc_id ELSE component_id END AS component_id
+            FROM placed LEFT JOIN least USING (root)""",
     }

@@ -12,7 +12,7 @@ have a group in common, n-gram by n-gram. A document goes to the tree of each of
 its groups' contents in its own class, and as a guest to those of the next class
 if it is large enough to meet it. Trees of one document alone are dropped.
 
-In a tree all documents are verified against the least one first, which connects
+In a tree all documents are held against the least one first, which connects
 groups of copies by as many pairs as they have members. Those that this leaves
 apart are packed by size into leaves; leaves that pass the bound meet, points
 that pass it are pairs, and pairs are verified by their n-grams.
@@ -117,7 +117,14 @@ class Classes:
 
     def point(self, held: np.ndarray, k: int) -> np.ndarray:
         n = self.coordinates(k)
-        return np.bincount(_group(held, n), minlength=n).astype(np.uint32)
+        return np.bincount(_group(held, n), minlength=n).astype(self.kind(k))
+
+    def kind(self, k: int):
+        """Of counts, wide enough for all n-grams in one group."""
+        return np.uint16 if self.starts[k + 1] <= 1 << 16 else np.uint32
+
+    def points(self, held: list, k: int) -> np.ndarray:
+        return np.frombuffer(b"".join(held), dtype=self.kind(k)).reshape(len(held), -1).astype(np.int64)
 
     def shared(self, a, b):
         """How many n-grams sets of these sizes have to share."""
@@ -129,13 +136,13 @@ def _group(held: np.ndarray, groups: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, words: int = WORDS, alike: int = ALIKE) -> DataFrame:
-    """(row, doc_id, key, name, size, own, own_point, next, next_point) of every document.
+    """(row, doc_id, key, name, size, k, own, own_point, next, next_point) of every document.
 
-    ``key`` tells the text, ``name`` the set; own and next are names of trees.
+    ``key`` tells the text, ``name`` the set, ``k`` its class; own and next are names of trees.
     """
     lists = pa.list_(pa.int64())
-    names = ["row", "doc_id", "key", "name", "size", "own", "own_point", "next", "next_point"]
-    schema = "row BIGINT, doc_id {}, key STRING, name BINARY, size BIGINT, own ARRAY<BIGINT>, " \
+    names = ["row", "doc_id", "key", "name", "size", "k", "own", "own_point", "next", "next_point"]
+    schema = "row BIGINT, doc_id {}, key STRING, name BINARY, size BIGINT, k INT, own ARRAY<BIGINT>, " \
         "own_point BINARY, next ARRAY<BIGINT>, next_point BINARY".format(docs.schema["doc_id"].dataType.simpleString())
 
     def sketched(batches):
@@ -147,12 +154,13 @@ def sketches(docs: DataFrame, words: int = WORDS, alike: int = ALIKE) -> DataFra
                 out = [[] for _ in names[3:]]
                 for text in part.column("text"):
                     held = ngrams(text.as_py(), words, hashes)
-                    row = [xxhash.xxh3_128_digest(held.tobytes()), len(held)]
-                    for k in classes.of(len(held)) if len(held) else []:
+                    own = classes.of(len(held)) if len(held) else []
+                    row = [xxhash.xxh3_128_digest(held.tobytes()), len(held), *own[:1]]
+                    for k in own:
                         row += [classes.trees(held, k).view(np.int64), classes.point(held, k).tobytes()]
                     for column, value in zip(out, row + [None] * (len(out) - len(row))):
                         column.append(value)
-                kinds = (pa.binary(), pa.int64(), lists, pa.binary(), lists, pa.binary())
+                kinds = (pa.binary(), pa.int64(), pa.int32(), lists, pa.binary(), lists, pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in names[:3]), *map(pa.array, out, kinds)], names=names)
 
@@ -186,22 +194,26 @@ def ngram_classes(docs: DataFrame, words: int = WORDS, alike: int = ALIKE, leaf:
 
 def links_of(sets: DataFrame, docs: DataFrame, words: int, alike: int, leaf: int = LEAF) -> DataFrame:
     """(a, b) links between ids of sets that connect all that are alike."""
-    def trees(names: str, point: str, home: bool) -> Column:
-        return F.transform(F.coalesce(names, F.array()), lambda t: F.struct(t.alias("tree"), F.lit(home).alias("home")))
-
-    placed = sets.select("id", F.explode(F.concat(trees("own", "own_point", True), trees("next", "next_point", False)))
-                         .alias("t")).select("t.tree", "id", "t.home")
-    shared = placed.groupBy("tree").agg(
+    # The id and, in the lowest bit, whether the tree is of the own class: one number to a row.
+    def coded(trees: str, home: int):
+        code = (F.col("id") * 2 + home).alias("code")
+        return F.transform(F.coalesce(trees, F.array()), lambda t: F.struct(t.alias("tree"), code))
+
+    placed = sets.select(F.explode(F.concat(coded("own", 1), coded("next", 0))).alias("t")).select("t.*")
+    shared = placed.groupBy("tree").agg(F.count("*").alias("_rows"))
+    shared = keep(shared.where("_rows > 1"), "shared")
+    members = keep(lookup_join(placed, shared.select("tree"), "tree", counts=shared).select(
+        "tree", F.shiftright("code", 1).alias("id"), (F.col("code") % 2 == 1).alias("home")), "members")
+    trees = members.groupBy("tree").agg(
         F.count("*").alias("_rows"), F.min("id").alias("first"), F.bool_or("home").alias("home"))
-    shared = keep(shared.where("_rows > 1 AND home").select("tree", "first", "_rows"), "shared")
-    members = keep(lookup_join(placed, shared.select("tree", "first"), "tree",
-                               counts=shared.select("tree", "_rows")), "members")
-    star = members.where("first <> id").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    star = keep(verified(star, sets, docs, words, alike), "star")
+    trees = keep(trees.where("home"), "trees")
+    members = lookup_join(members, trees.select("tree", "first"), "tree", counts=trees.select("tree", "_rows"))
+    members = keep(members.where("first <> id"), "behind")
+    star = members.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
+    star = keep(verified(bounded(star, sets, alike), sets, docs, words, alike), "star")
 
     # Trees whose members the stars left apart.
-    roots = components(star)
-    rest = lookup_join(members.where("first <> id"), roots, "id", "left").select(
+    rest = lookup_join(members, components(star), "id", "left").select(
         "tree", "id", "home", F.coalesce("root", "id").alias("root"))
     rest = keep(rest, "rest")
     apart = rest.groupBy("tree").agg(
@@ -213,17 +225,43 @@ def links_of(sets: DataFrame, docs: DataFrame, words: int, alike: int, leaf: int
     return star.unionByName(verified(pairs, sets, docs, words, alike))
 
 
+def bounded(pairs: DataFrame, sets: DataFrame, alike: int) -> DataFrame:
+    """The (a, b) pairs whose sizes and points let them be alike."""
+    pairs = keep(pairs, "starred")
+    wanted = keep(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ends")
+    points = keep(lookup_join(sets.select("id", "size", "k", "own_point", "next_point"), wanted, "id"), "points")
+    for side in ("a", "b"):
+        own = points.select(*(F.col(c).alias(side if c == "id" else f"{c}_{side}") for c in points.columns))
+        # Points have about the size of their texts: never broadcast.
+        pairs = lookup_join(pairs, own, side, small=False)
+
+    def compare(batches):
+        classes = Classes(alike)
+        for batch in batches:
+            fits = []
+            for row in batch.drop_columns(["a", "b"]).to_pylist():
+                k = max(row["k_a"], row["k_b"])
+                x, y = (row[f"own_point_{s}"] if row[f"k_{s}"] == k else row[f"next_point_{s}"] for s in ("a", "b"))
+                fits.append(x is not None and y is not None
+                            and classes.shared(row["size_a"], row["size_b"])
+                            <= np.minimum(*classes.points([x, y], k)).sum())
+            yield batch.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
+
+    return pairs.mapInArrow(compare, "a BIGINT, b BIGINT")
+
+
 def tree_pairs(members: DataFrame, sets: DataFrame, alike: int, leaf: int = LEAF) -> DataFrame:
     """(a, b) pairs of one tree that have two roots and pass the bound."""
-    points = lookup_join(members, sets.select("id", "size", "own_point", "next_point"), "id")
+    points = lookup_join(members, sets.select("id", "size", "k", "own_point", "next_point"), "id")
     points = points.select("tree", "id", "root", "home", "size",
+                           F.when(F.col("home"), F.col("k")).otherwise(F.col("k") + 1).alias("k"),
                            F.when(F.col("home"), F.col("own_point")).otherwise(F.col("next_point")).alias("point"))
     # Sizes grow by a tenth or so from bucket to bucket, so a large tree is ranked by several tasks.
     bucket = F.floor(F.log2(F.col("size")) * 8) * 64 + F.pmod("id", F.lit(64))
     ranked = before(points, ["tree"], bucket, ["size", "id"], F.lit(1), "rank")
     leaves = keep(
         ranked.groupBy("tree", F.expr(f"rank div {leaf}").alias("leaf")).agg(
-            F.collect_list(F.struct("id", "root", "home", "size", "point")).alias("rows")), "leaves")
+            F.collect_list(F.struct("id", "root", "home", "size", "k", "point")).alias("rows")), "leaves")
     # A leaf waits in one of about root-n cells of its tree and visits all of them.
     cells = leaves.groupBy("tree").agg(F.ceil(F.sqrt(F.count("*"))).cast("int").alias("cells"))
     cells = keep(cells, "cells")
@@ -233,18 +271,19 @@ def tree_pairs(members: DataFrame, sets: DataFrame, alike: int, leaf: int = LEAF
     visits = dealt.withColumn("cell", F.explode(F.expr("sequence(0, cells - 1)")))
     met = visits.join(home, ["tree", "cell"]).where("leaf <= home_leaf").select("rows", "home_rows")
 
-    def bounded(batches):
+    def passing(batches):
         classes = Classes(alike)
         for batch in batches:
             for row in range(batch.num_rows):
                 yield _passing(*(batch.column(c)[row].values for c in ("rows", "home_rows")), classes)
 
-    return met.mapInArrow(bounded, "a BIGINT, b BIGINT").distinct()
+    return met.mapInArrow(passing, "a BIGINT, b BIGINT").distinct()
 
 
 def _passing(left, right, classes: Classes):
     """The pairs of points of two leaves that the summed minima let through."""
-    (x, n_x, id_x, root_x, home_x), (y, n_y, id_y, root_y, home_y) = map(_leaf, (left, right))
+    (x, n_x, id_x, root_x, home_x), (y, n_y, id_y, root_y, home_y) = (
+        _leaf(rows, classes) for rows in (left, right))
     a, b = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
     # Nodes first: their greatest counts against their least sizes.
     if np.minimum(x.max(axis=0), y.max(axis=0)).sum() >= classes.shared(n_x.min(), n_y.min()):
@@ -258,10 +297,10 @@ def _passing(left, right, classes: Classes):
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
 
-def _leaf(rows):
-    points = np.frombuffer(b"".join(rows.field("point").to_pylist()), dtype=np.uint32).reshape(len(rows), -1)
+def _leaf(rows, classes: Classes):
+    points = classes.points(rows.field("point").to_pylist(), rows.field("k")[0].as_py())
     ids = (rows.field(c).to_numpy(zero_copy_only=False) for c in ("size", "id", "root", "home"))
-    return points.astype(np.int64), *ids
+    return points, *ids
 
 
 def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words: int, alike: int) -> DataFrame:

@@ -176,18 +176,21 @@ def ngram_classes(docs: DataFrame, words: int = WORDS, alike: int = ALIKE, leaf:
     some = rows.where("size > 0").groupBy("name").agg(
         F.min("row").alias("row"), F.min("doc_id").alias("least"), F.count("*").alias("_rows"))
     some = keep(some, "names")
-    sets = lookup_join(rows, some.select("row"), "row", small=None).withColumnRenamed("row", "id")
-
-    links = links_of(sets, docs, words, alike, leaf)
-    named = some.join(components(links).withColumnRenamed("id", "row"), "row", "left").select(
-        "name", "least", "_rows", F.coalesce("root", "row").alias("root"))
-    # Of the many sets of one component only the least ids travel.
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("_sets"))
-    classes = lookup_join(named, least.select("root", "component_id"), "root",
-                          counts=least.select("root", F.col("_sets").alias("_rows")))
-    classes = keep(classes.select("name", "component_id", "_rows"), "classes")
+    sets = keep(lookup_join(rows, some.select("row"), "row").withColumnRenamed("row", "id"), "sets")
+
+    roots = keep(components(links_of(sets, docs, words, alike, leaf)).withColumnRenamed("id", "row"), "roots")
+    roots = keep(roots.join(some.select("row", "least"), "row"), "linked")
+    least = roots.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("_rows"))
+    least = keep(least, "least")
+    linked = lookup_join(roots.select("row", "root"), least.select("root", "component_id"), "root",
+                         counts=least.select("root", "_rows"))
+    classes = some.join(linked, "row", "left").select(
+        "name", "_rows", F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id"))
+        .alias("component_id"))
+    classes = keep(classes, "classes")
+    # As many names as sets, and as many trees further down: never broadcast.
     found = lookup_join(rows.select("doc_id", "name", "size"), classes.select("name", "component_id"), "name",
-                        "left", counts=classes.select("name", "_rows"))
+                        "left", small=False, counts=classes.select("name", "_rows"))
     own = F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return found.select("doc_id", F.col("size").alias("n_shingles"), own.alias("component_id"))
 
@@ -202,12 +205,13 @@ def links_of(sets: DataFrame, docs: DataFrame, words: int, alike: int, leaf: int
     placed = sets.select(F.explode(F.concat(coded("own", 1), coded("next", 0))).alias("t")).select("t.*")
     shared = placed.groupBy("tree").agg(F.count("*").alias("_rows"))
     shared = keep(shared.where("_rows > 1"), "shared")
-    members = keep(lookup_join(placed, shared.select("tree"), "tree", counts=shared).select(
+    members = keep(lookup_join(placed, shared.select("tree"), "tree", small=False, counts=shared).select(
         "tree", F.shiftright("code", 1).alias("id"), (F.col("code") % 2 == 1).alias("home")), "members")
     trees = members.groupBy("tree").agg(
         F.count("*").alias("_rows"), F.min("id").alias("first"), F.bool_or("home").alias("home"))
     trees = keep(trees.where("home"), "trees")
-    members = lookup_join(members, trees.select("tree", "first"), "tree", counts=trees.select("tree", "_rows"))
+    members = lookup_join(members, trees.select("tree", "first"), "tree", small=False,
+                          counts=trees.select("tree", "_rows"))
     members = keep(members.where("first <> id"), "behind")
     star = members.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
     star = keep(verified(bounded(star, sets, alike), sets, docs, words, alike), "star")
@@ -220,7 +224,7 @@ def links_of(sets: DataFrame, docs: DataFrame, words: int, alike: int, leaf: int
         F.count("*").alias("_rows"), F.bool_or("home").alias("home"),
         (F.min("root") < F.max("root")).alias("apart"))
     apart = keep(apart.where("apart AND home").select("tree", "_rows"), "apart")
-    rest = lookup_join(rest, apart.select("tree"), "tree", counts=apart)
+    rest = lookup_join(rest, apart.select("tree"), "tree", small=False, counts=apart)
     pairs = tree_pairs(rest, sets, alike, leaf)
     return star.unionByName(verified(pairs, sets, docs, words, alike))
 

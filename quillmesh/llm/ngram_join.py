@@ -142,7 +142,7 @@ def sketches(docs: DataFrame, words: int = WORDS, alike: int = ALIKE) -> DataFra
     """
     lists = pa.list_(pa.int64())
     names = ["row", "doc_id", "key", "name", "size", "k", "own", "own_point", "next", "next_point"]
-    schema = "row BIGINT, doc_id {}, key STRING, name BINARY, size BIGINT, k INT, own ARRAY<BIGINT>, " \
+    schema = "row BIGINT, doc_id {}, key BINARY, name BINARY, size BIGINT, k INT, own ARRAY<BIGINT>, " \
         "own_point BINARY, next ARRAY<BIGINT>, next_point BINARY".format(docs.schema["doc_id"].dataType.simpleString())
 
     def sketched(batches):
@@ -164,11 +164,14 @@ def sketches(docs: DataFrame, words: int = WORDS, alike: int = ALIKE) -> DataFra
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in names[:3]), *map(pa.array, out, kinds)], names=names)
 
-    key = F.md5(F.coalesce("text", F.lit(""))).alias("key")
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", key, "text")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", _key(), "text")
     return rows.mapInArrow(sketched, schema)
 
 
+def _key() -> Column:
+    return F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("key")
+
+
 def ngram_classes(docs: DataFrame, words: int = WORDS, alike: int = ALIKE, leaf: int = LEAF) -> DataFrame:
     """(doc_id, n_shingles, component_id): the least doc_id that links reach."""
     docs = docs.select("doc_id", "text")
@@ -176,7 +179,7 @@ def ngram_classes(docs: DataFrame, words: int = WORDS, alike: int = ALIKE, leaf:
     some = rows.where("size > 0").groupBy("name").agg(
         F.min("row").alias("row"), F.min("doc_id").alias("least"), F.count("*").alias("_rows"))
     some = keep(some, "names")
-    sets = keep(lookup_join(rows, some.select("row"), "row").withColumnRenamed("row", "id"), "sets")
+    sets = keep(rows.join(some.select("row"), "row").withColumnRenamed("row", "id"), "sets")
 
     roots = keep(components(links_of(sets, docs, words, alike, leaf)).withColumnRenamed("id", "row"), "roots")
     roots = keep(roots.join(some.select("row", "least"), "row"), "linked")
@@ -203,23 +206,24 @@ def links_of(sets: DataFrame, docs: DataFrame, words: int, alike: int, leaf: int
         return F.transform(F.coalesce(trees, F.array()), lambda t: F.struct(t.alias("tree"), code))
 
     placed = sets.select(F.explode(F.concat(coded("own", 1), coded("next", 0))).alias("t")).select("t.*")
-    shared = placed.groupBy("tree").agg(F.count("*").alias("_rows"))
-    shared = keep(shared.where("_rows > 1"), "shared")
-    members = keep(lookup_join(placed, shared.select("tree"), "tree", small=False, counts=shared).select(
-        "tree", F.shiftright("code", 1).alias("id"), (F.col("code") % 2 == 1).alias("home")), "members")
-    trees = members.groupBy("tree").agg(
-        F.count("*").alias("_rows"), F.min("id").alias("first"), F.bool_or("home").alias("home"))
-    trees = keep(trees.where("home"), "trees")
-    members = lookup_join(members, trees.select("tree", "first"), "tree", small=False,
-                          counts=trees.select("tree", "_rows"))
-    members = keep(members.where("first <> id"), "behind")
+    shared = placed.groupBy("tree").agg(
+        F.count("*").alias("_rows"), F.min("code").alias("first"), F.bool_or(F.col("code") % 2 == 1).alias("home"))
+    shared = keep(shared.where("_rows > 1 AND home").select(
+        "tree", F.shiftright("first", 1).alias("first"), "_rows"), "shared")
+    members = lookup_join(placed, shared.select("tree", "first"), "tree", small=False,
+                          counts=shared.select("tree", "_rows"))
+    members = members.select("tree", F.shiftright("code", 1).alias("id"), (F.col("code") % 2 == 1).alias("home"), "first")
+    members = keep(members.where("first <> id"), "members")
     star = members.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
     star = keep(verified(bounded(star, sets, alike), sets, docs, words, alike), "star")
 
-    # Trees whose members the stars left apart.
-    rest = lookup_join(members, components(star), "id", "left").select(
-        "tree", "id", "home", F.coalesce("root", "id").alias("root"))
-    rest = keep(rest, "rest")
+    # Trees whose members the stars left apart. A root is an id that links lead to,
+    # here in two steps; where more would be needed, pairs are compared in vain.
+    up = keep(star.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("root")), "up")
+    top = up.select(F.col("id").alias("root"), F.col("root").alias("top"))
+    up = lookup_join(up, top, "root", "left").select("id", F.coalesce("top", "root").alias("root"))
+    rest = keep(lookup_join(members, keep(up, "up"), "id", "left").select(
+        "tree", "id", "home", F.coalesce("root", "id").alias("root")), "rest")
     apart = rest.groupBy("tree").agg(
         F.count("*").alias("_rows"), F.bool_or("home").alias("home"),
         (F.min("root") < F.max("root")).alias("apart"))
@@ -233,7 +237,7 @@ def bounded(pairs: DataFrame, sets: DataFrame, alike: int) -> DataFrame:
     """The (a, b) pairs whose sizes and points let them be alike."""
     pairs = keep(pairs, "starred")
     wanted = keep(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ends")
-    points = keep(lookup_join(sets.select("id", "size", "k", "own_point", "next_point"), wanted, "id"), "points")
+    points = keep(sets.select("id", "size", "k", "own_point", "next_point").join(wanted, "id"), "points")
     for side in ("a", "b"):
         own = points.select(*(F.col(c).alias(side if c == "id" else f"{c}_{side}") for c in points.columns))
         # Points have about the size of their texts: never broadcast.
@@ -324,9 +328,8 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words: int, ali
 
     pairs = keep(pairs, "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    wanted = keep(lookup_join(sets.select("id", "key"), wanted, "id"), "wanted")
-    key = F.md5(F.coalesce("text", F.lit(""))).alias("key")
-    texts = lookup_join(docs.select(key, "text"), wanted.select("key", "id"), "key").dropDuplicates(["id"])
+    wanted = keep(sets.select("id", "key").join(wanted, "id"), "wanted")
+    texts = lookup_join(docs.select(_key(), "text"), wanted.select("key", "id"), "key").dropDuplicates(["id"])
     held = keep(texts.select("id", "text").mapInArrow(packed, "id BIGINT, held BINARY"), "held")
     for side in ("a", "b"):
         own = held.select(F.col("id").alias(side), F.col("held").alias(f"held_{side}"))

@@ -12,8 +12,8 @@ have a group in common, n-gram by n-gram. A document goes to the tree of each of
 its groups' contents in its own class, and as a guest to those of the next class
 if it is large enough to meet it. Trees of one document alone are dropped.
 
-In a tree all documents are held against the least one first, which connects
-groups of copies by as many pairs as they have members. Those that this leaves
+In a tree all documents are held against the least one and a few others first,
+which connects groups of copies by a few times as many pairs as they have members. Those that this leaves
 apart are packed by size into leaves; leaves that pass the bound meet, points
 that pass it are pairs, and pairs are verified by their n-grams.
 
@@ -40,8 +40,9 @@ from .components import components
 WORDS = 4
 ALIKE = 85  # 100 * shared >= ALIKE * all
 LEAF = 256
+_CENTRES = 5
 _GROWTH = 1.7  # of the sizes of a class; larger ones need more groups, smaller ones more guests
-_COORDINATES = (8, 256)
+_COORDINATES = (8, 512)
 _REMEMBERED = 100_000  # hashes of short words
 _SHORT = 64
 _BATCH = 8 << 20  # bytes of sets in a batch on their way out
@@ -100,7 +101,7 @@ class Classes:
         return apart + 1 + spare, spare
 
     def coordinates(self, k: int) -> int:
-        return int(np.clip(self.starts[k + 1] // 4, *_COORDINATES))
+        return int(np.clip(self.starts[k + 1] // 2, *_COORDINATES))
 
     def trees(self, held: np.ndarray, k: int) -> np.ndarray:
         """Names of the trees of a set in class ``k``: hashes of the contents of its groups."""
@@ -214,15 +215,21 @@ def links_of(sets: DataFrame, docs: DataFrame, words: int, alike: int, leaf: int
                           counts=shared.select("tree", "_rows"))
     members = members.select("tree", F.shiftright("code", 1).alias("id"), (F.col("code") % 2 == 1).alias("home"), "first")
     members = keep(members.where("first <> id"), "members")
-    star = members.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
+    star = members.select(F.col("first").alias("a"), F.col("id").alias("b"))
+    # Copies at the edge are alike to some of their group only: a few more centres,
+    # the same ones in most trees, connect them as well.
+    centres = members.groupBy("tree").agg(F.count("*").alias("_rows"), F.array(
+        *(F.min_by("id", F.xxhash64(F.lit(at), "id")) for at in range(_CENTRES))).alias("centres"))
+    centres = keep(centres.where("_rows > 1"), "centres")
+    others = lookup_join(members.select("tree", "id"), centres.select("tree", "centres"), "tree", small=False,
+                         counts=centres.select("tree", "_rows"))
+    others = others.select("id", F.explode("centres").alias("centre")).where("id <> centre")
+    star = star.unionByName(others.select(
+        F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))).distinct()
     star = keep(verified(bounded(star, sets, alike), sets, docs, words, alike), "star")
 
-    # Trees whose members the stars left apart. A root is an id that links lead to,
-    # here in two steps; where more would be needed, pairs are compared in vain.
-    up = keep(star.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("root")), "up")
-    top = up.select(F.col("id").alias("root"), F.col("root").alias("top"))
-    up = lookup_join(up, top, "root", "left").select("id", F.coalesce("top", "root").alias("root"))
-    rest = keep(lookup_join(members, keep(up, "up"), "id", "left").select(
+    # Trees whose members the stars left apart.
+    rest = keep(lookup_join(members, keep(components(star), "roots"), "id", "left").select(
         "tree", "id", "home", F.coalesce("root", "id").alias("root")), "rest")
     apart = rest.groupBy("tree").agg(
         F.count("*").alias("_rows"), F.bool_or("home").alias("home"),
@@ -260,16 +267,17 @@ def bounded(pairs: DataFrame, sets: DataFrame, alike: int) -> DataFrame:
 
 def tree_pairs(members: DataFrame, sets: DataFrame, alike: int, leaf: int = LEAF) -> DataFrame:
     """(a, b) pairs of one tree that have two roots and pass the bound."""
-    points = lookup_join(members, sets.select("id", "size", "k", "own_point", "next_point"), "id")
-    points = points.select("tree", "id", "root", "home", "size",
-                           F.when(F.col("home"), F.col("k")).otherwise(F.col("k") + 1).alias("k"),
-                           F.when(F.col("home"), F.col("own_point")).otherwise(F.col("next_point")).alias("point"))
+    points = lookup_join(members, sets.select("id", "size", "k", "own", "own_point", "next", "next_point"), "id")
+    points = points.select("tree", "id", "root", "home", "size", *(
+        F.when(F.col("home"), own).otherwise(guest).alias(name) for name, own, guest in (
+            ("k", F.col("k"), F.col("k") + 1), ("point", F.col("own_point"), F.col("next_point")),
+            ("trees", F.array_sort("own"), F.array_sort("next")))))
     # Sizes grow by a tenth or so from bucket to bucket, so a large tree is ranked by several tasks.
     bucket = F.floor(F.log2(F.col("size")) * 8) * 64 + F.pmod("id", F.lit(64))
     ranked = before(points, ["tree"], bucket, ["size", "id"], F.lit(1), "rank")
     leaves = keep(
         ranked.groupBy("tree", F.expr(f"rank div {leaf}").alias("leaf")).agg(
-            F.collect_list(F.struct("id", "root", "home", "size", "k", "point")).alias("rows")), "leaves")
+            F.collect_list(F.struct("id", "root", "home", "size", "k", "point", "trees")).alias("rows")), "leaves")
     # A leaf waits in one of about root-n cells of its tree and visits all of them.
     cells = leaves.groupBy("tree").agg(F.ceil(F.sqrt(F.count("*"))).cast("int").alias("cells"))
     cells = keep(cells, "cells")
@@ -277,22 +285,26 @@ def tree_pairs(members: DataFrame, sets: DataFrame, alike: int, leaf: int = LEAF
     home = dealt.select("tree", (F.col("leaf") % F.col("cells")).cast("int").alias("cell"),
                         F.col("leaf").alias("home_leaf"), F.col("rows").alias("home_rows"))
     visits = dealt.withColumn("cell", F.explode(F.expr("sequence(0, cells - 1)")))
-    met = visits.join(home, ["tree", "cell"]).where("leaf <= home_leaf").select("rows", "home_rows")
+    met = visits.join(home, ["tree", "cell"]).where("leaf <= home_leaf").select("tree", "rows", "home_rows")
 
     def passing(batches):
         classes = Classes(alike)
         for batch in batches:
             for row in range(batch.num_rows):
-                yield _passing(*(batch.column(c)[row].values for c in ("rows", "home_rows")), classes)
+                sides = (batch.column(c)[row].values for c in ("rows", "home_rows"))
+                yield _passing(batch.column("tree")[row].as_py(), *sides, classes)
 
     return met.mapInArrow(passing, "a BIGINT, b BIGINT").distinct()
 
 
-def _passing(left, right, classes: Classes):
-    """The pairs of points of two leaves that the summed minima let through."""
-    (x, n_x, id_x, root_x, home_x), (y, n_y, id_y, root_y, home_y) = (
-        _leaf(rows, classes) for rows in (left, right))
-    a, b = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+def _passing(tree: int, left, right, classes: Classes):
+    """The pairs of points of two leaves that the summed minima let through.
+
+    A pair comes out of the least of the trees it shares only.
+    """
+    (x, n_x, id_x, root_x, home_x, in_x), (y, n_y, id_y, root_y, home_y, in_y) = (
+        _leaf(rows, tree, classes) for rows in (left, right))
+    a, b = [], []
     # Nodes first: their greatest counts against their least sizes.
     if np.minimum(x.max(axis=0), y.max(axis=0)).sum() >= classes.shared(n_x.min(), n_y.min()):
         for k in range(len(x)):
@@ -300,15 +312,18 @@ def _passing(left, right, classes: Classes):
             near &= (root_y != root_x[k]) & (home_y | home_x[k])
             j = np.flatnonzero(near)
             j = j[np.minimum(y[j], x[k]).sum(axis=1) >= classes.shared(n_y[j], n_x[k])]
-            a.append(np.minimum(id_y[j], id_x[k]))
-            b.append(np.maximum(id_y[j], id_x[k]))
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+            for other in j.tolist():
+                if in_x[k].isdisjoint(in_y[other]):
+                    a.append(min(id_x[k], id_y[other]))
+                    b.append(max(id_x[k], id_y[other]))
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def _leaf(rows, classes: Classes):
+def _leaf(rows, tree: int, classes: Classes):
     points = classes.points(rows.field("point").to_pylist(), rows.field("k")[0].as_py())
     ids = (rows.field(c).to_numpy(zero_copy_only=False) for c in ("size", "id", "root", "home"))
-    return points, *ids
+    lists = (trees.values.to_numpy() for trees in rows.field("trees"))
+    return points, *ids, [set(trees[:np.searchsorted(trees, tree)].tolist()) for trees in lists]
 
 
 def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words: int, alike: int) -> DataFrame:

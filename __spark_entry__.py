@@ -24,7 +24,7 @@ from quillmesh.operators import pairs as pair_ops  # noqa: E402
 from quillmesh.operators import text as text_ops  # noqa: E402
 from quillmesh.operators.skew import spread  # noqa: E402
 from quillmesh.plans import graph, metric, text  # noqa: E402
-from quillmesh.sources.keyed_table import scan_rows  # noqa: E402
+from quillmesh.sources.keyed_table import compact, scan_rows  # noqa: E402
 from quillmesh.sources.matrices import model_frame  # noqa: E402
 from quillmesh.sources.scratch import scratch_path  # noqa: E402
 
@@ -143,6 +143,16 @@ def frequent_terms(spark, sf_dir):
     return text_ops.above_average(stored, THRESHOLD)
 
 
+def averages_after_update(spark, sf_dir):
+    """Averages off the documents with an even number, then those off the others put over them."""
+    path = scratch_path(spark, "averages")
+    for rest in (0, 1):
+        part = documents(spark, sf_dir).where(F.col("doc").cast("bigint") % 2 == rest)
+        text.store_averages(part, path)
+    compact(spark, path)
+    return scan_rows(spark, path).withColumnRenamed("word", "term")
+
+
 def top_average_terms(spark, sf_dir):
     averages = text.term_averages(documents(spark, sf_dir))
     return text_ops.top_averages(averages, 100).select("term", "avg_count")
@@ -250,6 +260,12 @@ def knn_predict(spark, sf_dir):
     return metric.knn_predict(samples(spark, sf_dir), labels(spark, sf_dir), k=5)
 
 
+def knn_queries(spark, sf_dir):
+    rows = samples(spark, sf_dir)
+    asking, known = rows.where("id % 5 = 0"), rows.where("id % 5 <> 0")
+    return metric.knn_predict_for(asking, known, labels(spark, sf_dir), k=5)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """TF-IDF per author over the documents."""
     return tf_idf(spark, SMOKE_DIR)
@@ -270,6 +286,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sorted_index_lines": sorted_index_lines,
         "index_by_frequency": index_by_frequency,
         "frequent_terms": frequent_terms,
+        "averages_after_update": averages_after_update,
         "top_average_terms": top_average_terms,
         "author_documents": author_documents,
         "authors_from_names": authors_from_names,
@@ -290,6 +307,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "nca_gradient": nca_gradient,
         "nca_one_epoch": nca_one_epoch,
         "knn_predict": knn_predict,
+        "knn_queries": knn_queries,
     }
 
 
@@ -436,6 +454,11 @@ def _own_sql() -> dict[str, str]:
         "index_by_frequency": f"WITH {_TERMS} SELECT term, avg_count FROM averages",
         "frequent_terms": f"""
             WITH {_TERMS} SELECT term, avg_count FROM averages WHERE avg_count > {THRESHOLD}""",
+        "averages_after_update": f"""
+            WITH {_TERMS}, halves AS (
+              SELECT term, CAST(doc AS BIGINT) % 2 AS rest, CAST(sum(n) AS DOUBLE) / count(*) AS avg_count
+              FROM counts GROUP BY ALL)
+            SELECT term, arg_max(avg_count, rest) AS avg_count FROM halves GROUP BY term""",
         "top_average_terms": f"""
             WITH {_TERMS} SELECT term, avg_count FROM averages
             ORDER BY avg_count DESC, term LIMIT 100""",
@@ -499,4 +522,16 @@ def _own_sql() -> dict[str, str]:
                        PARTITION BY id ORDER BY n DESC, label) AS place
               FROM votes)
             SELECT id, label AS predicted FROM placed WHERE place = 1""",
+        "knn_queries": f"""
+            WITH {_SAMPLES}, ranked AS (
+              SELECT a.id, b.label, row_number() OVER (
+                       PARTITION BY a.id ORDER BY round(list_distance(a.x, b.x), 9), b.id) AS place
+              FROM samples a JOIN samples b ON a.id % 5 = 0 AND b.id % 5 <> 0),
+            votes AS (
+              SELECT id, label, count(*) AS n FROM ranked WHERE place <= 5 GROUP BY id, label),
+            placed AS (
+              SELECT id, label, row_number() OVER (
+                       PARTITION BY id ORDER BY n DESC, label) AS place
+              FROM votes)
+            SELECT id, label AS predicted FROM placed WHERE place = 1""",
     }

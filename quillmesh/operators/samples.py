@@ -2,7 +2,9 @@
 
 Samples are packed into blocks and every two blocks meet in one row, where
 numpy works out the kernel between them. Only sums leave such a row - two
-numbers per sample, or one d x d matrix per task - never the pairs.
+numbers per sample, or one d x d matrix per task - never the pairs. Where samples
+lie so far apart that kernels are exactly 0, blocks are cut by balls, and those
+that are out of each other's reach never meet.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import divide_or_zero
+from .balls import KERNEL_REACH, Balls, balls_of, groups_of, meeting_groups, widest
 from .pairs import matrix_batch
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -69,9 +72,7 @@ def block_cells(samples: DataFrame, blocks: int) -> DataFrame:
     with the root of the tasks, not with the samples. Cells are merged, so the
     blocks of a group may spill.
     """
-    session = samples.sparkSession
-    tasks = max(int(session.conf.get("spark.sql.shuffle.partitions")),
-                session.sparkContext.defaultParallelism)
+    tasks = _tasks(samples)
     groups = group_count(blocks, tasks)
     packed = samples.groupBy(
         F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block")
@@ -94,12 +95,77 @@ def block_cells(samples: DataFrame, blocks: int) -> DataFrame:
     )
 
 
+def kernel_balls(samples: DataFrame, matrix, blocks: int) -> Balls | None:
+    """Balls to cut the samples by, or None where no kernel can be 0 for distance."""
+    if widest(samples, matrix) <= KERNEL_REACH:
+        return None
+    return balls_of(samples, matrix, max(2, blocks))
+
+
+def ball_cells(samples: DataFrame, blocks: int, balls: Balls) -> DataFrame:
+    """As ``block_cells``, with blocks cut by balls; only what is within reach meets.
+
+    A ball with many samples makes several blocks. Groups are balls next to each
+    other, and a block travels only to the groups that hold a ball near its own.
+    """
+    tasks = _tasks(samples)
+    near = balls.within(KERNEL_REACH)
+    of_ball = groups_of(balls.counts, group_count(blocks, tasks))
+    met = meeting_groups(near, of_ball, of_ball)
+    packed = _packed(balls, samples, blocks)
+    both = np.triu(met | met.T)
+    own = _sent(packed, near, of_ball, both, "low", "high").select(
+        "low", "high", F.col("block").alias("own_block"), F.col("ball").alias("own_ball"), "near",
+        F.col("rows").alias("own"))
+    other = _sent(packed, near, of_ball, both.T, "high", "low").select(
+        "low", "high", F.col("block").alias("other_block"), F.col("ball").alias("other_ball"),
+        F.col("rows").alias("other"))
+    tasks = min(tasks, int(both.sum()))
+    own, other = (side.repartition(tasks, "low", "high") for side in (own, other))
+    return (
+        own.join(other.hint("merge"), ["low", "high"])
+        .where("array_contains(near, other_ball)")
+        .where("low < high or (own_ball, own_block) <= (other_ball, other_block)")
+        .select("own", "other",
+                F.expr("own_ball = other_ball and own_block = other_block").alias("diagonal"))
+    )
+
+
+def _packed(balls: Balls, samples: DataFrame, blocks: int) -> DataFrame:
+    """(ball, block, rows): the samples of a ball in blocks of the usual size."""
+    size = max(1, math.ceil(int(balls.counts.sum()) / blocks))
+    parts = F.lit([max(1, math.ceil(n / size)) for n in balls.counts.tolist()])
+    part = F.pmod(F.xxhash64("id"), F.element_at(parts, F.col("ball") + 1)).cast("int")
+    return balls.place(samples).groupBy("ball", part.alias("block")).agg(
+        F.collect_list(F.struct(*samples.columns)).alias("rows"))
+
+
+def _sent(packed: DataFrame, near: np.ndarray, of_ball: np.ndarray, met: np.ndarray,
+          own: str, other: str) -> DataFrame:
+    """Blocks copied to all the groups that their own group meets, with the balls near theirs."""
+    known = [(ball, int(of_ball[ball]), met[of_ball[ball]].nonzero()[0].tolist(), near[ball].nonzero()[0].tolist())
+             for ball in range(len(of_ball))]
+    known = packed.sparkSession.createDataFrame(
+        known, f"ball INT, {own} INT, others ARRAY<INT>, near ARRAY<INT>")
+    # A row per ball, of which there are MAX_PIVOTS at most.
+    return packed.join(F.broadcast(known), "ball").withColumn(other, F.explode("others"))
+
+
+def _tasks(samples: DataFrame) -> int:
+    session = samples.sparkSession
+    return max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism)
+
+
+def _cells_of(samples: DataFrame, blocks: int, balls: Balls | None) -> DataFrame:
+    return block_cells(samples, blocks) if balls is None else ball_cells(samples, blocks, balls)
+
+
 def group_count(blocks: int, tasks: int) -> int:
     """Groups of blocks for about two cells per task."""
     return min(blocks, math.ceil(2 * math.sqrt(tasks)))
 
 
-def kernel_sums(samples: DataFrame, matrix, blocks: int) -> DataFrame:
+def kernel_sums(samples: DataFrame, matrix, blocks: int, balls: Balls | None = None) -> DataFrame:
     """(id, z, s): kernel sums of each sample over all others and its own label."""
     a = samples.sparkSession.sparkContext.broadcast(np.asarray(matrix, dtype=float))
     schema = samples.select("id", F.lit(0.0).alias("z"), F.lit(0.0).alias("s")).schema
@@ -112,7 +178,7 @@ def kernel_sums(samples: DataFrame, matrix, blocks: int) -> DataFrame:
             if not diagonal:
                 yield _sums_batch(other["id"], k.sum(axis=0), same.sum(axis=0))
 
-    parts = block_cells(samples.select("id", "label", "x"), blocks).mapInArrow(sums, schema)
+    parts = _cells_of(samples.select("id", "label", "x"), blocks, balls).mapInArrow(sums, schema)
     return parts.groupBy("id").agg(F.sum("z").alias("z"), F.sum("s").alias("s"))
 
 
@@ -121,7 +187,8 @@ def success(sums: DataFrame) -> DataFrame:
     return sums.select("id", divide_or_zero(F.col("s"), F.col("z")).alias("p"), "z")
 
 
-def gradient(samples: DataFrame, successes: DataFrame, matrix, blocks: int) -> DataFrame:
+def gradient(samples: DataFrame, successes: DataFrame, matrix, blocks: int,
+             balls: Balls | None = None) -> DataFrame:
     """(r, c, v) of A . sum over pairs of p_ij (p_i - [same label]) x_ij x_ij^T.
 
     Within a cell the sum of v_ij x_ij x_ij^T over i, j is
@@ -146,7 +213,7 @@ def gradient(samples: DataFrame, successes: DataFrame, matrix, blocks: int) -> D
             total -= cross + cross.T
         yield matrix_batch(a.value @ total)
 
-    parts = block_cells(scored, blocks).mapInArrow(fold, "r INT, c INT, v DOUBLE")
+    parts = _cells_of(scored, blocks, balls).mapInArrow(fold, "r INT, c INT, v DOUBLE")
     return parts.groupBy("r", "c").agg(F.sum("v").alias("v"))
 
 
@@ -171,6 +238,61 @@ def nearest(samples: DataFrame, matrix, blocks: int, k: int, digits: int = 9) ->
     return block_cells(samples.select("id", "label", "x"), blocks).mapInArrow(candidates, schema)
 
 
+def nearest_of(queries: DataFrame, samples: DataFrame, matrix, blocks: int, k: int, digits: int = 9) -> DataFrame:
+    """(id, neighbour, label, distance) candidates among ``samples`` for each query.
+
+    Queries and samples are cut by the same pivots. A block of queries meets the
+    balls that may hold one of its k nearest only, by the bounds that the balls
+    with k samples together set. A task keeps the k best of each query over all
+    blocks of a cell, so a cell sends k rows for a query, however many samples.
+    """
+    balls = balls_of(samples.select("id", "x"), matrix, max(2, blocks))
+    asking = balls.measured(queries.select("x"))
+    near = asking.nearest_within(balls, k)
+    tasks = _tasks(samples)
+    groups = math.ceil(math.sqrt(tasks))
+    rows, columns = groups_of(asking.counts, groups), groups_of(balls.counts, groups)
+    met = meeting_groups(near, rows, columns)
+    own = _sent(_packed(asking, queries.select("id", "x"), blocks), near, rows, met, "row", "column").select(
+        "row", "column", F.struct("ball", "block").alias("asking"), "near", F.col("rows").alias("own"))
+    other = _sent(_packed(balls, samples.select("id", "label", "x"), blocks), near.T, columns, met.T,
+                  "column", "row").select("row", "column", F.col("ball").alias("other_ball"), F.col("rows").alias("other"))
+    tasks = max(1, min(tasks, int(met.sum())))
+    own, other = (side.repartition(tasks, "row", "column") for side in (own, other))
+    cells = own.join(other.hint("merge"), ["row", "column"]).where("array_contains(near, other_ball)")
+    cells = cells.select(F.struct("row", "column").alias("cell"), "asking", "own", "other")
+    a = samples.sparkSession.sparkContext.broadcast(np.asarray(matrix, dtype=float))
+    schema = queries.select("id").join(
+        samples.select(F.col("id").alias("neighbour"), "label"), F.lit(False)).withColumn(
+        "distance", F.lit(0.0)).schema
+
+    def best(batches):
+        cell, kept = None, {}
+        for batch in batches:
+            for at in range(batch.num_rows):
+                if batch.column("cell")[at].as_py() != cell:
+                    yield from kept.values()
+                    cell, kept = batch.column("cell")[at].as_py(), {}
+                name = tuple(batch.column("asking")[at].as_py().values())
+                own, other = (_unpack(batch.column(c)[at].values) for c in ("own", "other"))
+                d = np.round(np.sqrt(_squares(own["x"], other["x"], a.value)), digits)
+                found = _nearest_batch(own, other, d, k, False)
+                kept[name] = _best(kept[name], found, k) if name in kept else found
+        yield from kept.values()
+
+    return cells.mapInArrow(best, schema)
+
+
+def _best(old, new, k: int):
+    """Of the candidates of two batches the k nearest to each id; ties to the smaller neighbour."""
+    both = pa.Table.from_batches([old, new]).combine_chunks()
+    both = both.sort_by([("id", "ascending"), ("distance", "ascending"), ("neighbour", "ascending")])
+    codes = both.column("id").combine_chunks().dictionary_encode().indices.to_numpy()
+    first = np.concatenate([[True], codes[1:] != codes[:-1]]) if len(codes) else np.zeros(0, dtype=bool)
+    rank = np.arange(len(codes)) - np.maximum.accumulate(np.where(first, np.arange(len(codes)), 0))
+    return both.filter(pa.array(rank < k)).to_batches()[0]
+
+
 def _cells(batches):
     """The packed samples of each row as numpy columns; ids and labels as Arrow."""
     for batch in batches:

@@ -22,7 +22,8 @@ from ..sources.scratch import keep
 def sample_success(samples: DataFrame, labels: DataFrame, matrix=None) -> DataFrame:
     """(id, p): chance that a sample picks a neighbour of its own label."""
     rows, n, d = sample_ops.labelled_samples(samples, labels)
-    sums = sample_ops.kernel_sums(rows, _start(matrix, d), sample_ops.block_count(rows, n, d))
+    matrix, blocks = _start(matrix, d), sample_ops.block_count(rows, n, d)
+    sums = sample_ops.kernel_sums(rows, matrix, blocks, sample_ops.kernel_balls(rows, matrix, blocks))
     return sample_ops.success(sums).select("id", "p")
 
 
@@ -88,7 +89,19 @@ def knn_predict(samples: DataFrame, labels: DataFrame, k: int, matrix=None) -> D
     label.
     """
     rows, n, d = sample_ops.labelled_samples(samples, labels)
-    found = sample_ops.nearest(rows, _start(matrix, d), sample_ops.block_count(rows, n, d), k)
+    return _voted(sample_ops.nearest(rows, _start(matrix, d), sample_ops.block_count(rows, n, d), k), k)
+
+
+def knn_predict_for(queries: DataFrame, samples: DataFrame, labels: DataFrame, k: int, matrix=None) -> DataFrame:
+    """(id, predicted) for (id, x) queries: majority label of the k nearest samples, as in ``knn_predict``.
+
+    A query is compared with a sample of its own id too.
+    """
+    rows, n, d = sample_ops.labelled_samples(samples, labels)
+    return _voted(sample_ops.nearest_of(queries, rows, _start(matrix, d), sample_ops.block_count(rows, n, d), k), k)
+
+
+def _voted(found: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("id").orderBy("distance", "neighbour")
     votes = (
         found.withColumn("_at", F.row_number().over(order))
@@ -106,8 +119,9 @@ def _start(matrix, d: int) -> np.ndarray:
 
 def _sample_gradient(rows: DataFrame, blocks: int) -> Callable[[np.ndarray], DataFrame]:
     def gradient(a: np.ndarray) -> DataFrame:
-        successes = sample_ops.success(sample_ops.kernel_sums(rows, a, blocks))
-        return sample_ops.gradient(rows, successes, a, blocks)
+        balls = sample_ops.kernel_balls(rows, a, blocks)
+        successes = sample_ops.success(sample_ops.kernel_sums(rows, a, blocks, balls))
+        return sample_ops.gradient(rows, successes, a, blocks, balls)
 
     return gradient
 

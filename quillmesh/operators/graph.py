@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+import math
+import sys
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import BLOCK_SIZE, item_splits, list_blocks, with_range
-from .skew import flag_hot, is_hot, salted_join
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MODES = ("undirected", "directed")
-CHUNK = 1000  # mids of one tail that one task opens
+TASK_EDGES = 1 << 20
+MIN_COLOURS = 3
+WEDGES = 1 << 20
 
 
 def simple_edges(edges: DataFrame, mode: str = "undirected") -> DataFrame:
@@ -74,67 +83,80 @@ def degrees(lines: DataFrame) -> DataFrame:
     )
 
 
-def oriented_edges(lines: DataFrame, flagged: DataFrame) -> DataFrame:
-    """(tail, head, head_degree): each edge from its lower to its higher end.
+def count_triangles(edges: DataFrame, mode: str = "undirected", colours: int | None = None) -> DataFrame:
+    """One row, n. Each triangle is met once, in the task of its three colours.
 
-    Vertices are ordered by (degree, id), so with m edges no vertex is the
-    tail of more than sqrt(2 m). ``flagged`` holds (vertex, degree, _hot); an
-    edge with an end that is not in it falls out.
-    """
-    hot = flagged.where("_hot").select("vertex")
-    both = lines
-    for end in ("lo", "hi"):
-        at_end = flagged.select(
-            F.col("vertex").alias(end), F.col("degree").alias(f"{end}_degree"), "_hot"
-        )
-        both = salted_join(flag_hot(both, end, hot), at_end, end)
-    up = F.struct("lo_degree", "lo") < F.struct("hi_degree", "hi")
-    return both.select(
-        F.when(up, F.col("lo")).otherwise(F.col("hi")).alias("tail"),
-        F.when(up, F.col("hi")).otherwise(F.col("lo")).alias("head"),
-        F.greatest("lo_degree", "hi_degree").alias("head_degree"),
-    ).where("tail IS NOT NULL")
-
-
-def count_triangles(edges: DataFrame, mode: str = "undirected", chunk: int = CHUNK) -> DataFrame:
-    """One row, n. Each triangle is met once, at its lowest vertex.
-
-    For an edge tail -> mid the closing vertices are the later heads of tail
-    that are heads of mid too. Head lists hold at most sqrt(2 m) vertices and
-    no pair of them is written out: the edge carries the list and is answered
-    by one intersection. Mids are hubs, so their rows are salted. A tail with
-    more than ``chunk`` heads is opened by several tasks.
+    Vertices get colours by a hash, and every three of them, repeats included, are
+    a task. An edge goes to all tasks that have the colours of its ends, which are
+    as many as there are colours, so no list of neighbours and no pair of them
+    travels, and a hub's edges are dealt to many tasks. Colours grow with the root
+    of the edges, so that a task holds about TASK_EDGES of them.
     """
     lines = simple_edges(edges, mode)
-    total = lines.agg(F.count("*") * 2).scalar()
-    # An end of degree 1 closes no triangle.
-    flagged = degrees(lines).where("degree > 1").withColumn(
-        "_hot", is_hot(F.col("degree"), total)
-    )
-    tails = (
-        oriented_edges(lines, flagged)
-        .groupBy("tail")
-        .agg(F.sort_array(F.collect_list(F.struct("head_degree", "head"))).alias("heads"))
-    )
-    parts = F.explode(F.sequence(F.lit(0), F.size("heads") - 2, F.lit(chunk)))
-    short = tails.where(F.size("heads").between(2, chunk)).withColumn("first", F.lit(0))
-    long = tails.where(F.size("heads") > F.greatest(F.lit(1), F.lit(chunk))).withColumn("first", parts)
-    some = F.slice("heads", F.col("first") + 1, F.lit(chunk))
-    open_edges = (
-        short.unionByName(long.repartition("tail", "first"))
-        .select(F.col("heads.head").alias("heads"), "first", F.posexplode(some).alias("at", "mid"))
-        .withColumn("at", F.col("first") + F.col("at"))
-        .where(F.col("at") + 1 < F.size("heads"))
-        .select(
-            F.col("mid.head").alias("mid"),
-            F.slice("heads", F.col("at") + 2, F.size("heads")).alias("later"),
-            is_hot(F.col("mid.head_degree"), total).alias("_hot"),
-        )
-    )
-    mids = flag_hot(
-        tails.select(F.col("tail").alias("mid"), F.col("heads.head").alias("mid_heads")),
-        "mid",
-        flagged.where("_hot").select("vertex"),
-    )
-    closed = F.size(F.array_intersect("later", "mid_heads")).cast("bigint")
-    return salted_join(open_edges, mids, "mid").agg(F.coalesce(F.sum(closed), F.lit(0)).alias("n"))
+    if colours is None:
+        # Repeated edges count here, so tasks are rather smaller.
+        colours = colour_count(edges.agg(F.count("*")).first()[0])
+    own = [F.pmod(F.xxhash64(end), F.lit(colours)) for end in ("lo", "hi")]
+    third = F.explode(F.expr(f"sequence(0L, {colours - 1}L)"))
+    dealt = lines.select("lo", "hi", own[0].alias("_a"), own[1].alias("_b"), third.alias("_c"))
+    dealt = dealt.select("lo", "hi", (F.col("_a") * colours + F.col("_b")).alias("ends"), F.expr(
+        "aggregate(array_sort(array(_a, _b, _c)), 0L, (code, colour) -> code * "
+        f"{colours} + colour)").alias("task"))
+    counts = dealt.groupBy("task").applyInArrow(_counted(colours), "n BIGINT")
+    return counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+
+
+def colour_count(edges: int) -> int:
+    """So many that a task, which has about 6 / colours^2 of all edges, holds TASK_EDGES."""
+    return max(MIN_COLOURS, math.ceil(math.sqrt(6 * edges / TASK_EDGES)))
+
+
+def _counted(colours: int):
+    def count(key, table):
+        """Triangles of a task's edges that have exactly its colours."""
+        table = table.combine_chunks()
+        both = pa.chunked_array([*table.column("lo").chunks, *table.column("hi").chunks]).combine_chunks()
+        codes = both.dictionary_encode().indices.to_numpy()
+        ends = np.concatenate(np.divmod(table.column("ends").to_numpy(), colours))
+        task = [key[0].as_py() // colours ** at % colours for at in range(3)]
+        # A digit for each colour of the task tells how often a triangle has it.
+        digit = np.zeros(colours, dtype=np.int64)
+        digit[sorted(set(task))] = 4 ** np.arange(len(set(task)))
+        weights = np.zeros(codes.max() + 1, dtype=np.int64)
+        weights[codes] = digit[ends]
+        found = triangles(codes[:len(table)], codes[len(table):], weights, int(digit[task].sum()))
+        return pa.table({"n": pa.array([found], pa.int64())})
+
+    return count
+
+
+def triangles(a: np.ndarray, b: np.ndarray, weights: np.ndarray, total: int) -> int:
+    """Triangles among distinct edges of numbered vertices whose weights add up to ``total``.
+
+    Edges point to the end with more edges, so no vertex is the tail of more than
+    the root of twice all. The heads of an edge's head are looked up among those
+    of its tail, for as many edges at once as make WEDGES.
+    """
+    degree = np.bincount(a, minlength=len(weights)) + np.bincount(b, minlength=len(weights))
+    rank = np.empty(len(weights), dtype=np.int64)
+    rank[np.argsort(degree, kind="stable")] = np.arange(len(weights))
+    weights = weights[np.argsort(rank)]
+    a, b = rank[a], rank[b]
+    names = np.sort(np.minimum(a, b) * len(weights) + np.maximum(a, b))
+    tails, heads = np.divmod(names, len(weights))
+    starts = np.searchsorted(tails, np.arange(len(weights) + 1))
+    sizes = starts[heads + 1] - starts[heads]
+    ends = np.cumsum(sizes)
+    found, at = 0, 0
+    while at < len(names):
+        done = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + WEDGES, "right")))
+        size = sizes[at:to]
+        edge = np.repeat(np.arange(at, to), size)
+        third = heads[np.arange(len(edge)) - np.repeat(ends[at:to] - size - done, size) + starts[heads[edge]]]
+        closing = tails[edge] * len(weights) + third
+        place = np.minimum(np.searchsorted(names, closing), len(names) - 1)
+        fits = weights[tails[edge]] + weights[heads[edge]] + weights[third] == total
+        found += int((fits & (names[place] == closing)).sum())
+        at = to
+    return found

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,8 +116,31 @@ def test_hubs_with_a_third_of_all_edges(spark):
     assert max(len(r.neighbours) for r in lists) == 500
 
 
-def test_a_tail_with_many_heads_is_opened_in_chunks(spark):
-    pairs = [(a, b) for a in range(30) for b in range(a)] + [(100 + a, a) for a in range(30)]
-    edges = spark.createDataFrame(pairs, "src BIGINT, dst BIGINT")
-    for chunk in (1, 4, 28, 29, 1000):
-        assert ops.count_triangles(edges, "undirected", chunk).first().n == brute_force(pairs, "undirected")[1]
+@pytest.mark.parametrize("colours", [None, 1, 2, 3, 9])
+def test_tasks_of_colours_meet_each_triangle_once(spark, colours):
+    pairs = [(0, i) for i in range(1, 30)] + [(i, j) for i in range(1, 30) for j in range(i + 1, 30, 3)]
+    pairs += [(j, i) for i, j in pairs[::5]] + [(7, 7)]
+    for mode in ("undirected", "directed"):
+        edges = spark.createDataFrame(pairs, "src BIGINT, dst BIGINT")
+        assert ops.count_triangles(edges, mode, colours).first().n == brute_force(pairs, mode)[1]
+    names = spark.createDataFrame([(f"v{a}", f"v{b}") for a, b in pairs], "src STRING, dst STRING")
+    assert ops.count_triangles(names, "undirected", colours).first().n == brute_force(pairs, "undirected")[1]
+
+
+@pytest.mark.parametrize("wedges", [1, 7, 1 << 20])
+def test_triangles_of_a_task(monkeypatch, wedges):
+    monkeypatch.setattr(ops, "WEDGES", wedges)
+    rng = np.random.default_rng(8)
+    pairs = sorted({tuple(sorted(p)) for p in rng.integers(0, 40, (300, 2)).tolist() if p[0] != p[1]})
+    a, b = np.array(pairs).T
+    weights = rng.integers(0, 2, 40)
+    known = set(pairs)
+    for total in range(4):
+        want = sum((x, z) in known and (y, z) in known and weights[[x, y, z]].sum() == total
+                   for x, y in pairs for z in range(y + 1, 40))
+        assert ops.triangles(a, b, weights, total) == want
+
+
+def test_colours_grow_with_the_root_of_the_edges():
+    assert ops.colour_count(0) == ops.colour_count(10 ** 6) == ops.MIN_COLOURS
+    assert 6 * 10 ** 12 / ops.colour_count(10 ** 12) ** 2 <= ops.TASK_EDGES

@@ -9,9 +9,14 @@ Keys with no more than ``size`` items have the one block 0.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import keep
+from .skew import lookup_join
+
 RANGE = "_range"
 BLOCK_SIZE = 10_000
 MIN_RANGES = 64
@@ -58,39 +63,44 @@ def with_range(rows: DataFrame, item: str, splits: list) -> DataFrame:
     return held.withColumn(RANGE, F.expr(search(0, len(splits)))).drop("_splits")
 
 
-def list_blocks(rows: DataFrame, key: str, item: str, values: tuple = (),
+def list_blocks(rows: DataFrame, key: str, item: str, splits: Callable[[], list], values: tuple = (),
                 total: str | None = None, size: int = BLOCK_SIZE) -> DataFrame:
     """(key, block, n_items[, total], items) from unique (key, item) rows.
 
-    ``rows`` carry RANGE, the range number of the item. Ranks are counted
-    within (key, range), so even a key with every row is ranked by many tasks;
-    the counts of a key's earlier ranges, at most MAX_RANGES rows, shift them.
+    The rows are written once and the items of each key counted. Keys with one
+    block, nearly all of them, are collected straight by one aggregate; only the
+    others are ranked. ``splits`` gives the ranges of items for that.
     """
-    within = Window.partitionBy(key, RANGE).orderBy(item)
-    ranked = rows.withColumn("_rank", F.row_number().over(within))
-
-    sums = [F.count("*").alias("_rows")]
-    if total is not None:
-        sums.append(F.sum(total).alias("_total"))
-    whole = Window.partitionBy(key)
-    before = whole.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = rows.groupBy(key, RANGE).agg(*sums)
-    offsets = offsets.select(
-        key,
-        RANGE,
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
-        F.sum("_rows").over(whole).alias("n_items"),
-        *([F.sum("_total").over(whole).alias("total")] if total is not None else []),
-    )
-
-    block = F.floor((F.col("_before") + F.col("_rank") - 1) / F.lit(size))
+    rows = keep(rows, "items")
+    counted = [F.count("*").alias("n_items")] + ([F.sum(total).alias("total")] if total is not None else [])
     heads = ["n_items"] + (["total"] if total is not None else [])
-    return (
-        ranked.join(offsets.hint("merge"), [key, RANGE])
-        .withColumn("block", block.cast("bigint"))
-        .groupBy(key, "block")
-        .agg(
-            *(F.first(h).alias(h) for h in heads),
-            F.sort_array(F.collect_list(F.struct(item, *values))).alias("items"),
-        )
-    )
+    listed = F.sort_array(F.collect_list(F.struct(item, *values))).alias("items")
+    columns = [key, "block", *heads, "items"]
+    long = keep(rows.groupBy(key).agg(*counted).where(F.col("n_items") > size), "long")
+    sizes = long.select(key, F.col("n_items").alias("_rows"))
+    if long.isEmpty():
+        short = rows
+    else:
+        short = lookup_join(rows, long.select(key), key, "left_anti", counts=sizes)
+    blocks = short.groupBy(key).agg(*counted, listed).withColumn("block", F.lit(0).cast("bigint")).select(*columns)
+    if long.isEmpty():
+        return blocks
+    ranked = _ranked(with_range(lookup_join(rows, long, key, counts=sizes), item, splits()), key, item)
+    block = F.floor((F.col("_rank") - 1) / F.lit(size)).cast("bigint").alias("block")
+    ranked = ranked.groupBy(key, block).agg(*(F.first(h).alias(h) for h in heads), listed)
+    return blocks.unionByName(ranked.select(*columns))
+
+
+def _ranked(rows: DataFrame, key: str, item: str) -> DataFrame:
+    """Add _rank, from 1, within each key.
+
+    Ranks are counted within (key, range), so even a key with every row is ranked
+    by many tasks; the counts of a key's earlier ranges, at most MAX_RANGES rows,
+    shift them.
+    """
+    within = Window.partitionBy(key, RANGE).orderBy(item)
+    earlier = Window.partitionBy(key).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy(key, RANGE).agg(F.count("*").alias("_rows")).select(
+        key, RANGE, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    ranked = rows.withColumn("_rank", F.row_number().over(within)).join(offsets.hint("merge"), [key, RANGE])
+    return ranked.withColumn("_rank", F.col("_rank") + F.col("_before"))

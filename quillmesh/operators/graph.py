@@ -11,7 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import BLOCK_SIZE, item_splits, list_blocks, with_range
+from .blocks import BLOCK_SIZE, item_splits, list_blocks
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -64,9 +64,8 @@ def adjacency_blocks(edges: DataFrame, mode: str = "undirected",
     lines = simple_edges(edges, mode)
     # Both ends are neighbours of something, so both give splits.
     ends = edges.select(F.explode(F.array("src", "dst")).alias("neighbour"))
-    splits = item_splits(ends, ranges)
-    rows = with_range(both_directions(lines), "neighbour", splits)
-    return list_blocks(rows, "vertex", "neighbour", size=size).select(
+    blocks = list_blocks(both_directions(lines), "vertex", "neighbour", lambda: item_splits(ends, ranges), size=size)
+    return blocks.select(
         "vertex",
         "block",
         F.col("n_items").alias("degree"),

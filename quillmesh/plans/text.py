@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import leading_number, render_index_value, render_postings
 from ..operators import text as ops
-from ..operators.blocks import BLOCK_SIZE, RANGE, item_splits, list_blocks, with_range
+from ..operators.blocks import BLOCK_SIZE, item_splits, list_blocks
 from ..sources.keyed_table import put_rows
 from ..sources.scratch import scratch_path
 from ..sources.text import write_key_values
@@ -36,9 +36,8 @@ def inverted_index(docs: DataFrame, size: int = BLOCK_SIZE, ranges: int | None =
     ``names`` lists the documents (doc) where that is cheaper to scan than
     ``docs``, as it is for text files.
     """
-    splits = item_splits((docs if names is None else names).select("doc"), ranges)
-    ranged = with_range(docs, "doc", splits)
-    blocks = list_blocks(term_counts(ranged, (RANGE,)), "term", "doc", ("n",), "n", size)
+    listed = (docs if names is None else names).select("doc")
+    blocks = list_blocks(term_counts(docs), "term", "doc", lambda: item_splits(listed, ranges), ("n",), "n", size)
     return blocks.select(
         "term",
         "block",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quillmesh.functions.text import author_of, leading_number, render_postings
 from quillmesh.operators import skew
 from quillmesh.operators import text as ops
-from quillmesh.operators.blocks import item_splits, list_blocks, with_range
+from quillmesh.operators.blocks import item_splits, list_blocks
 from quillmesh.plans import text
 
 NOVELS = [
@@ -164,10 +164,24 @@ def test_common_terms_are_cut_into_whole_ordered_blocks(spark):
     assert sum(p.n for r in parts for p in r.postings) == 1334
 
 
+def test_only_long_lists_are_ranked(spark):
+    """Lists of 0 to 60 items, blocks of 20: short keys are collected, long ones cut, and both are whole."""
+    pairs = spark.range(61).selectExpr("id AS k", "explode(sequence(1, int(id))) AS v").where("k > 0")
+    for size in (20, 60, 1000):
+        asked = []
+        blocks = list_blocks(pairs, "k", "v", lambda: asked.append(1) or [5, 30], total="v", size=size).collect()
+        assert len(asked) == (size < 60)
+        for k in range(1, 61):
+            own = sorted((b for b in blocks if b.k == k), key=lambda b: b.block)
+            assert [b.block for b in own] == list(range(-(-k // size)))
+            assert [i.v for b in own for i in b["items"]] == list(range(1, k + 1))
+            assert all(b.n_items == k and b.total == k * (k + 1) // 2 and len(b["items"]) <= size for b in own)
+
+
 def test_ranges_never_change_the_blocks(spark):
     pairs = spark.range(500).selectExpr("id % 3 AS k", "id AS v")
     for splits in ([], [7], [0, 100, 101, 400], item_splits(pairs.select("v"), 8)):
-        got = list_blocks(with_range(pairs, "v", splits), "k", "v", size=50)
+        got = list_blocks(pairs, "k", "v", lambda splits=splits: splits, size=50)
         for row in got.collect():
             want = [v for v in range(500) if v % 3 == row.k][row.block * 50:(row.block + 1) * 50]
             assert [p.v for p in row["items"]] == want

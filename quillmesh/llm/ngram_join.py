@@ -229,7 +229,8 @@ def links_of(sets: DataFrame, docs: DataFrame, words: int, alike: int, leaf: int
     star = keep(verified(bounded(star, sets, alike), sets, docs, words, alike), "star")
 
     # Trees whose members the stars left apart.
-    rest = keep(lookup_join(members, keep(components(star), "roots"), "id", "left").select(
+    # A document is in no more trees than it has groups: plain joins on ids do.
+    rest = keep(members.join(components(star), "id", "left").select(
         "tree", "id", "home", F.coalesce("root", "id").alias("root")), "rest")
     apart = rest.groupBy("tree").agg(
         F.count("*").alias("_rows"), F.bool_or("home").alias("home"),
@@ -267,7 +268,7 @@ def bounded(pairs: DataFrame, sets: DataFrame, alike: int) -> DataFrame:
 
 def tree_pairs(members: DataFrame, sets: DataFrame, alike: int, leaf: int = LEAF) -> DataFrame:
     """(a, b) pairs of one tree that have two roots and pass the bound."""
-    points = lookup_join(members, sets.select("id", "size", "k", "own", "own_point", "next", "next_point"), "id")
+    points = members.join(sets.select("id", "size", "k", "own", "own_point", "next", "next_point"), "id")
     points = points.select("tree", "id", "root", "home", "size", *(
         F.when(F.col("home"), own).otherwise(guest).alias(name) for name, own, guest in (
             ("k", F.col("k"), F.col("k") + 1), ("point", F.col("own_point"), F.col("next_point")),

@@ -89,8 +89,30 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner"
 
 
 def _bytes_of(field: T.StructField) -> Column:
-    if isinstance(field.dataType, T.ArrayType):
-        return F.coalesce(F.size(field.name) * 8, F.lit(0))
-    if isinstance(field.dataType, T.StringType):
-        return F.coalesce(F.octet_length(field.name), F.lit(0))
-    return F.lit(8)
+    return _weight(F.col(f"`{field.name}`"), field.dataType)
+
+
+def _weight(value: Column, kind: T.DataType) -> Column:
+    """Bytes of a value by its type: what strings, binaries, arrays, maps and structs hold counts too."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)).cast("bigint")
+    if isinstance(kind, T.StructType):
+        return sum((_weight(value.getField(f.name), f.dataType) for f in kind), F.lit(8).cast("bigint"))
+    if isinstance(kind, T.ArrayType):
+        if _fixed(kind.elementType):
+            # A constant times the length; no element is looked at.
+            return F.coalesce(F.size(value) * _fixed(kind.elementType), F.lit(0)).cast("bigint")
+        total = F.aggregate(value, F.lit(0).cast("bigint"), lambda sum_, v: sum_ + _weight(v, kind.elementType))
+        return F.coalesce(total, F.lit(0).cast("bigint"))
+    if isinstance(kind, T.MapType):
+        return (_weight(F.map_keys(value), T.ArrayType(kind.keyType))
+                + _weight(F.map_values(value), T.ArrayType(kind.valueType)))
+    return F.lit(8).cast("bigint")
+
+
+def _fixed(kind: T.DataType) -> int:
+    """The bytes of every value of the type, or 0 if they differ."""
+    if isinstance(kind, T.StructType):
+        parts = [_fixed(f.dataType) for f in kind]
+        return 8 + sum(parts) if all(parts) else 0
+    return 0 if isinstance(kind, (T.StringType, T.BinaryType, T.ArrayType, T.MapType)) else 8

@@ -137,3 +137,18 @@ def test_a_cut_training_goes_on(spark, tmp_path):
     assert matrices.last_epoch(spark, path) == 2
     more = metric.nca_fit_pairs(rows, labels, 2, 0.1, 1, matrix=matrices.load_model(spark, path))
     assert np.allclose(more[-1], whole[-1]) and not np.allclose(whole[-1], whole[0])
+
+
+@pytest.mark.parametrize("value", [
+    "array_repeat(named_struct('a', id, 'b', id, 'c', id, 'd', id, 'e', id), 7000)",
+    "cast(repeat('x', 400000) AS BINARY)",
+    "array(repeat('x', 400000))",
+    "named_struct('a', 1, 'b', array(cast(repeat('x', 400000) AS BINARY)))",
+    "map(id, repeat('x', 400000))",
+])
+def test_lookups_are_weighed_by_what_they_hold(spark, value):
+    """1,000 rows of 280 MB or 400 MB together, and ten of them."""
+    rows = spark.range(1000).selectExpr("id", f"{value} AS v")
+    assert not skew.is_small(rows)
+    assert skew.is_small(rows.where("id < 10"))
+    assert skew.is_small(rows.selectExpr("id", "CASE WHEN id < 5 THEN v END AS v"))

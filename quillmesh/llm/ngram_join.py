@@ -42,7 +42,7 @@ ALIKE = 85  # 100 * shared >= ALIKE * all
 LEAF = 256
 _CENTRES = 5
 _GROWTH = 1.7  # of the sizes of a class; larger ones need more groups, smaller ones more guests
-_COORDINATES = (8, 512)
+_COORDINATES = (8, 256)
 _REMEMBERED = 100_000  # hashes of short words
 _SHORT = 64
 _BATCH = 8 << 20  # bytes of sets in a batch on their way out
@@ -101,7 +101,7 @@ class Classes:
         return apart + 1 + spare, spare
 
     def coordinates(self, k: int) -> int:
-        return int(np.clip(self.starts[k + 1] // 2, *_COORDINATES))
+        return int(np.clip(self.starts[k + 1] // 4, *_COORDINATES))
 
     def trees(self, held: np.ndarray, k: int) -> np.ndarray:
         """Names of the trees of a set in class ``k``: hashes of the contents of its groups."""
@@ -268,17 +268,17 @@ def bounded(pairs: DataFrame, sets: DataFrame, alike: int) -> DataFrame:
 
 def tree_pairs(members: DataFrame, sets: DataFrame, alike: int, leaf: int = LEAF) -> DataFrame:
     """(a, b) pairs of one tree that have two roots and pass the bound."""
-    points = members.join(sets.select("id", "size", "k", "own", "own_point", "next", "next_point"), "id")
-    points = points.select("tree", "id", "root", "home", "size", *(
-        F.when(F.col("home"), own).otherwise(guest).alias(name) for name, own, guest in (
-            ("k", F.col("k"), F.col("k") + 1), ("point", F.col("own_point"), F.col("next_point")),
-            ("trees", F.array_sort("own"), F.array_sort("next")))))
+    points = members.join(sets.select("id", "size", "k"), "id")
     # Sizes grow by a tenth or so from bucket to bucket, so a large tree is ranked by several tasks.
     bucket = F.floor(F.log2(F.col("size")) * 8) * 64 + F.pmod("id", F.lit(64))
     ranked = before(points, ["tree"], bucket, ["size", "id"], F.lit(1), "rank")
-    leaves = keep(
-        ranked.groupBy("tree", F.expr(f"rank div {leaf}").alias("leaf")).agg(
-            F.collect_list(F.struct("id", "root", "home", "size", "k", "point", "trees")).alias("rows")), "leaves")
+    # Points join when all else is done.
+    ranked = ranked.join(sets.select("id", "own_point", "next_point"), "id").select(
+        "tree", F.expr(f"rank div {leaf}").alias("leaf"), "id", "root", "home", "size",
+        F.when(F.col("home"), F.col("k")).otherwise(F.col("k") + 1).alias("k"),
+        F.when(F.col("home"), F.col("own_point")).otherwise(F.col("next_point")).alias("point"))
+    row = F.struct("id", "root", "home", "size", "k", "point")
+    leaves = keep(ranked.groupBy("tree", "leaf").agg(F.collect_list(row).alias("rows")), "leaves")
     # A leaf waits in one of about root-n cells of its tree and visits all of them.
     cells = leaves.groupBy("tree").agg(F.ceil(F.sqrt(F.count("*"))).cast("int").alias("cells"))
     cells = keep(cells, "cells")
@@ -286,26 +286,23 @@ def tree_pairs(members: DataFrame, sets: DataFrame, alike: int, leaf: int = LEAF
     home = dealt.select("tree", (F.col("leaf") % F.col("cells")).cast("int").alias("cell"),
                         F.col("leaf").alias("home_leaf"), F.col("rows").alias("home_rows"))
     visits = dealt.withColumn("cell", F.explode(F.expr("sequence(0, cells - 1)")))
-    met = visits.join(home, ["tree", "cell"]).where("leaf <= home_leaf").select("tree", "rows", "home_rows")
+    met = visits.join(home, ["tree", "cell"]).where("leaf <= home_leaf").select("rows", "home_rows")
 
     def passing(batches):
         classes = Classes(alike)
         for batch in batches:
             for row in range(batch.num_rows):
                 sides = (batch.column(c)[row].values for c in ("rows", "home_rows"))
-                yield _passing(batch.column("tree")[row].as_py(), *sides, classes)
+                yield _passing(*sides, classes)
 
     return met.mapInArrow(passing, "a BIGINT, b BIGINT").distinct()
 
 
-def _passing(tree: int, left, right, classes: Classes):
-    """The pairs of points of two leaves that the summed minima let through.
-
-    A pair comes out of the least of the trees it shares only.
-    """
-    (x, n_x, id_x, root_x, home_x, in_x), (y, n_y, id_y, root_y, home_y, in_y) = (
-        _leaf(rows, tree, classes) for rows in (left, right))
-    a, b = [], []
+def _passing(left, right, classes: Classes):
+    """The pairs of points of two leaves that the summed minima let through."""
+    (x, n_x, id_x, root_x, home_x), (y, n_y, id_y, root_y, home_y) = (
+        _leaf(rows, classes) for rows in (left, right))
+    a, b = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
     # Nodes first: their greatest counts against their least sizes.
     if np.minimum(x.max(axis=0), y.max(axis=0)).sum() >= classes.shared(n_x.min(), n_y.min()):
         for k in range(len(x)):
@@ -313,18 +310,15 @@ def _passing(tree: int, left, right, classes: Classes):
             near &= (root_y != root_x[k]) & (home_y | home_x[k])
             j = np.flatnonzero(near)
             j = j[np.minimum(y[j], x[k]).sum(axis=1) >= classes.shared(n_y[j], n_x[k])]
-            for other in j.tolist():
-                if in_x[k].isdisjoint(in_y[other]):
-                    a.append(min(id_x[k], id_y[other]))
-                    b.append(max(id_x[k], id_y[other]))
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            a.append(np.minimum(id_y[j], id_x[k]))
+            b.append(np.maximum(id_y[j], id_x[k]))
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
 
-def _leaf(rows, tree: int, classes: Classes):
+def _leaf(rows, classes: Classes):
     points = classes.points(rows.field("point").to_pylist(), rows.field("k")[0].as_py())
     ids = (rows.field(c).to_numpy(zero_copy_only=False) for c in ("size", "id", "root", "home"))
-    lists = (trees.values.to_numpy() for trees in rows.field("trees"))
-    return points, *ids, [set(trees[:np.searchsorted(trees, tree)].tolist()) for trees in lists]
+    return points, *ids
 
 
 def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words: int, alike: int) -> DataFrame:

@@ -321,14 +321,16 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
     """The documents without the lines that an earlier line makes needless."""
     removed, _ = repeated_lines(docs, **options)
     lists = keep(removed.groupBy("uid").agg(F.collect_list("at").alias("_gone")), "removed")
-    marked = lookup_join(docs.withColumn("uid", F.xxhash64("doc_id", "text")), lists, "uid", "left")
-    left = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("_gone", i))
-    cut = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    # The columns of the documents travel in one, so no name of theirs is met.
+    packed = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "text").alias("uid"))
+    marked = lookup_join(packed, lists, "uid", "left")
+    left = F.filter(F.split("row.text", "\n", -1), lambda line, i: ~F.array_contains("_gone", i))
+    cut = F.when(F.col("_gone").isNull(), F.col("row.text")).otherwise(F.array_join(left, "\n"))
     columns = {"text": cut}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(
+        columns["n_chars"] = F.when(F.col("_gone").isNull(), F.col("row.n_chars")).otherwise(
             F.length(cut).cast(docs.schema["n_chars"].dataType))
-    return marked.select(*(columns[c].alias(c) if c in columns else c for c in docs.columns))
+    return marked.select(*(columns.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def line_report(docs: DataFrame, **options) -> DataFrame:

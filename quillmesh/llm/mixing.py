@@ -179,9 +179,11 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     rows = mixed.documents.groupBy("place").agg(F.count("*").alias("_rows"))
     # Rows alike in id, text and source share what they are taken.
     each = keep(times.join(rows, "place").withColumnRenamed("place", "_place"), "times")
-    joined = lookup_join(docs.withColumn("_place", _place()), each, "_place")
+    # The columns of the documents travel in one, so no name of theirs is met.
+    packed = docs.select(F.struct("*").alias("row"), _place().alias("_place"))
+    joined = lookup_join(packed, each, "_place")
     alone = joined.where("_rows = 1").withColumn("_nth", F.lit(1))
-    nth = F.row_number().over(Window.partitionBy("_place").orderBy(F.xxhash64(*docs.columns)))
+    nth = F.row_number().over(Window.partitionBy("_place").orderBy(F.xxhash64("row")))
     several = joined.where("_rows > 1").withColumn("_nth", nth)
     copies = F.expr("_times div _rows + IF(_nth <= _times % _rows, 1, 0)").cast("int")
     return (
@@ -189,7 +191,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         .withColumn("_copies", copies)
         .where("_copies > 0")
         .withColumn("_copy", F.explode(F.expr("sequence(1, _copies)")))
-        .select(*docs.columns)
+        .select("row.*")
     )
 
 

@@ -373,7 +373,9 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
     first = first.groupBy("component_id").agg(
         F.min(F.struct(F.col("_id").isNull(), "_id", "_key", "_rows")).alias("first"))
     first = keep(first.select("first._key", "first._rows"), "kept")
-    kept = lookup_join(docs.withColumn("_key", F.xxhash64("doc_id", "text")), first, "_key")
-    nth = F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64(*docs.columns)))
+    # The columns of the documents travel in one, so no name of theirs is met.
+    packed = docs.select(F.struct("*").alias("row"), key)
+    kept = lookup_join(packed, first, "_key")
+    nth = F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64("row")))
     several = kept.where("_rows > 1").withColumn("_nth", nth).where("_nth = 1")
-    return kept.where("_rows = 1").select(*docs.columns).unionByName(several.select(*docs.columns))
+    return kept.where("_rows = 1").select("row.*").unionByName(several.select("row.*"))

@@ -10,6 +10,7 @@ import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -23,8 +24,11 @@ ORACLE_SQL = None
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the score puts at 0.5 or more go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = toxicity.scored(docs, labels, "_toxicity")
-    return scored.where("_toxicity < 0.5").select(*docs.columns)
+    taken = {c.lower() for c in docs.columns}
+    name = "_toxicity"
+    while name in taken:
+        name += "_"
+    return toxicity.scored(docs, labels, name).where(F.col(name) < 0.5).drop(name)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

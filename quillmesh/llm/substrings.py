@@ -32,8 +32,8 @@ from ..sources.scratch import keep
 LENGTH = 400
 GRAM = 64
 MANY_CONTEXTS = 2000  # of one anchor: beyond, strings are counted by hash
-_SPAN = 1 << 22  # bytes worked on at once; their places fit 24 bits
-_SORT_BYTES = 1 << 21  # of contexts sorted at once
+_SPAN = 1 << 18  # bytes worked on at once; their places fit 24 bits
+_SORT_BYTES = 1 << 19  # of contexts sorted at once, but for a larger anchor
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 # Bytes that are in no UTF-8 text: one after each text, one at the very end,
 # which makes the transform that of a ring.
@@ -137,17 +137,21 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
         F.col("w.kinds").alias("kinds"), cut.alias("bytes"))
 
     def sort(batches):
-        held, size, last = [], 0, None
+        # Anchors before the last one, and the contexts of the last one.
+        held, size, own, own_size = [], 0, [], 0
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("uid", "low", "anchor", "n", "bytes"))):
-                if row[2] != last and size >= _SORT_BYTES:
+            columns = [batch.column(c) for c in ("uid", "low", "anchor", "n", "bytes")]
+            for at in range(batch.num_rows):
+                row = tuple(column[at].as_py() for column in columns)
+                if own and row[2] != own[-1][2]:
+                    held, size, own, own_size = held + own, size + own_size, [], 0
+                own.append(row)
+                own_size += len(row[4])
+                if held and size + own_size > _SORT_BYTES:
                     yield _spans_batch(held, length)
                     held, size = [], 0
-                last = row[2]
-                held.append(row)
-                size += len(row[4])
-        if held:
-            yield _spans_batch(held, length)
+        if held or own:
+            yield _spans_batch(held + own, length)
 
     few = contexts.where(F.col("kinds") <= many).repartition("anchor").sortWithinPartitions("anchor")
     sorted_out = few.mapInArrow(sort, "uid BIGINT, low BIGINT, high BIGINT")
@@ -170,9 +174,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
 
 
 def _among(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Rows whose (k1, k2) is among the distinct ones of ``pairs``."""
-    other = pairs.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"))
-    return rows.join(other, (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")), "left_semi")
+    """Rows whose (k1, k2) is among the distinct ones of ``pairs``, n telling how many rows have them.
+
+    The pairs are joined salted: a passage may stand in most of the documents.
+    """
+    both = F.struct("k1", "k2").alias("both")
+    counts = pairs.select(both, F.col("n").alias("_rows"))
+    return lookup_join(rows.withColumn("both", both), counts.select("both"), "both", small=False, counts=counts)
 
 
 def _spans_batch(held: list, length: int):
@@ -208,27 +216,40 @@ def repeated_starts(texts: list, length: int) -> list:
 def suffix_order(data: np.ndarray, depth: int) -> np.ndarray:
     """Starts sorted by what follows, at least to ``depth`` bytes, by doubling."""
     n = len(data)
-    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)]).astype(np.uint64)
-    key = np.zeros(n, dtype=np.uint64)
-    for i in range(7):
-        key = (key << np.uint64(8)) | padded[i:n + i]
-    key <<= np.uint64(3)
-    key |= np.minimum(np.arange(n, 0, -1), 7).astype(np.uint64)  # an end comes before a zero byte
+    key = _first_bytes(data)
     width = 7
     while True:
         order = np.argsort(key)
         ordered = key[order]
+        del key
+        order = order.astype(np.int32)
         new = np.concatenate([[False], ordered[1:] != ordered[:-1]])
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = np.cumsum(new)
-        if width >= depth + 1 or rank.max() == n - 1:
+        del ordered
+        rank = np.empty(n, dtype=np.int32)
+        rank[order] = np.cumsum(new, dtype=np.int32)
+        if width >= depth + 1 or rank[order[-1]] == n - 1:
             return order
-        after = np.zeros(n, dtype=np.int64)
-        after[:n - width] = rank[width:] + 1
-        key = rank.astype(np.uint64) * np.uint64(n + 1) + after.astype(np.uint64)
+        del order, new
+        key = rank.astype(np.uint64) * np.uint64(n + 1)
+        key[:n - width] += rank[width:].astype(np.uint64) + np.uint64(1)
         width *= 2
 
 
+def _first_bytes(data: np.ndarray) -> np.ndarray:
+    """Numbers that are in the order of the first seven bytes from each place."""
+    n = len(data)
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    key = np.zeros(n, dtype=np.uint64)
+    for i in range(7):
+        key <<= np.uint64(8)
+        key |= padded[i:n + i]
+    key <<= np.uint64(3)
+    key |= np.uint64(7)
+    ends = np.arange(min(n, 7), 0, -1, dtype=np.uint64)  # an end comes before a zero byte
+    key[n - len(ends):] = key[n - len(ends):] & ~np.uint64(7) | ends
+    return key
+
+
 def long_prefixes(data: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
     """Whether the suffixes on both sides of each border share ``length`` bytes.
 
@@ -238,27 +259,28 @@ def long_prefixes(data: np.ndarray, order: np.ndarray, length: int) -> np.ndarra
     byte before it leads to the last row of the longer string's interval.
     """
     n = len(order)
-    before = data[order - 1].astype(np.int16)  # the transform; the text is a ring
-    by_byte = np.argsort(before, kind="stable")
-    follow = np.empty(n, dtype=np.int64)  # the row of the suffix that is one byte longer
-    follow[by_byte] = np.arange(n)
+    before = data[order - 1]  # the transform; the text is a ring
+    by_byte = np.argsort(before, kind="stable").astype(np.int32)
+    follow = np.empty(n, dtype=np.int32)  # the row of the suffix that is one byte longer
+    follow[by_byte] = np.arange(n, dtype=np.int32)
     # The next row with the same byte before it; n if there is none.
-    following = np.full(n, n, dtype=np.int64)
     same = before[by_byte[1:]] == before[by_byte[:-1]]
+    following = np.full(n, n, dtype=np.int32)
     following[by_byte[:-1][same]] = by_byte[1:][same]
-    previous = np.full(n, -1, dtype=np.int64)
+    previous = np.full(n, -1, dtype=np.int32)
     previous[by_byte[1:][same]] = by_byte[:-1][same]
+    del before, by_byte, same
     met = np.zeros(n + 1, dtype=bool)
     met[0] = met[n] = True
-    low, high = np.array([0]), np.array([n])
+    low, high = np.array([0], dtype=np.int32), np.array([n], dtype=np.int32)
     for _ in range(length):
         sizes = high - low
-        at = np.cumsum(sizes)
-        rows = np.arange(at[-1]) + np.repeat(low - at + sizes, sizes)
+        at = np.cumsum(sizes, dtype=np.int32)
+        rows = np.arange(at[-1], dtype=np.int32) + np.repeat(low - at + sizes, sizes)
         # Intervals of one level are disjoint, so both kinds of ends pair up in order.
         first = rows[previous[rows] < np.repeat(low, sizes)]
         last = rows[following[rows] >= np.repeat(high, sizes)]
-        low, high = np.sort(follow[first]), np.sort(follow[last]) + 1
+        low, high = np.sort(follow[first]), np.sort(follow[last]) + np.int32(1)
         fresh = ~met[high]
         low, high = low[fresh], high[fresh]
         met[high] = True

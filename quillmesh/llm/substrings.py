@@ -294,7 +294,15 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     """(doc_id, n_bytes, n_removed, n_spans, kept) per document; kept is what is left, as bytes."""
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("uid"))
     spans = repeated_spans(rows.select("uid", "text"), length, gram, many)
-    spans = keep(spans.groupBy("uid").agg(F.collect_set(F.struct("low", "high")).alias("spans")), "spans")
+    spans = spans.groupBy("uid").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
+
+    def merge(batches):
+        for batch in batches:
+            runs = [[{"low": a, "high": b} for a, b in _merged(x.values)] for x in batch.column("spans")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("uid"), pa.array(runs, batch.schema.field("spans").type)], names=["uid", "spans"])
+
+    spans = keep(spans.mapInArrow(merge, spans.schema), "spans")
     marked = lookup_join(rows, spans, "uid", "left").select("doc_id", "text", "spans")
     schema = docs.select("doc_id", F.lit(0).cast("bigint").alias("n_bytes"),
                          F.lit(0).cast("bigint").alias("n_removed"),
@@ -305,7 +313,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
             counts, kept = [], []
             for text, spans in zip(batch.column("text"), batch.column("spans")):
                 raw = (text.as_py() or "").encode()
-                runs = _merged(spans.values) if spans.is_valid else []
+                runs = [(x["low"], x["high"]) for x in spans.as_py() or []]
                 ends = [0, *(x for run in runs for x in run), len(raw)]
                 kept.append(b"".join(raw[a:b] for a, b in zip(ends[::2], ends[1::2])))
                 counts.append((len(raw), len(raw) - len(kept[-1]), len(runs)))

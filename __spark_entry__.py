@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -24,7 +25,9 @@ from quillmesh.operators import pairs as pair_ops  # noqa: E402
 from quillmesh.operators import text as text_ops  # noqa: E402
 from quillmesh.operators.skew import spread  # noqa: E402
 from quillmesh.plans import graph, metric, text  # noqa: E402
-from quillmesh.sources.keyed_table import compact, scan_rows  # noqa: E402
+from quillmesh.sources import text as files  # noqa: E402
+from quillmesh.sources.delimited import create_delimited_table, load_delimited  # noqa: E402
+from quillmesh.sources.keyed_table import compact, export_rows, scan_rows  # noqa: E402
 from quillmesh.sources.matrices import model_frame  # noqa: E402
 from quillmesh.sources.scratch import scratch_path  # noqa: E402
 
@@ -131,6 +134,16 @@ def sorted_index_lines(spark, sf_dir):
     )
 
 
+def sorted_lines_written(spark, sf_dir):
+    """The lines of the text index in files, read back with their places in the order."""
+    path = scratch_path(spark, "sorted-lines")
+    lines = text.index_lines(_index(spark, sf_dir))
+    text.write_sorted_index(lines.select(F.concat("key", F.lit("\t"), "value").alias("value")), path)
+    return files.read_ordered(spark, path).select(
+        "position", F.substring_index("value", "\t", 1).alias("term"),
+        leading_number(F.col("value")).alias("avg_count"))
+
+
 def index_by_frequency(spark, sf_dir):
     averages = text.term_averages(documents(spark, sf_dir))
     return text.index_by_frequency(averages).select("term", "avg_count")
@@ -153,6 +166,52 @@ def averages_after_update(spark, sf_dir):
     return scan_rows(spark, path).withColumnRenamed("word", "term")
 
 
+def exported_averages(spark, sf_dir):
+    """The table of averages written as text, loaded into an SQL table and selected from."""
+    path = scratch_path(spark, "averages")
+    text.store_averages(documents(spark, sf_dir), path)
+    out = scratch_path(spark, "export")
+    export_rows(spark, path, out)
+    table = "exported_" + uuid.uuid4().hex
+    create_delimited_table(spark, table, "word STRING, count DOUBLE")
+    load_delimited(spark, table, out)
+    return spark.sql(f"SELECT word AS term, count AS avg_count FROM {table} WHERE count > {THRESHOLD}")
+
+
+def edges_from_lines(spark, sf_dir):
+    """Edges written one to a line, read back and made adjacency lists."""
+    path = scratch_path(spark, "edges")
+    files.write_values(edges(spark, sf_dir), path, F.concat_ws(" ", "src", "dst"))
+    ends = files.read_edges(spark, path).select(*(F.col(c).cast("bigint").alias(c) for c in ("src", "dst")))
+    lists = graph.adjacency(ends, "undirected", size=BLOCK)
+    return lists.withColumn("neighbours", F.array_join("neighbours", " "))
+
+
+def documents_from_lines(spark, sf_dir):
+    """Words counted off text lines, and the list of documents read back as lines."""
+    path = scratch_path(spark, "lines")
+    files.write_values(documents(spark, sf_dir), path, F.col("text"))
+    return text.word_count(files.read_lines(spark, path), "value")
+
+
+def authors_from_list(spark, sf_dir):
+    """Documents of each author off a written list of names."""
+    path = scratch_path(spark, "list")
+    files.write_values(_named(document_list(spark, sf_dir)), path, F.col("doc"))
+    return text_ops.author_documents(files.read_document_list(spark, path))
+
+
+def pairs_from_lines(spark, sf_dir):
+    """The success of samples off pairs and labels written as text and read back."""
+    table, marks = scratch_path(spark, "pair-lines"), scratch_path(spark, "label-lines")
+    numbers = F.array_join(F.col("x").cast("array<string>"), " ")
+    files.write_key_values(pairs(spark, sf_dir), table, F.concat_ws(",", "i", "j"), numbers)
+    files.write_key_values(labels(spark, sf_dir), marks, F.col("id"), F.col("label"))
+    found = metric.pair_success(
+        files.read_pairs(spark, table), files.read_labels(spark, marks), np.eye(DIMENSIONS))
+    return found.select(F.col("i").cast("bigint").alias("i"), _round("p"))
+
+
 def top_average_terms(spark, sf_dir):
     averages = text.term_averages(documents(spark, sf_dir))
     return text_ops.top_averages(averages, 100).select("term", "avg_count")
@@ -256,6 +315,15 @@ def nca_one_epoch(spark, sf_dir):
     return model.select("r", "c", F.round("v", DIGITS).alias("a"))
 
 
+def nca_three_epochs(spark, sf_dir):
+    """A fit broken off after one epoch and gone on with from what is stored."""
+    path = scratch_path(spark, "model")
+    for epochs in (1, 3):
+        fitted = metric.nca_fit_stored(
+            samples(spark, sf_dir), labels(spark, sf_dir), LR, epochs, path)
+    return fitted.select("epoch", "r", "c", F.round("v", DIGITS).alias("a"), _round("f"))
+
+
 def knn_predict(spark, sf_dir):
     return metric.knn_predict(samples(spark, sf_dir), labels(spark, sf_dir), k=5)
 
@@ -284,16 +352,21 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "inverted_index": inverted_index,
         "postings_roundtrip": postings_roundtrip,
         "sorted_index_lines": sorted_index_lines,
+        "sorted_lines_written": sorted_lines_written,
         "index_by_frequency": index_by_frequency,
         "frequent_terms": frequent_terms,
         "averages_after_update": averages_after_update,
+        "exported_averages": exported_averages,
         "top_average_terms": top_average_terms,
         "author_documents": author_documents,
         "authors_from_names": authors_from_names,
+        "authors_from_list": authors_from_list,
+        "documents_from_lines": documents_from_lines,
         "tf_idf": tf_idf,
         "tf_idf_from_lines": tf_idf_from_lines,
         "adjacency_any": _adjacency("undirected"),
         "adjacency_reciprocal": _adjacency("directed"),
+        "edges_from_lines": edges_from_lines,
         "degrees": degrees,
         "triangles_any": _triangles("undirected"),
         "triangles_reciprocal": _triangles("directed"),
@@ -302,10 +375,12 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pair_success": pair_success,
         "pair_gradient": pair_gradient,
         "pair_combine": pair_combine,
+        "pairs_from_lines": pairs_from_lines,
         "sample_success": sample_success,
         "expected_correct": expected_correct,
         "nca_gradient": nca_gradient,
         "nca_one_epoch": nca_one_epoch,
+        "nca_three_epochs": nca_three_epochs,
         "knn_predict": knn_predict,
         "knn_queries": knn_queries,
     }
@@ -416,6 +491,57 @@ gradient AS (
 """
 
 
+def _epochs(last: int) -> str:
+    """m0, m1, ...: A by epoch, and f0, f1, ...: the expected success there, all pairs counted."""
+    parts = [f"""{_SAMPLES}, entries AS (
+      SELECT id, unnest(x) AS v, CAST(unnest(range(len(x))) AS INTEGER) AS r FROM samples),
+    m0 AS (
+      SELECT a.r, b.r AS c, CASE WHEN a.r = b.r THEN 1.0::DOUBLE ELSE 0.0 END AS a
+      FROM (SELECT DISTINCT r FROM entries) a CROSS JOIN (SELECT DISTINCT r FROM entries) b)"""]
+    for e in range(last + 1):
+        parts.append(f"""
+    moved{e} AS MATERIALIZED (
+      SELECT id, list(y ORDER BY r) AS x
+      FROM (SELECT entries.id, m.r, sum(m.a * entries.v) AS y
+            FROM m{e} m JOIN entries ON entries.r = m.c GROUP BY entries.id, m.r)
+      GROUP BY id),
+    kernels{e} AS MATERIALIZED (
+      SELECT a.id AS i, b.id AS j, s.label = t.label AS same, {_KERNEL}
+      FROM moved{e} a CROSS JOIN moved{e} b JOIN samples s ON s.id = a.id JOIN samples t ON t.id = b.id),
+    success{e} AS MATERIALIZED (
+      SELECT i, sum(k) AS z, sum(CASE WHEN same THEN k ELSE 0 END) / sum(k) AS p
+      FROM kernels{e} GROUP BY i),
+    f{e} AS (SELECT sum(p) AS f FROM success{e})""")
+        if e < last:
+            parts.append(f"""
+    weights{e} AS MATERIALIZED (
+      SELECT i, j, k * (p - CAST(same AS INTEGER)) / z AS w FROM kernels{e} JOIN success{e} USING (i)),
+    columns{e} AS (SELECT j, sum(w) AS c FROM weights{e} GROUP BY j),
+    means{e} AS (
+      SELECT i, r, sum(w * v) AS y
+      FROM weights{e} w JOIN entries ON entries.id = w.j GROUP BY i, r),
+    squares{e} AS (
+      SELECT a.r AS r, b.r AS c, sum(w.c * a.v * b.v) AS v
+      FROM columns{e} w JOIN entries a ON a.id = w.j JOIN entries b ON b.id = w.j GROUP BY a.r, b.r),
+    crosses{e} AS MATERIALIZED (
+      SELECT entries.r AS r, m.r AS c, sum(entries.v * m.y) AS v
+      FROM entries JOIN means{e} m ON entries.id = m.i GROUP BY entries.r, m.r),
+    gradient{e} AS (
+      SELECT s.r, s.c, s.v - a.v - b.v AS g
+      FROM squares{e} s JOIN crosses{e} a ON a.r = s.r AND a.c = s.c
+                        JOIN crosses{e} b ON b.r = s.c AND b.c = s.r),
+    m{e + 1} AS MATERIALIZED (
+      SELECT m.r, m.c, m.a + {LR} * step.g AS a
+      FROM m{e} m JOIN (
+        SELECT a.r, g.c, sum(a.a * g.g) AS g
+        FROM m{e} a JOIN gradient{e} g ON g.r = a.c GROUP BY a.r, g.c) step
+      ON step.r = m.r AND step.c = m.c)""")
+    rows = " UNION ALL ".join(
+        f"SELECT CAST({e} AS INTEGER) AS epoch, r, c, {_rounded('a')} AS a, {_rounded('f')} AS f "
+        f"FROM m{e} CROSS JOIN f{e}" for e in range(last + 1))
+    return f"WITH {','.join(parts)} {rows}"
+
+
 def _rounded(expression: str) -> str:
     return f"round({expression}, {DIGITS}) + 0.0"
 
@@ -451,9 +577,22 @@ def _own_sql() -> dict[str, str]:
               FROM counts)
             SELECT term, avg_count, string_agg(doc || ': ' || n || '; ', '' ORDER BY doc) AS postings
             FROM ranked JOIN averages USING (term) GROUP BY term, block, avg_count""",
+        "sorted_lines_written": f"""
+            WITH {_TERMS}, ranked AS (
+              SELECT term, doc, n,
+                     (row_number() OVER (PARTITION BY term ORDER BY doc) - 1) // {BLOCK} AS block
+              FROM counts),
+            lines AS (
+              SELECT term, avg_count, string_agg(doc || ': ' || n || '; ', '' ORDER BY doc) AS postings
+              FROM ranked JOIN averages USING (term) GROUP BY term, block, avg_count)
+            SELECT row_number() OVER (ORDER BY avg_count, term || chr(9), postings) AS position,
+                   term, avg_count
+            FROM lines""",
         "index_by_frequency": f"WITH {_TERMS} SELECT term, avg_count FROM averages",
         "frequent_terms": f"""
             WITH {_TERMS} SELECT term, avg_count FROM averages WHERE avg_count > {THRESHOLD}""",
+        "exported_averages": f"""
+            WITH {_TERMS} SELECT term, avg_count FROM averages WHERE avg_count > {THRESHOLD}""",
         "averages_after_update": f"""
             WITH {_TERMS}, halves AS (
               SELECT term, CAST(doc AS BIGINT) % 2 AS rest, CAST(sum(n) AS DOUBLE) / count(*) AS avg_count
@@ -465,6 +604,11 @@ def _own_sql() -> dict[str, str]:
         "author_documents": """
             SELECT source AS author, count(*) AS n_docs FROM documents GROUP BY source""",
         "authors_from_names": f"SELECT {_AUTHOR} AS author, count(*) AS n_docs FROM documents GROUP BY 1",
+        "authors_from_list": f"SELECT {_AUTHOR} AS author, count(*) AS n_docs FROM documents GROUP BY 1",
+        "documents_from_lines": r"""
+            SELECT word, count(*) AS n
+            FROM (SELECT unnest(regexp_split_to_array(text, '[ \t\n\r\f]+')) AS word FROM documents)
+            WHERE word <> '' GROUP BY word""",
         "tf_idf_from_lines": f"""
             WITH {_TERMS}, authors AS (
               SELECT {_AUTHOR} AS author, count(*) AS n_docs FROM documents GROUP BY 1),
@@ -483,6 +627,7 @@ def _own_sql() -> dict[str, str]:
             SELECT author, term, tf, df, {_rounded('tf * ln(authors.n_docs / (df + 1.0))')} AS tf_idf
             FROM author_terms JOIN authors USING (author)""",
         "adjacency_any": f"WITH {_EDGES_ANY} {_ADJACENCY}",
+        "edges_from_lines": f"WITH {_EDGES_ANY} {_ADJACENCY}",
         "adjacency_reciprocal": f"WITH {_EDGES_RECIPROCAL} {_ADJACENCY}",
         "degrees": f"""
             WITH {_EDGES_ANY}, {_BOTH}
@@ -493,6 +638,7 @@ def _own_sql() -> dict[str, str]:
         "pair_probabilities": f"""
             WITH {_NEAR}, {_SUCCESS}
             SELECT i, j, {_rounded('k / z')} AS p FROM kernels JOIN success USING (i)""",
+        "pairs_from_lines": f"WITH {_NEAR}, {_SUCCESS} SELECT i, {_rounded('p')} AS p FROM success",
         "pair_success": f"WITH {_NEAR}, {_SUCCESS} SELECT i, {_rounded('p')} AS p FROM success",
         "pair_gradient": f"""
             WITH {_NEAR}, {_GRADIENT} SELECT r, c, {_rounded('g')} AS g FROM gradient""",
@@ -510,6 +656,7 @@ def _own_sql() -> dict[str, str]:
             WITH {_ALL}, {_GRADIENT}
             SELECT r, c, {_rounded(f'CASE WHEN r = c THEN 1.0 ELSE 0.0 END + {LR} * g')} AS a
             FROM gradient""",
+        "nca_three_epochs": _epochs(3),
         "knn_predict": f"""
             WITH {_SAMPLES}, ranked AS (
               SELECT a.id, b.label, row_number() OVER (

@@ -5,6 +5,7 @@ The table is taken as it comes: a pair that is not in it counts nowhere.
 
 from __future__ import annotations
 
+import math
 import sys
 
 import numpy as np
@@ -15,20 +16,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import divide_or_zero, subtract
-from .skew import is_small, lookup_join
+from .skew import dealt_in_grid, is_small, lookup_join
 
 # The numpy helpers travel with the tasks, so executors need no installed copy.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+PACKED = "matrix BINARY"
+
 
 def combine(left: DataFrame, right: DataFrame, keys, value: Column,
             name: str = "v", keep: tuple = ()) -> DataFrame:
     """Inner join of two keyed data sets, then one expression over both sides.
 
     The expression names its operands ``left.<column>`` and ``right.<column>``.
+    Keys may repeat on both sides; those with many rows are dealt in a grid.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    joined = left.alias("left").join(right.alias("right"), keys)
+    left, right, cell = dealt_in_grid(left, right, keys)
+    joined = left.alias("left").join(right.alias("right"), [*keys, *cell])
     return joined.select(*keys, *keep, value.alias(name))
 
 
@@ -127,11 +132,9 @@ def labelled_gradient(pairs: DataFrame, counts: DataFrame, small: bool, matrix)
             x = vectors_of(batch.column("x"), a.value.shape[1])
             w = batch.column("w").to_numpy(zero_copy_only=False)
             total += x.T @ (x * w[:, None])
-        yield matrix_batch(a.value @ total)
+        yield packed_batch(a.value @ total)
 
-    return weighted.mapInArrow(fold, "r INT, c INT, v DOUBLE").groupBy("r", "c").agg(
-        F.sum("v").alias("v")
-    )
+    return summed_matrices(weighted.mapInArrow(fold, PACKED), a.value.shape)
 
 
 def _shipped(df: DataFrame, matrix):
@@ -149,6 +152,34 @@ def vectors_of(column, d: int) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).reshape(len(column), d)
 
 
+def packed_batch(matrix: np.ndarray):
+    """A matrix as one row, all its numbers in one binary."""
+    return pa.RecordBatch.from_arrays([pa.array([matrix.tobytes()], pa.binary())], names=["matrix"])
+
+
+def summed_matrices(parts: DataFrame, shape: tuple) -> DataFrame:
+    """(r, c, v) of the sum of the packed matrices, one row per task of ``parts``.
+
+    Added up in two levels, so no task reads the matrices of all others.
+    """
+    def total(batches):
+        held = np.zeros(shape)
+        for batch in batches:
+            for packed in batch.column("matrix"):
+                held += np.frombuffer(packed.as_buffer(), dtype=float).reshape(shape)
+        return held
+
+    def add(batches):
+        yield packed_batch(total(batches))
+
+    def unpack(batches):
+        yield matrix_batch(total(batches))
+
+    groups = math.ceil(math.sqrt(int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    return parts.repartition(groups).mapInArrow(add, PACKED).repartition(1).mapInArrow(
+        unpack, "r INT, c INT, v DOUBLE")
+
+
 def matrix_batch(matrix: np.ndarray):
     r, c = np.indices(matrix.shape)
     return pa.RecordBatch.from_arrays(

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import divide_or_zero
 from .balls import KERNEL_REACH, Balls, balls_of, groups_of, meeting_groups, widest
-from .pairs import matrix_batch
+from .pairs import PACKED, packed_batch, summed_matrices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -211,10 +211,10 @@ def gradient(samples: DataFrame, successes: DataFrame, matrix, blocks: int,
             total += x.T @ (x * v.sum(axis=1)[:, None])
             total += y.T @ (y * v.sum(axis=0)[:, None])
             total -= cross + cross.T
-        yield matrix_batch(a.value @ total)
+        yield packed_batch(a.value @ total)
 
-    parts = _cells_of(scored, blocks, balls).mapInArrow(fold, "r INT, c INT, v DOUBLE")
-    return parts.groupBy("r", "c").agg(F.sum("v").alias("v"))
+    parts = _cells_of(scored, blocks, balls).mapInArrow(fold, PACKED)
+    return summed_matrices(parts, a.value.shape)
 
 
 def nearest(samples: DataFrame, matrix, blocks: int, k: int, digits: int = 9) -> DataFrame:

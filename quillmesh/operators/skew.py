@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,6 +63,40 @@ def salted_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner"
     return dealt.join(copied, [key, "_salt"], how).drop("_salt")
 
 
+def dealt_in_grid(left: DataFrame, right: DataFrame, keys: list) -> tuple[DataFrame, DataFrame, list]:
+    """Both sides of an inner join and the further columns to join them on; keys may repeat on both.
+
+    The left rows of a key that is hot on both sides are dealt over the rows of
+    a square grid of as many cells as a shuffle has tasks, its right rows over
+    the columns, and each goes to all cells of its row or column. A key that is
+    hot on one side only has a single row or column.
+    """
+    conf = left.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    salts = max(MIN_SALTS, int(conf))
+    side = math.ceil(math.sqrt(salts))
+    hot = []
+    for rows, mark in ((left, "_left"), (right, "_right")):
+        counts = rows.select(F.struct(*keys).alias("_key")).groupBy("_key").agg(F.count("*").alias("_n"))
+        hot.append(hot_keys(counts, "_key", "_n").withColumn(mark, F.lit(True)))
+    both = hot[0].join(hot[1], "_key", "full")
+
+    def parts(mark, other):
+        return F.when(F.col(mark).isNull(), 1).when(F.col(other).isNull(), salts).otherwise(side)
+
+    grid = F.broadcast(both.select("_key", parts("_left", "_right").alias("_rows"),
+                                   parts("_right", "_left").alias("_columns")))
+
+    def dealt(rows, own, other, row, column):
+        marked = rows.withColumn("_key", F.struct(*keys)).join(grid, "_key", "left").drop("_key")
+        own, other = (F.coalesce(F.col(c), F.lit(1)) for c in (own, other))
+        salt = F.pmod(F.xxhash64(*rows.columns), own).cast("int")
+        return marked.withColumn(row, salt).withColumn(
+            column, F.explode(F.sequence(F.lit(0), other - 1))).drop("_rows", "_columns")
+
+    return (dealt(left, "_rows", "_columns", "_row", "_column"),
+            dealt(right, "_columns", "_rows", "_column", "_row"), ["_row", "_column"])
+
+
 def is_small(lookup: DataFrame) -> bool:
     """Whether the rows, counted and weighed, are few enough to broadcast.
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import pairs as pair_ops
 from ..operators import samples as sample_ops
 from ..operators.skew import is_small
+from ..sources.matrices import holds_model, last_epoch, load_model, save_epoch
 from ..sources.scratch import keep
 
 
@@ -56,6 +57,43 @@ def nca_fit(samples: DataFrame, labels: DataFrame, lr: float, epochs: int,
         rows.unpersist()
 
 
+def nca_fit_stored(samples: DataFrame, labels: DataFrame, lr: float, epochs: int, path: str,
+                   matrix=None) -> DataFrame:
+    """(epoch, r, c, v, f) of epochs 0 to ``epochs``, kept at ``path``; f is the expected success at A.
+
+    Every epoch is stored before the next one starts. A fit that was broken off,
+    or is wanted longer, goes on from the last epoch that is stored.
+    """
+    spark = samples.sparkSession
+    rows, n, d = sample_ops.labelled_samples(samples, labels)
+    blocks = sample_ops.block_count(rows, n, d)
+
+    def successes_at(a):
+        balls = sample_ops.kernel_balls(rows, a, blocks)
+        found = keep(sample_ops.success(sample_ops.kernel_sums(rows, a, blocks, balls)), "success")
+        return found, balls, expected_correct(found).first().f
+
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if holds_model(spark, path):
+            epoch = last_epoch(spark, path)
+            a = load_model(spark, path, epoch)
+        else:
+            epoch, a = 0, _start(matrix, d)
+            save_epoch(spark, 0, a, path, success=successes_at(a)[2])
+        found = None
+        while epoch < epochs:
+            if found is None:
+                found, balls, _ = successes_at(a)
+            step = _collected(sample_ops.gradient(rows, found, a, blocks, balls), a.shape)
+            epoch, a = epoch + 1, a + lr * step
+            found, balls, f = successes_at(a)
+            save_epoch(spark, epoch, a, path, success=f)
+    finally:
+        rows.unpersist()
+    return spark.read.parquet(path).where(F.col("epoch") <= epochs)
+
+
 def pair_success(pairs: DataFrame, labels: DataFrame, matrix) -> DataFrame:
     """(i, p) over the given pairs."""
     kernels = pair_ops.pair_kernels(pair_ops.with_pair_labels(pairs, labels), matrix).drop("x")
@@ -130,9 +168,7 @@ def _ascend(gradient: Callable[[np.ndarray], DataFrame], a: np.ndarray, lr: floa
             epochs: int, tol: float | None, each) -> list:
     history = [a]
     for _ in range(epochs):
-        step = np.zeros_like(a)
-        for row in gradient(a).collect():
-            step[row.r, row.c] = lr * row.v
+        step = lr * _collected(gradient(a), a.shape)
         a = a + step
         history.append(a)
         if each is not None:
@@ -140,3 +176,10 @@ def _ascend(gradient: Callable[[np.ndarray], DataFrame], a: np.ndarray, lr: floa
         if tol is not None and np.abs(step).max() < tol:
             break
     return history
+
+
+def _collected(entries: DataFrame, shape: tuple) -> np.ndarray:
+    matrix = np.zeros(shape)
+    for row in entries.collect():
+        matrix[row.r, row.c] = row.v
+    return matrix

@@ -10,7 +10,7 @@ from ..operators import text as ops
 from ..operators.blocks import BLOCK_SIZE, item_splits, list_blocks
 from ..sources.keyed_table import put_rows
 from ..sources.scratch import scratch_path
-from ..sources.text import write_key_values
+from ..sources.text import write_key_values, write_ordered
 
 
 def word_count(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -63,6 +63,11 @@ def sort_index_lines(lines: DataFrame) -> DataFrame:
     return lines.orderBy(leading_number(F.col("value")), "value")
 
 
+def write_sorted_index(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """The lines as ``sort_index_lines`` orders them, so that files by name and line keep the order."""
+    write_ordered(lines, path, F.col("value"), leading_number(F.col("value")), F.col("value"), mode=mode)
+
+
 def tf_idf(docs: DataFrame, documents: DataFrame) -> DataFrame:
     """(author, term, tf, df, tf_idf); ``documents`` lists what authors wrote.
 

@@ -32,9 +32,15 @@ def save_model(spark: SparkSession, history: list, path: str, mode: str = "overw
     model_frame(spark, history).write.mode(mode).parquet(path)
 
 
-def save_epoch(spark: SparkSession, epoch: int, matrix, path: str, mode: str = "append") -> None:
-    """Add the matrix of one epoch to a model, in one file: all of it or nothing."""
+def save_epoch(spark: SparkSession, epoch: int, matrix, path: str, mode: str = "append",
+               success: float | None = None) -> None:
+    """Add the matrix of one epoch to a model, in one file: all of it or nothing.
+
+    ``success``, if given, goes along as column f.
+    """
     rows = model_frame(spark, [matrix]).withColumn("epoch", F.lit(epoch))
+    if success is not None:
+        rows = rows.withColumn("f", F.lit(float(success)))
     rows.coalesce(1).write.mode(mode).parquet(path)
 
 
@@ -42,6 +48,12 @@ def last_epoch(spark: SparkSession, path: str) -> int:
     return spark.read.parquet(path).agg(F.max("epoch")).first()[0]
 
 
+def holds_model(spark: SparkSession, path: str) -> bool:
+    """Whether an epoch was saved at the path."""
+    files = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/*.parquet")
+    return bool(files.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(files))
+
+
 def load_model(spark: SparkSession, path: str, epoch: int | None = None) -> np.ndarray:
     """The matrix of one epoch, the last by default; d x d numbers."""
     stored = spark.read.parquet(path)

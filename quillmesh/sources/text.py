@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import document_name
@@ -79,3 +79,27 @@ def write_key_values(df: DataFrame, path: str, key: Column, value: Column,
 def write_values(df: DataFrame, path: str, value: Column, mode: str = "errorifexists") -> None:
     """One bare value per line."""
     df.select(value.cast("string").alias("value")).write.mode(mode).text(path)
+
+
+def write_ordered(df: DataFrame, path: str, value: Column, *order: Column,
+                  mode: str = "errorifexists") -> None:
+    """One bare value per line in the given order: by file name, then by line.
+
+    Rows are dealt by ranges of the order, and files are named by range.
+    """
+    df.orderBy(*order).select(value.cast("string").alias("value")).write.mode(mode).text(path)
+
+
+def read_ordered(spark: SparkSession, path: str) -> DataFrame:
+    """(position, value): the lines of all files of a folder, from 1, by file name and line.
+
+    Lines are counted per file split, so no file is read by one task only.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.struct("_metadata.file_name", "_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("at"))
+    splits = lines.groupBy("split").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    earlier = Window.partitionBy().orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    begun = splits.withColumn("begin", F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first"))
+    return lines.join(begun.select("split", "begin"), "split").select(
+        (F.col("begin") + F.col("at") + 1).alias("position"), "value")

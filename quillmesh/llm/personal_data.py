@@ -1,19 +1,29 @@
 """Personal data by patterns, and by contexts that the found data suggest.
 
 Base patterns find e-mail addresses, IP addresses, card and phone numbers.
-These seed a graph of lexical patterns (the word before, and the shape of the
-token itself) and instances (tokens with a digit or an @): a pattern is as
-good as the share of its instances that are personal data, an instance as
-likely as one of its patterns is right, in turns. Good patterns give the kind
-of instances that no base pattern knows.
+These seed a graph of lexical patterns and instances. An instance is a run of
+neighbouring numbers, or an address whose @ may be spelled in brackets, that
+could be of a kind by its form: a phone number has 7 to 15 digits, a card 14 to
+19 that pass Luhn, an IP address four parts up to 255, whatever parts them. Its
+patterns are the word before it, the two words before it, the word after it and
+its shape, each on its own, so a context that seeds taught meets forms that no
+base pattern knows, and a form found so is looked for in other contexts.
+
+In turns, a pattern is as good as the share of its instances, of every kind and
+of none, that are personal data of one kind, so common words that come before
+all sorts of numbers tell nothing; and an instance as likely as one of its good patterns is right. Neither
+hears its own voice: what a pattern told an instance is left out of what the
+instance tells the pattern. Instances with a good pattern, and likely at last,
+are found.
 
 Only DataFrame functions are used. Positions are code points: the pieces that
 a split leaves and the matches between them add up, per text and kind.
 
 Defined cases: a null text is empty; a text without matches has counts 0 and
 empty spans; very long texts are searched whole, by patterns that never run
-over a word twice; repeated rows are searched each; an empty table gives no
-rows. Columns other than doc_id and text are not looked at.
+over a word twice; repeated rows are searched each, and equal instances in
+equal contexts teach once; an empty table gives no rows. Columns other than
+doc_id and text are not looked at.
 """
 
 from __future__ import annotations
@@ -27,6 +37,7 @@ from ..sources.scratch import keep
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
 GOOD_PATTERN = 0.7
+HEARD_PATTERN = 0.5  # below, a pattern tells its instances nothing
 SEEDS = 3  # instances of a kind that a good pattern has, at least
 LIKELY = 0.7
 
@@ -39,8 +50,19 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-_TOKEN = rf"(?<![^{_BLANK}])[^{_BLANK}0-9@]*+[0-9@][^{_BLANK}]*+"
-_LAST_WORD = rf"([^{_BLANK}]+)[{_BLANK}]+$"
+_IN_BRACKETS = r"[\[({<]\x20?[A-Za-z@.]{1,4}\x20?[\])}>]"
+_JOINT = rf"\x20?{_IN_BRACKETS}\x20?"
+# Runs that may hold an unknown form of a kind: numbers that neighbour each
+# other, and names joined by an @ or by a short word in brackets.
+CANDIDATES = {
+    "number": r"(?<![A-Za-z0-9@._/+-])[+(\[]{0,2}[0-9](?:[\x20()\[\]./_-]{0,3}[0-9])*+",
+    "address": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++"
+               rf"(?:@|{_JOINT})[A-Za-z0-9-]++(?:(?:\.|{_JOINT})[A-Za-z0-9-]++)*+",
+}
+_GUARDS = {"email": "@", "address": rf"@|{_IN_BRACKETS}"}
+_WORDS_BEFORE = rf"(?:([^{_BLANK}]+)[{_BLANK}]+)?([^{_BLANK}]+)[{_BLANK}]*$"
+_WORD_AFTER = rf"^[{_BLANK}]*([^{_BLANK}]+)"
+_NEAR = 64  # characters beside an instance that hold its context
 
 
 def _digits(match: Column) -> Column:
@@ -68,30 +90,34 @@ def _luhn(digits: Column) -> Column:
 
 
 def scanned(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, <kind>, token): arrays of what matched and what came before it.
+    """(row, doc_id, <kind>, <candidate>): arrays of what matched and what came before it.
 
     An entry holds the match, the length of the text since the last one, and
-    for tokens the word before; null where nothing matched. row is unique.
+    for candidates the text close to it on both sides; null where nothing
+    matched. row is unique.
     """
     text = F.col("_text")
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text"))
-    patterns = PATTERNS | {"token": _TOKEN}
-    found = rows.select("doc_id", "_text", *(
-        F.regexp_extract_all("_text", F.lit(pattern), F.lit(0)).alias(kind) if kind != "email" else
-        F.when(F.contains(text, F.lit("@")), F.regexp_extract_all("_text", F.lit(pattern), F.lit(0)))
-        .otherwise(F.array().cast("array<string>")).alias(kind)
-        for kind, pattern in patterns.items()))
-
-    def entries(kind):
-        pieces = F.slice(F.split("_text", patterns[kind], -1), F.lit(1), F.size(kind))
-        before = F.transform(pieces, F.length).alias("before")
-        parts = [F.col(kind).alias("match"), before]
-        if kind == "token":
-            word = F.transform(pieces, lambda p: F.regexp_extract(F.right(p, F.lit(64)), _LAST_WORD, 1))
-            parts.append(word.alias("word"))
-        return F.when(F.size(kind) > 0, F.arrays_zip(*parts)).alias(kind)
-
-    found = found.select("doc_id", *(entries(kind) for kind in patterns))
+    patterns = PATTERNS | CANDIDATES
+
+    def matches(name):
+        found = F.regexp_extract_all("_text", F.lit(patterns[name]), F.lit(0))
+        if name in _GUARDS:
+            found = F.when(text.rlike(_GUARDS[name]), found).otherwise(F.array().cast("array<string>"))
+        return found.alias(name)
+
+    def entries(name):
+        pieces = F.split("_text", patterns[name], -1)
+        lengths = F.transform(F.slice(pieces, F.lit(1), F.size(name)), F.length).alias("before")
+        parts = [F.col(name).alias("match"), lengths]
+        if name in CANDIDATES:
+            left = F.transform(pieces, lambda p: F.right(p, F.lit(_NEAR)))
+            right = F.transform(pieces, lambda p: F.left(p, F.lit(_NEAR)))
+            parts += [F.slice(left, F.lit(1), F.size(name)).alias("left"),
+                      F.slice(right, F.lit(2), F.size(name)).alias("right")]
+        return F.when(F.size(name) > 0, F.arrays_zip(*parts)).alias(name)
+
+    found = rows.select("doc_id", "_text", *map(matches, patterns)).select("doc_id", *map(entries, patterns))
     return keep(found.withColumn("row", F.monotonically_increasing_id()), "matches")
 
 
@@ -117,65 +143,135 @@ def base_spans(scan: DataFrame) -> DataFrame:
     return out
 
 
-def tokens(scan: DataFrame, spans: DataFrame) -> DataFrame:
-    """(row, start, end, instance, pattern, kind): tokens and the kind of what they overlap.
-
-    Tokens take their places among the spans of their text; the furthest end of
-    the spans that begin before a token ends tells whether one overlaps it.
+def _could_be(name: str, match: Column) -> list:
+    """The kinds, as numbers, that a candidate could be by its form alone; null for others."""
+    if name == "address":
+        return [F.lit(KINDS.index("email"))]
+    digits = _digits(match)
+    n = F.length(digits)
+    parts = F.regexp_extract_all(match, F.lit("[0-9]+"), F.lit(0))
+    # Parts that are too long become 999.
+    four = (F.size(parts) == 4) & F.forall(parts, lambda p: F.coalesce(
+        F.try_to_number(F.lpad(F.regexp_replace(p, "^0+", ""), 3, "0"), F.lit("999")), F.lit(999)) <= 255)
+    four = four & F.forall(parts, lambda p: F.length(p) <= 3)
+    dotted = match.rlike(r"^[0-9]+(?:\.[0-9]+){3}$")
+    kinds = {"ip": four, "card": n.between(14, 19) & _luhn(digits), "phone": n.between(7, 15) & ~dotted}
+    return [F.when(fits, F.lit(KINDS.index(kind))) for kind, fits in kinds.items()]
+
+
+def candidates(scan: DataFrame, spans: DataFrame) -> DataFrame:
+    """(row, start, end, could, kind, instance, nodes): candidates and the kind of what they overlap.
+
+    One row per kind that a candidate could be, could is null for none. Candidates take their places
+    among the spans of their text; the furthest end of the spans that begin
+    before the end of a candidate tells whether one overlaps it.
     """
-    strip = r"[\"'(\[<]*(.*?)[\"')\]>.,;:!?]*$"
-    listed = _placed(scan, "token").select(
-        "row", "start", "end", F.regexp_extract("match", strip, 1).alias("instance"),
-        F.concat_ws(" ", F.regexp_replace(F.lower("word"), "[0-9]+", "9"), _shape("match")).alias("pattern"),
-        (F.col("end") - 1).alias("place"))
+    listed = None
+    for name in CANDIDATES:
+        # A number that letters follow is part of a longer name.
+        placed = _placed(scan, name).where(~F.col("right").rlike("^[A-Za-z0-9@]"))
+        could = F.array_compact(F.array(*_could_be(name, F.col("match"))))
+        placed = placed.withColumn("could", could).select(
+            "row", "start", "end", (F.col("end") - 1).alias("place"), "could",
+            F.lower("match").alias("instance"), _nodes(name).alias("nodes"))
+        listed = placed if listed is None else listed.unionByName(placed)
     marks = spans.select("row", F.col("start").alias("place"), F.struct(F.col("end"), F.col("kind")).alias("span"))
     order = Window.partitionBy("row").orderBy("place", F.col("span").isNull())
     furthest = F.max("span").over(order.rowsBetween(Window.unboundedPreceding, 0))
     both = listed.unionByName(marks, allowMissingColumns=True).withColumn("furthest", furthest)
     return both.where("instance IS NOT NULL").select(
-        "row", "start", "end", "instance", "pattern",
-        F.when(F.col("furthest.end") > F.col("start"), F.col("furthest.kind")).alias("kind"))
+        "row", "start", "end", F.explode_outer("could").alias("could"),
+        F.when(F.col("furthest.end") > F.col("start"), F.col("furthest.kind")).alias("kind"),
+        "instance", "nodes")
+
+
+def _nodes(name: str) -> Column:
+    """The patterns of a candidate: words before, word after, shape; none where there is none."""
+    def word(text, pattern, group):
+        bare = F.regexp_replace(F.lower(F.regexp_extract(text, pattern, group)), r"[^\p{L}\p{N}]+", "")
+        return F.regexp_replace(bare, "[0-9]+", "9")
+
+    last = word("left", _WORDS_BEFORE, 2)
+    nodes = {"before": last, "two": F.concat_ws(" ", F.nullif(word("left", _WORDS_BEFORE, 1), F.lit("")), last),
+             "after": word("right", _WORD_AFTER, 1), "shape": _shape(name)}
+    return F.array_compact(F.array(*(
+        F.when((node != "") if part != "two" else F.contains(node, F.lit(" ")),
+               F.concat(F.lit(f"{part} "), node)) for part, node in nodes.items())))
+
 
+def _shape(name: str) -> Column:
+    """Digits as 9, up to 32 characters; what joins an address from its first name on."""
+    if name == "number":
+        return F.left(F.regexp_replace("match", "[0-9]", "9"), F.lit(32))
+    host = F.regexp_replace(F.lower("match"), r"^[a-z0-9._%+-]+", "")
+    joints = F.regexp_extract_all(host, F.lit(rf"[@.]|{_IN_BRACKETS}"), F.lit(0))
+    return F.array_join(F.array_distinct(joints), " ")
 
-def _shape(token: str) -> Column:
-    """Letters as one a per run, every digit as 9, up to 32 characters."""
-    letters = F.regexp_replace(token, r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", "a")
-    return F.left(F.regexp_replace(letters, "[0-9]", "9"), F.lit(32))
 
+def _of_kind(name: str) -> Column:
+    return F.concat_ws(" ", F.col("could").cast("string"), F.col(name))
 
-def good_patterns(found: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
-    """(pattern, kind) that are good, and (instance, kind) that are likely.
+
+def pattern_graph(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, instance, seed, other), and (pattern, all): the instances of each pattern.
+
+    A node is a pattern of one kind, and an instance there of that kind; seed
+    marks those that overlap a base span of the kind, other those of another.
+    """
+    each = keep(found.select(F.explode("nodes").alias("pattern"), "could", "kind", "instance").groupBy(
+        "pattern", "instance", "could").agg(
+            F.max(F.coalesce(F.col("kind") == F.col("could"), F.lit(False))).alias("seed"),
+            F.max(F.coalesce(F.col("kind") != F.col("could"), F.lit(False))).alias("other")), "edges")
+    sizes = each.groupBy("pattern", "instance").agg(F.lit(1)).groupBy("pattern").agg(F.count("*").alias("all"))
+    edges = each.where("could IS NOT NULL").select(
+        _of_kind("pattern").alias("node"), _of_kind("instance").alias("instance"), "seed", "other")
+    return edges, keep(sizes, "sizes")
+
+
+def weighed(edges: DataFrame, sizes: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """(node, score) of the patterns that are heard, (instance, belief) of instances.
 
     Every round weighs patterns by their instances and instances by their
-    patterns, one sum per kind, and is written out.
+    patterns, and is written out.
+    """
+    scores = edges.select("node", F.lit(0.0).alias("score")).limit(0)
+    for turn in range(rounds + 1):
+        told = lookup_join(edges, scores, "node", "left").withColumn(
+            "miss", F.log1p(-F.coalesce("score", F.lit(0.0)))).drop("score")
+        told = keep(told, "told")
+        totals = keep(told.groupBy("instance").agg(
+            F.sum("miss").alias("all_miss"), F.max("seed").alias("_seed"), F.max("other").alias("_other")), "totals")
+
+        def belief(miss):
+            return F.when(F.col("_seed"), 1.0).when(F.col("_other"), 0.0).otherwise(1 - F.exp(miss))
+
+        if turn == rounds:
+            return scores, totals.select("instance", F.round(belief(F.col("all_miss")), 9).alias("belief"))
+        back = lookup_join(told.select("node", "instance", "miss"), totals, "instance")
+        own = back.groupBy("node").agg(F.sum(belief(F.col("all_miss") - F.col("miss"))).alias("n"))
+        # At most a row per kind and pattern on either side.
+        own = own.withColumn("pattern", F.expr("substring(node, 3)"))
+        own = own.join(sizes, "pattern")
+        scores = keep(own.select("node", F.round(F.least(F.col("n") / (F.col("all") + 0.5), F.lit(1 - 1e-6)), 9).alias("score")).where(
+            (F.col("n") >= SEEDS - 1e-9) & (F.col("score") >= HEARD_PATTERN)), "scores")
+
+
+def discovered(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """(row, kind, start, end): likely candidates, with a good pattern, off every base span.
+
+    Of several kinds the likeliest counts, the first of equals.
     """
-    ids = range(len(KINDS))
-    edges = keep(found.groupBy("pattern", "instance").agg(
-        *(F.max((F.col("kind") == k).cast("int")).alias(f"seed{k}") for k in ids)).na.fill(0), "edges")
-    seeds = edges.groupBy("instance").agg(*(F.max(f"seed{k}").cast("double").alias(f"c{k}") for k in ids))
-    belief = keep(seeds, "belief")
-    for _ in range(rounds):
-        lit = lookup_join(edges.select("pattern", "instance"), belief, "instance")
-        scores = keep(lit.groupBy("pattern").agg(
-            *(F.sum(f"c{k}").alias(f"n{k}") for k in ids), F.count("*").alias("all")
-        ).select("pattern", *(F.when(F.col(f"n{k}") >= SEEDS, F.col(f"n{k}") / (F.col("all") + 0.5))
-                              .otherwise(0.0).alias(f"s{k}") for k in ids)), "scores")
-        back = lookup_join(edges.select("pattern", "instance"), scores, "pattern")
-        miss = back.groupBy("instance").agg(
-            *((1 - F.exp(F.sum(F.log1p(-F.col(f"s{k}"))))).alias(f"m{k}") for k in ids))
-        known = seeds.join(miss, "instance")
-        belief = keep(known.select("instance", *(F.greatest(f"c{k}", f"m{k}").alias(f"c{k}") for k in ids)),
-                      "belief")
-    good = scores.select("pattern", _best("s").alias("best")).where(f"best.p >= {GOOD_PATTERN}")
-    likely = belief.select("instance", _best("c").alias("best")).where(f"best.p >= {LIKELY}")
-    return good.select("pattern", "best.kind"), likely.select("instance", "best.kind")
-
-
-def _best(prefix: str) -> Column:
-    """The greatest of the columns per kind, the first of equals, with its kind."""
-    each = [F.struct(F.col(f"{prefix}{k}").alias("p"), F.lit(-k).alias("_")) for k in range(len(KINDS))]
-    top = F.greatest(*each)
-    return F.struct(top["p"].alias("p"), (-top["_"]).alias("kind"))
+    scores, beliefs = weighed(*pattern_graph(found), rounds)
+    fresh = found.where("kind IS NULL AND could IS NOT NULL").withColumn("instance", _of_kind("instance"))
+    likely = keep(beliefs.where(f"belief >= {LIKELY}"), "likely")
+    fresh = lookup_join(fresh, likely, "instance").select(
+        "row", "start", "end", "could", "belief", F.explode("nodes").alias("node"))
+    good = keep(scores.where(f"score >= {GOOD_PATTERN}").select("node"), "good")
+    fresh = fresh.withColumn("node", F.concat_ws(" ", F.col("could").cast("string"), "node"))
+    fresh = lookup_join(fresh, good, "node")
+    best = F.max(F.struct("belief", (-F.col("could")).alias("_kind"))).alias("best")
+    return fresh.groupBy("row", "start", "end").agg(best).select(
+        "row", (-F.col("best._kind")).alias("kind"), "start", "end")
 
 
 def find_personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -185,15 +281,10 @@ def find_personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """
     scan = scanned(docs)
     spans = keep(base_spans(scan), "spans")
-    found = keep(tokens(scan, spans), "tokens")
-    good, likely = good_patterns(found, rounds)
-    fresh = found.where("kind IS NULL").drop("kind")
-    good = good.withColumnRenamed("kind", "_kind")
-    fresh = lookup_join(fresh, keep(good, "good"), "pattern")
-    fresh = lookup_join(fresh, keep(likely, "likely"), "instance").where("kind = _kind")
+    fresh = discovered(keep(candidates(scan, spans), "candidates"), rounds)
 
     every = spans.withColumn("base", F.lit(True)).unionByName(
-        fresh.select("row", "kind", "start", "end", F.lit(False).alias("base")))
+        fresh.withColumn("base", F.lit(False)))
     names = F.array(*map(F.lit, KINDS))
     item = F.struct("start", "kind", "end")
     lists = every.groupBy("row").agg(

@@ -7,9 +7,9 @@ packed, in the order of their count, into tiles of bounded size. Tiles whose
 counts are beyond the radius are skipped; the others are compared by
 exclusive-or and bit counts, every fingerprint with every one.
 
-Near copies of the pipeline are not told by fingerprints alone. Fingerprints of
-the distinct shingles, under a wide radius, only find pairs; the Jaccard index
-of the two sets of shingles decides. So that a large group of copies does not
+Where a similarity is asked for, near copies are not told by fingerprints alone.
+Fingerprints of the distinct shingles, under a wide radius, only find pairs; the
+Jaccard index of the two sets of shingles decides. So that a large group of copies does not
 meet pair by pair, texts are first verified against the least one they share a
 least hash with, and pairs that those links connect already are left out.
 
@@ -363,10 +363,12 @@ def near_copy_classes(docs: DataFrame, shingle: int, words: int, radius: int, si
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
     """One document of each class of near copies stays: the one with the least doc_id.
 
-    Rows alike in id and text count as one document.
+    Classes are those of the fingerprints, as simhash_classes() tells them, or, with a
+    similarity, those of near_copy_classes(). Rows alike in id and text count as one document.
     """
+    classes_of = near_copy_classes if "similarity" in options else simhash_classes
     key = F.xxhash64("doc_id", "text").alias("_key")
-    classes = near_copy_classes(docs.select(key.alias("doc_id"), "text"), **options)
+    classes = classes_of(docs.select(key.alias("doc_id"), "text"), **options)
     ids = docs.select(key, "doc_id").groupBy("_key").agg(
         F.min("doc_id").alias("_id"), F.count("*").alias("_rows"))
     first = classes.select(F.col("doc_id").alias("_key"), "component_id").distinct().join(ids, "_key")

@@ -68,6 +68,15 @@ def test_simhash_classes(spark, tables, tile):
     assert simhash.simhash_classes(frame(spark, [])).count() == 0
 
 
+def test_one_document_of_each_class_stays(spark, tables):
+    rows = [(r.doc_id, r.text) for r in tables("documents").collect()]
+    rows += [(9000, None), (9001, ""), (9002, "One Two"), (9003, "one  two"), (9005, rows[3][1]), (9005, rows[3][1])]
+    classes = {r.component_id for r in simhash.simhash_classes(frame(spark, rows)).collect()}
+    got = simhash.deduplicated(frame(spark, rows))
+    assert got.columns == ["doc_id", "text", "fp", "rank"]
+    assert sorted(r.doc_id for r in got.collect()) == sorted(classes)
+
+
 def test_near_copies_go_and_others_stay(spark):
     rng = np.random.default_rng(6)
     vocabulary = [f"w{i}" for i in range(3000)]

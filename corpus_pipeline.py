@@ -37,8 +37,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return simhash.deduplicated(docs, **simhash.NEAR)
+    """One document of each class of fingerprints stays; shingles and radius are those of op9."""
+    return simhash.deduplicated(docs, shingle=simhash.SHINGLE, radius=simhash.RADIUS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from quillmesh.llm import toxicity
+from test_copies import brute_fingerprint
 
 SF_DIR = "/root/testdata/sf0.001"
 INNER = ["uid", "_place", "_key", "_gone", "_rows", "_times", "_toxicity", "row", "_hot", "_salt", "at", "line",
@@ -113,13 +114,8 @@ def test_one_of_near_copies_stays(spark, docs):
     got = check_columns(pipeline.drop_near_copies(spark, docs, SF_DIR), docs)
     texts = by_id({(r.doc_id, r.text) for r in docs.collect()})
 
-    def shingles(text):
-        words = (text or "").lower().split()
-        return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-    sets = [shingles(t) for _, t in texts]
-    links = [(i, j) for i, x in enumerate(sets) for j, y in enumerate(sets[:i])
-             if (len(x & y) >= 0.8 * len(x | y) if x | y else True)]
+    fps = [brute_fingerprint(t) for _, t in texts]
+    links = [(i, j) for i, x in enumerate(fps) for j, y in enumerate(fps[:i]) if (x ^ y).bit_count() <= 2]
     classes = classes_of(range(len(texts)), links)
     first = {}
     for i, key in enumerate(texts):

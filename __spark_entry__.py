@@ -107,7 +107,7 @@ def term_doc_counts(spark, sf_dir):
 
 def _index(spark, sf_dir):
     return text.inverted_index(
-        documents(spark, sf_dir), size=BLOCK, names=document_list(spark, sf_dir)
+        documents(spark, sf_dir), size=BLOCK, names=document_list(spark, sf_dir), whole=True
     )
 
 
@@ -232,7 +232,7 @@ def authors_from_names(spark, sf_dir):
 
 def tf_idf_from_lines(spark, sf_dir):
     names = _named(document_list(spark, sf_dir))
-    index = text.inverted_index(_named(documents(spark, sf_dir)), size=BLOCK, names=names)
+    index = text.inverted_index(_named(documents(spark, sf_dir)), size=BLOCK, names=names, whole=True)
     weights = text.tf_idf_from_lines(text.index_lines(index), names)
     return weights.withColumn("tf_idf", _round("tf_idf"))
 

@@ -4,7 +4,9 @@ A list that grows with the data (the documents of a common word, the
 neighbours of a hub) is never gathered in one task. Items are ranked within
 their key by item order, and block ``b`` holds ranks ``b * size`` up to
 ``(b + 1) * size``: the blocks of a key, one after the other, are its list.
-Keys with no more than ``size`` items have the one block 0.
+Keys with no more than ``size`` items have the one block 0. ``list_blocks`` ranks
+rows; ``cut_lists`` starts from lists of each key's items in a range, so that a
+row that travels is a list.
 """
 
 from __future__ import annotations
@@ -19,25 +21,29 @@ from .skew import lookup_join
 
 RANGE = "_range"
 BLOCK_SIZE = 10_000
+LONG = 100_000
+AT = "_at"
 MIN_RANGES = 64
 MAX_RANGES = 1024
 _SAMPLES_PER_RANGE = 32
 
 
-def item_splits(items: DataFrame, ranges: int | None = None) -> list:
+def item_splits(items: DataFrame, ranges: int | None = None, least: int = 1) -> list:
     """Up to ``ranges - 1`` values cutting the one-column ``items`` evenly.
 
-    As many ranges as shuffle partitions by default, within limits. The splits
+    As many ranges as shuffle partitions by default, within limits, but no more
+    than leave each ``least`` items or each core two. The splits
     come from a random sample of about _SAMPLES_PER_RANGE items per range, of
     which a partition sends fewer the more partitions there are. They steer only
     how the ranking is spread over tasks, never what comes out.
     """
-    if ranges is None:
-        partitions = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        ranges = max(MIN_RANGES, min(MAX_RANGES, partitions))
     name = items.columns[0]
     held = items.where(F.col(name).isNotNull())
     rows = held.agg(F.count("*")).first()[0]
+    if ranges is None:
+        spark = items.sparkSession
+        ranges = max(MIN_RANGES, min(MAX_RANGES, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+        ranges = min(ranges, max(2 * spark.sparkContext.defaultParallelism, rows // least))
     share = min(1.0, ranges * _SAMPLES_PER_RANGE / max(1, rows))
     values = sorted(row[0] for row in held.sample(share, 7).collect())
     step = max(1, len(values) // ranges)
@@ -45,7 +51,7 @@ def item_splits(items: DataFrame, ranges: int | None = None) -> list:
 
 
 def with_range(rows: DataFrame, item: str, splits: list) -> DataFrame:
-    """Add RANGE, the number of splits not above the item, found by halving."""
+    """Add RANGE, the number of splits not above the item, found by halving; nulls come first."""
     if not splits:
         return rows.withColumn(RANGE, F.lit(0))
 
@@ -60,7 +66,8 @@ def with_range(rows: DataFrame, item: str, splits: list) -> DataFrame:
 
     # The indexed literal folds to plain constants.
     held = rows.withColumn("_splits", F.lit(splits))
-    return held.withColumn(RANGE, F.expr(search(0, len(splits)))).drop("_splits")
+    found = F.when(F.col(item).isNull(), 0).otherwise(F.expr(search(0, len(splits))))
+    return held.withColumn(RANGE, found).drop("_splits")
 
 
 def list_blocks(rows: DataFrame, key: str, item: str, splits: Callable[[], list], values: tuple = (),
@@ -91,6 +98,52 @@ def list_blocks(rows: DataFrame, key: str, item: str, splits: Callable[[], list]
     return blocks.unionByName(ranked.select(*columns))
 
 
+def cut_lists(lists: DataFrame, key: str, size: int = BLOCK_SIZE) -> DataFrame:
+    """(key, block, n_items, total, items) from (key, AT, n, sum, items) rows.
+
+    The n items of a row are sorted, and come before those of its key with a higher
+    AT. Keys of up to LONG items, or of one block, are put together and cut as one
+    row. Of the others, where a row stands in its key's list follows from the n of
+    the rows before, which are counted without the items; it is cut where a block ends.
+    """
+    lists = keep(lists, "lists")
+    counts = lists.groupBy(key).agg(F.sum("n").alias("n_items"), F.sum("sum").alias("total"), F.count("*").alias("_rows"))
+    long = keep(counts.where(F.col("n_items") > max(size, LONG)), "long")
+    none = long.isEmpty()
+    sizes = long.select(key, "_rows")
+    short = lists if none else lookup_join(lists, long.select(key), key, "left_anti", counts=sizes)
+    gathered = short.groupBy(key).agg(
+        F.sum("n").alias("n_items"), F.sum("sum").alias("total"),
+        F.flatten(F.sort_array(F.collect_list(F.struct(AT, "items")))["items"]).alias("items"))
+    blocks = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n_items") - 1) / F.lit(size)).cast("bigint"))
+    cut = F.transform(blocks, lambda block: F.struct(block.alias("block"), F.slice(
+        "items", (block * size + 1).cast("int"), F.lit(size)).alias("items")))
+    gathered = gathered.select(key, "n_items", "total", F.explode(cut).alias("_part"))
+    gathered = gathered.select(key, "_part.block", "n_items", "total", "_part.items")
+    if none:
+        return gathered
+    whole = Window.partitionBy("_key").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    rest = lookup_join(lists, long.drop("_rows"), key, counts=sizes)
+    places = lookup_join(lists.select(key, AT, "n"), long.select(key), key, "left_semi", counts=sizes).select(
+        F.col(key).alias("_key"), F.col(AT).alias("_place"), "n").select(
+        "_key", "_place", F.coalesce(F.sum("n").over(whole), F.lit(0)).alias("_before"))
+    placed = rest.join(places.hint("merge"), (F.col(key) == F.col("_key")) & (F.col(AT) == F.col("_place")))
+
+    def part(block):
+        begin = block * size - F.col("_before")
+        start = F.greatest(begin, F.lit(0).cast("bigint"))
+        items = F.slice("items", (start + 1).cast("int"), (begin + size - start).cast("int"))
+        return F.struct(block.alias("block"), items.alias("items"))
+
+    blocks = F.sequence(*(F.floor(rank / F.lit(size)).cast("bigint")
+                          for rank in (F.col("_before"), F.col("_before") + F.col("n") - 1)))
+    parts = placed.select(key, AT, "n_items", "total", F.explode(F.transform(blocks, part)).alias("_part"))
+    parts = parts.select(key, "_part.block", "n_items", "total", F.struct(AT, "_part.items").alias("_part"))
+    return gathered.unionByName(parts.groupBy(key, "block").agg(
+        F.first("n_items").alias("n_items"), F.first("total").alias("total"),
+        F.flatten(F.sort_array(F.collect_list("_part"))["items"]).alias("items")))
+
+
 def _ranked(rows: DataFrame, key: str, item: str) -> DataFrame:
     """Add _rank, from 1, within each key.
 

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from ..functions.text import leading_number, render_index_value, render_postings
 from ..operators import text as ops
-from ..operators.blocks import BLOCK_SIZE, item_splits, list_blocks
+from ..operators.blocks import BLOCK_SIZE, RANGE, cut_lists, item_splits, list_blocks, with_range
 from ..sources.keyed_table import put_rows
 from ..sources.scratch import scratch_path
 from ..sources.text import write_key_values, write_ordered
 
+RANGE_DOCS = 2048
+
 
 def word_count(docs: DataFrame, text: str = "text") -> DataFrame:
     """(word, n), case-sensitive."""
@@ -29,15 +31,21 @@ def term_averages(docs: DataFrame) -> DataFrame:
 
 
 def inverted_index(docs: DataFrame, size: int = BLOCK_SIZE, ranges: int | None = None,
-                   names: DataFrame | None = None) -> DataFrame:
+                   names: DataFrame | None = None, whole: bool = False) -> DataFrame:
     """(term, block, avg_count, n_docs, postings), postings in document order.
 
     ``avg_count`` and ``n_docs`` are those of the whole term on each block.
     ``names`` lists the documents (doc) where that is cheaper to scan than
-    ``docs``, as it is for text files.
+    ``docs``, as it is for text files. ``whole`` tells that a document is one row,
+    not many lines: then texts are dealt by ranges of documents and their terms
+    counted and listed where they lie.
     """
     listed = (docs if names is None else names).select("doc")
-    blocks = list_blocks(term_counts(docs), "term", "doc", lambda: item_splits(listed, ranges), ("n",), "n", size)
+    if whole:
+        dealt = with_range(docs.select("doc", "text"), "doc", item_splits(listed, ranges, RANGE_DOCS))
+        blocks = cut_lists(ops.term_lists(dealt.repartition(RANGE)), "term", size)
+    else:
+        blocks = list_blocks(term_counts(docs), "term", "doc", lambda: item_splits(listed, ranges), ("n",), "n", size)
     return blocks.select(
         "term",
         "block",

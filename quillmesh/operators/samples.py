@@ -27,6 +27,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MAX_BLOCK = 2048
 MIN_BLOCK = 64
 BLOCK_BYTES = 8 << 20
+STRIP = 128  # rows of a block whose kernels are held at once
+KEPT_BLOCKS = 64  # blocks whose nearest a task holds
 
 
 def labelled_samples(samples: DataFrame, labels: DataFrame) -> tuple[DataFrame, int, int]:
@@ -172,11 +174,10 @@ def kernel_sums(samples: DataFrame, matrix, blocks: int, balls: Balls | None = N
 
     def sums(batches):
         for own, other, diagonal in _cells(batches):
-            k = _kernel(own["x"], other["x"], a.value, diagonal)
-            same = k * _same_label(own["label"], other["label"])
-            yield _sums_batch(own["id"], k.sum(axis=1), same.sum(axis=1))
+            rows, columns = _cell_sums(own, other, a.value, diagonal)
+            yield _sums_batch(own["id"], *rows)
             if not diagonal:
-                yield _sums_batch(other["id"], k.sum(axis=0), same.sum(axis=0))
+                yield _sums_batch(other["id"], *columns)
 
     parts = _cells_of(samples.select("id", "label", "x"), blocks, balls).mapInArrow(sums, schema)
     return parts.groupBy("id").agg(F.sum("z").alias("z"), F.sum("s").alias("s"))
@@ -200,17 +201,7 @@ def gradient(samples: DataFrame, successes: DataFrame, matrix, blocks: int,
     def fold(batches):
         total = np.zeros((a.value.shape[1], a.value.shape[1]))
         for own, other, diagonal in _cells(batches):
-            k = _kernel(own["x"], other["x"], a.value, diagonal)
-            same = _same_label(own["label"], other["label"])
-            v = k * (own["p"][:, None] - same) * _inverse(own["z"])[:, None]
-            if not diagonal:
-                v += k * (other["p"][None, :] - same) * _inverse(other["z"])[None, :]
-            centre = own["x"].mean(axis=0)
-            x, y = own["x"] - centre, other["x"] - centre
-            cross = x.T @ v @ y
-            total += x.T @ (x * v.sum(axis=1)[:, None])
-            total += y.T @ (y * v.sum(axis=0)[:, None])
-            total -= cross + cross.T
+            total += _cell_fold(own, other, a.value, diagonal)
         yield packed_batch(a.value @ total)
 
     parts = _cells_of(scored, blocks, balls).mapInArrow(fold, PACKED)
@@ -218,10 +209,11 @@ def gradient(samples: DataFrame, successes: DataFrame, matrix, blocks: int,
 
 
 def nearest(samples: DataFrame, matrix, blocks: int, k: int, digits: int = 9) -> DataFrame:
-    """(id, neighbour, label, distance) candidates: the k nearest per two blocks.
+    """(id, neighbour, label, distance) candidates: the k nearest of what a task compares.
 
     Distances are rounded; equal ones go by neighbour id. The k nearest of all
-    samples are among them.
+    samples are among them. A task keeps the k best of each sample of up to
+    KEPT_BLOCKS blocks, so what it sends does not grow with the pairs of blocks.
     """
     a = samples.sparkSession.sparkContext.broadcast(np.asarray(matrix, dtype=float))
     schema = samples.select(
@@ -229,11 +221,19 @@ def nearest(samples: DataFrame, matrix, blocks: int, k: int, digits: int = 9) ->
     ).schema
 
     def candidates(batches):
+        kept = {}
         for own, other, diagonal in _cells(batches):
             d = np.round(np.sqrt(_squares(own["x"], other["x"], a.value)), digits)
-            yield _nearest_batch(own, other, d, k, diagonal)
+            found = [(own, _nearest_batch(own, other, d, k, diagonal))]
             if not diagonal:
-                yield _nearest_batch(other, own, d.T, k, False)
+                found.append((other, _nearest_batch(other, own, d.T, k, False)))
+            for block, near in found:
+                name = block["id"][0].as_py()  # of no other block
+                kept[name] = _best(kept[name], near, k) if name in kept else near
+            if len(kept) > KEPT_BLOCKS:
+                yield from kept.values()
+                kept = {}
+        yield from kept.values()
 
     return block_cells(samples.select("id", "label", "x"), blocks).mapInArrow(candidates, schema)
 
@@ -323,16 +323,50 @@ def _squares(x: np.ndarray, y: np.ndarray, a: np.ndarray) -> np.ndarray:
     return np.maximum(squares, 0.0)
 
 
-def _kernel(x: np.ndarray, y: np.ndarray, a: np.ndarray, diagonal: bool) -> np.ndarray:
-    k = np.exp(-_squares(x, y, a))
-    if diagonal:
-        np.fill_diagonal(k, 0.0)
-    return k
-
-
-def _same_label(left, right) -> np.ndarray:
-    codes = pa.concat_arrays([left, right]).dictionary_encode().indices.to_numpy()
-    return codes[: len(left), None] == codes[None, len(left):]
+def _strips(own: dict, other: dict, a: np.ndarray, diagonal: bool):
+    """(rows, kernels, same label) between STRIP rows of own at a time and all of other."""
+    centre = own["x"].mean(axis=0)
+    x, y = (own["x"] - centre) @ a.T, (other["x"] - centre) @ a.T
+    of_x, of_y = (x * x).sum(axis=1), (y * y).sum(axis=1)
+    codes = pa.concat_arrays([own["label"], other["label"]]).dictionary_encode().indices.to_numpy()
+    for at in range(0, len(x), STRIP):
+        rows = slice(at, at + STRIP)
+        k = x[rows] @ y.T
+        k *= 2.0
+        k -= of_x[rows, None]
+        k -= of_y[None, :]
+        np.exp(np.minimum(k, 0.0, out=k), out=k)
+        if diagonal:
+            k[np.arange(len(k)), np.arange(at, at + len(k))] = 0.0
+        yield rows, k, codes[:len(x)][rows, None] == codes[None, len(x):]
+
+
+def _cell_sums(own: dict, other: dict, a: np.ndarray, diagonal: bool) -> tuple:
+    """Kernel sums over all and over the own label: of each own sample, and of each other."""
+    of_rows, of_columns = np.zeros((2, len(own["x"]))), np.zeros((2, len(other["x"])))
+    for rows, k, same in _strips(own, other, a, diagonal):
+        for at in range(2):
+            of_rows[at, rows] = k.sum(axis=1)
+            of_columns[at] += k.sum(axis=0)
+            k *= same
+    return of_rows, of_columns
+
+
+def _cell_fold(own: dict, other: dict, a: np.ndarray, diagonal: bool) -> np.ndarray:
+    centre = own["x"].mean(axis=0)
+    x, y = own["x"] - centre, other["x"] - centre
+    cross, columns = np.zeros((x.shape[1], y.shape[1])), np.zeros(len(y))
+    total = np.zeros_like(cross)
+    of_own, of_other = _inverse(own["z"]), _inverse(other["z"])
+    for rows, k, same in _strips(own, other, a, diagonal):
+        weight = (own["p"][rows, None] - same) * of_own[rows, None]
+        if not diagonal:
+            weight += (other["p"][None, :] - same) * of_other[None, :]
+        k *= weight
+        cross += x[rows].T @ (k @ y)
+        total += x[rows].T @ (x[rows] * k.sum(axis=1)[:, None])
+        columns += k.sum(axis=0)
+    return total + y.T @ (y * columns[:, None]) - cross - cross.T
 
 
 def _inverse(z: np.ndarray) -> np.ndarray:
@@ -350,9 +384,16 @@ def _nearest_batch(own: dict, other: dict, distance: np.ndarray, k: int, diagona
         np.fill_diagonal(distance, np.inf)
     take = min(k, len(order) - (1 if diagonal else 0))
     by_id = distance[:, order]
-    picked = order[np.argsort(by_id, axis=1, kind="stable")[:, :take]]
-    rows = np.repeat(np.arange(len(distance)), take)
-    picked = picked.ravel()
+    rows = picked = np.zeros(0, dtype=np.int64)
+    if take:
+        # All up to the distance of the last that is taken; of these the nearest, ties by id.
+        last = np.partition(by_id, take - 1, axis=1)[:, take - 1]
+        rows, picked = (by_id <= last[:, None]).nonzero()
+        ranked = np.lexsort((picked, by_id[rows, picked], rows))
+        rows, picked = rows[ranked], picked[ranked]
+        starts = np.searchsorted(rows, np.arange(len(distance)))
+        first = np.arange(len(rows)) - starts[rows] < take
+        rows, picked = rows[first], order[picked[first]]
     return pa.RecordBatch.from_arrays(
         [
             own["id"].take(pa.array(rows)),

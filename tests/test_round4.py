@@ -1,8 +1,11 @@
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from quillmesh.operators import blocks
+from quillmesh.operators import blocks, samples
 from quillmesh.operators import text as ops
 from quillmesh.plans import text
 
@@ -38,3 +41,67 @@ def test_index_of_whole_documents_moves_no_row_per_posting(spark):
 def test_index_of_no_documents(spark):
     docs = spark.createDataFrame([], "doc STRING, text STRING")
     assert text.inverted_index(docs, whole=True).collect() == []
+
+
+def block(rng, n, first, d=16):
+    return {"id": pa.array(np.arange(first, first + n)), "x": np.round(rng.normal(0, 0.4, (n, d)), 1),
+            "label": pa.array(rng.integers(0, 3, n)), "p": rng.random(n), "z": rng.random(n)}
+
+
+@pytest.mark.parametrize("diagonal", [True, False])
+def test_a_cell_is_worked_out_in_strips(monkeypatch, diagonal):
+    rng, a = np.random.default_rng(1), np.diag(np.linspace(0.5, 1.5, 16))
+    own = block(rng, 300, 0)
+    other = own if diagonal else block(rng, 210, 300)
+    usual = samples._cell_sums(own, other, a, diagonal), samples._cell_fold(own, other, a, diagonal)
+    k = np.exp(-samples._squares(own["x"], other["x"], a))
+    if diagonal:
+        np.fill_diagonal(k, 0.0)
+    same = own["label"].to_numpy()[:, None] == other["label"].to_numpy()[None, :]
+    assert np.allclose(usual[0][0], [k.sum(axis=1), (k * same).sum(axis=1)])
+    assert np.allclose(usual[0][1], [k.sum(axis=0), (k * same).sum(axis=0)])
+    v = k * (own["p"][:, None] - same) / own["z"][:, None]
+    if not diagonal:
+        v += k * (other["p"][None, :] - same) / other["z"][None, :]
+    away = own["x"][:, None] - other["x"][None]
+    assert np.allclose(usual[1], np.einsum("ij,ijr,ijc->rc", v, away, away))
+    monkeypatch.setattr(samples, "STRIP", 7)
+    assert np.allclose(usual[1], samples._cell_fold(own, other, a, diagonal))
+
+
+def test_a_cell_of_large_blocks_takes_little_memory():
+    rng = np.random.default_rng(2)
+    own, other = block(rng, 2048, 0), block(rng, 2048, 2048)
+    tracemalloc.start()
+    samples._cell_sums(own, other, np.eye(16), False)
+    samples._cell_fold(own, other, np.eye(16), False)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 2048 * 2048 * 8 / 2
+
+
+@pytest.mark.parametrize("diagonal, k", [(True, 4), (False, 4), (True, 500), (False, 1)])
+def test_nearest_of_a_block_with_many_ties(diagonal, k):
+    rng = np.random.default_rng(3)
+    own = block(rng, 60, 0, 2)
+    other = own if diagonal else block(rng, 45, 60, 2)
+    order = rng.permutation(len(other["id"]))
+    other = {name: v.take(pa.array(order)) if name in ("id", "label") else v[order] for name, v in other.items()}
+    if diagonal:
+        own = other
+    d = np.round(np.sqrt(samples._squares(own["x"], other["x"], np.eye(2))), 1)
+    found = samples._nearest_batch(own, other, d, k, diagonal).to_pylist()
+    want, names = [], other["id"].to_pylist()
+    for i, name in enumerate(own["id"].to_pylist()):
+        near = sorted((d[i, j], names[j]) for j in range(len(names)) if not (diagonal and i == j))[:k]
+        want += [(name, far, j) for far, j in near]
+    assert sorted((r["id"], r["distance"], r["neighbour"]) for r in found) == sorted(want)
+
+
+def test_a_task_sends_k_rows_for_a_sample_however_many_blocks(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, i % 3, [float(v) for v in rng.normal(0, 1, 3)]) for i in range(200)]
+    frame = spark.createDataFrame(rows, "id BIGINT, label INT, x ARRAY<DOUBLE>")
+    sent = samples.nearest(frame, np.eye(3), 40, 2).count()
+    groups = samples.group_count(40, 8)
+    assert sent <= 200 * 2 * groups

@@ -13,6 +13,7 @@ can; versions and compactions count once they are finished. A null key is a key.
 from __future__ import annotations
 
 import json
+import threading
 import uuid
 from functools import reduce
 
@@ -27,6 +28,8 @@ _STAMP = "_version"  # the put that a row comes from
 _TABLE = "_table.json"
 _COVERS = "_covers.json"
 BUCKETS = 64
+# Local folders look for a file and make it in two steps.
+_MAKING = threading.Lock()
 
 
 def put_rows(rows: DataFrame, path: str, key: str, buckets: int = BUCKETS) -> int:
@@ -173,12 +176,16 @@ def _store(spark: SparkSession, path: str) -> tuple:
 
 
 def _write_once(spark: SparkSession, path: str, content) -> bool:
-    """Whether the file was not there yet; a store makes a file for one writer only."""
+    """Whether the file was not there yet; a store makes a file for one writer only.
+
+    A local folder does so for the threads of one driver.
+    """
     store, file = _store(spark, path)
     if store.exists(file):
         return False
     try:
-        stream = store.create(file, False)
+        with _MAKING:
+            stream = store.create(file, False)
     except Py4JJavaError as failed:
         if "AlreadyExists" in failed.java_exception.getClass().getName():
             return False

@@ -1,5 +1,8 @@
+import io
 import random
+import time
 import tracemalloc
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
@@ -8,6 +11,7 @@ import pytest
 from quillmesh.operators import blocks, samples
 from quillmesh.operators import text as ops
 from quillmesh.plans import text
+from quillmesh.sources import keyed_table
 
 
 def many_documents(count):
@@ -105,3 +109,34 @@ def test_a_task_sends_k_rows_for_a_sample_however_many_blocks(spark):
     sent = samples.nearest(frame, np.eye(3), 40, 2).count()
     groups = samples.group_count(40, 8)
     assert sent <= 200 * 2 * groups
+
+
+def test_a_claim_is_made_by_one_thread_at_a_time(spark, tmp_path, monkeypatch):
+    """A store that looks for the file and makes it in two steps, as a local folder does."""
+    class Store:
+        made, clashes = set(), []
+
+        def exists(self, file):
+            return False
+
+        def create(self, file, overwrite):
+            if file in self.made:
+                raise RuntimeError("AlreadyExists")
+            time.sleep(0.05)
+            if file in self.made:
+                self.clashes.append(file)
+            self.made.add(file)
+            return io.BytesIO()
+
+    store = Store()
+    monkeypatch.setattr(keyed_table, "_store", lambda spark, path: (store, path))
+
+    def claim(_):
+        try:
+            return keyed_table._write_once(spark, "claim", {})
+        except RuntimeError:
+            return False
+
+    with ThreadPoolExecutor(4) as pool:
+        assert sorted(pool.map(claim, range(4))) == [False, False, False, True]
+    assert store.clashes == []

@@ -42,7 +42,7 @@ ALIKE = 85  # 100 * shared >= ALIKE * all
 LEAF = 256
 _CENTRES = 5
 _GROWTH = 1.7  # of the sizes of a class; larger ones need more groups, smaller ones more guests
-_COORDINATES = (8, 256)
+_COORDINATES = (8, 512)
 _REMEMBERED = 100_000  # hashes of short words
 _SHORT = 64
 _BATCH = 8 << 20  # bytes of sets in a batch on their way out
@@ -101,7 +101,9 @@ class Classes:
         return apart + 1 + spare, spare
 
     def coordinates(self, k: int) -> int:
-        return int(np.clip(self.starts[k + 1] // 4, *_COORDINATES))
+        # One to an n-gram of small sets, so that few n-grams that differ are taken for shared ones.
+        most = int(self.starts[k + 1])
+        return int(np.clip(max(most // 2, min(most, _COORDINATES[1] // 2)), *_COORDINATES))
 
     def trees(self, held: np.ndarray, k: int) -> np.ndarray:
         """Names of the trees of a set in class ``k``: hashes of the contents of its groups."""
@@ -117,15 +119,16 @@ class Classes:
         return _mixed(names ^ np.uint64(k))
 
     def point(self, held: np.ndarray, k: int) -> np.ndarray:
+        """Counts of a byte each, of four where one is too large for that."""
         n = self.coordinates(k)
-        return np.bincount(_group(held, n), minlength=n).astype(self.kind(k))
-
-    def kind(self, k: int):
-        """Of counts, wide enough for all n-grams in one group."""
-        return np.uint16 if self.starts[k + 1] <= 1 << 16 else np.uint32
+        counts = np.bincount(_group(held, n), minlength=n)
+        return counts.astype(np.uint8 if counts.max() < 256 else np.uint32)
 
     def points(self, held: list, k: int) -> np.ndarray:
-        return np.frombuffer(b"".join(held), dtype=self.kind(k)).reshape(len(held), -1).astype(np.int64)
+        n = self.coordinates(k)
+        if all(len(x) == n for x in held):
+            return np.frombuffer(b"".join(held), dtype=np.uint8).reshape(len(held), n)
+        return np.stack([np.frombuffer(x, dtype=np.uint8 if len(x) == n else np.uint32).astype(np.uint32) for x in held])
 
     def shared(self, a, b):
         """How many n-grams sets of these sizes have to share."""
@@ -226,7 +229,8 @@ def links_of(sets: DataFrame, docs: DataFrame, words: int, alike: int, leaf: int
     others = others.select("id", F.explode("centres").alias("centre")).where("id <> centre")
     star = star.unionByName(others.select(
         F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))).distinct()
-    star = keep(verified(bounded(star, sets, alike), sets, docs, words, alike), "star")
+    ids = members.select("id").unionByName(members.select(F.col("first").alias("id"))).distinct()
+    star = keep(verified(bounded(star, ids, sets, alike), sets, docs, words, alike), "star")
 
     # Trees whose members the stars left apart.
     # A document is in no more trees than it has groups: plain joins on ids do.
@@ -241,10 +245,10 @@ def links_of(sets: DataFrame, docs: DataFrame, words: int, alike: int, leaf: int
     return star.unionByName(verified(pairs, sets, docs, words, alike))
 
 
-def bounded(pairs: DataFrame, sets: DataFrame, alike: int) -> DataFrame:
-    """The (a, b) pairs whose sizes and points let them be alike."""
+def bounded(pairs: DataFrame, ids: DataFrame, sets: DataFrame, alike: int) -> DataFrame:
+    """The (a, b) pairs, both among the distinct ids, whose sizes and points let them be alike."""
     pairs = keep(pairs, "starred")
-    wanted = keep(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ends")
+    wanted = keep(ids, "ends")
     points = keep(sets.select("id", "size", "k", "own_point", "next_point").join(wanted, "id"), "points")
     for side in ("a", "b"):
         own = points.select(*(F.col(c).alias(side if c == "id" else f"{c}_{side}") for c in points.columns))
@@ -260,7 +264,7 @@ def bounded(pairs: DataFrame, sets: DataFrame, alike: int) -> DataFrame:
                 x, y = (row[f"own_point_{s}"] if row[f"k_{s}"] == k else row[f"next_point_{s}"] for s in ("a", "b"))
                 fits.append(x is not None and y is not None
                             and classes.shared(row["size_a"], row["size_b"])
-                            <= np.minimum(*classes.points([x, y], k)).sum())
+                            <= np.minimum(*classes.points([x, y], k)).sum(dtype=np.int64))
             yield batch.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
 
     return pairs.mapInArrow(compare, "a BIGINT, b BIGINT")
@@ -304,12 +308,12 @@ def _passing(left, right, classes: Classes):
         _leaf(rows, classes) for rows in (left, right))
     a, b = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
     # Nodes first: their greatest counts against their least sizes.
-    if np.minimum(x.max(axis=0), y.max(axis=0)).sum() >= classes.shared(n_x.min(), n_y.min()):
+    if np.minimum(x.max(axis=0), y.max(axis=0)).sum(dtype=np.int64) >= classes.shared(n_x.min(), n_y.min()):
         for k in range(len(x)):
             near = (100 * n_y >= classes.alike * n_x[k]) & (100 * n_x[k] >= classes.alike * n_y)
             near &= (root_y != root_x[k]) & (home_y | home_x[k])
             j = np.flatnonzero(near)
-            j = j[np.minimum(y[j], x[k]).sum(axis=1) >= classes.shared(n_y[j], n_x[k])]
+            j = j[np.minimum(y[j], x[k]).sum(axis=1, dtype=np.int64) >= classes.shared(n_y[j], n_x[k])]
             a.append(np.minimum(id_y[j], id_x[k]))
             b.append(np.maximum(id_y[j], id_x[k]))
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])

@@ -2,8 +2,10 @@
 
 import random
 
+import numpy as np
 import pytest
 
+from quillmesh.llm.ngram_join import Classes
 from quillmesh.operators import graph as ops
 from test_graph import brute_force
 
@@ -28,3 +30,26 @@ def test_copies_of_a_light_graph_need_no_colours(spark, monkeypatch):
     edges = spark.createDataFrame(pairs, "src BIGINT, dst BIGINT")
     assert ops.count_triangles(edges).first().n == 20 * 84
     assert seen == [0]
+
+
+def test_points_tell_near_copies_that_are_not_alike():
+    """Before, about half of such pairs passed the bound: as many as the square of a group of near copies."""
+    classes, rng, passed = Classes(85), np.random.default_rng(3), 0
+    for _ in range(200):
+        codes = rng.integers(0, 1 << 63, 171, dtype=np.uint64)
+        x, y = np.sort(codes[:146]), np.sort(np.concatenate([codes[:121], codes[146:]]))  # 121 of 171 shared
+        (k, *_) = classes.of(146)
+        points = classes.points([classes.point(x, k).tobytes(), classes.point(y, k).tobytes()], k)
+        both = np.minimum(*points).sum(dtype=np.int64)
+        assert both >= 121
+        passed += both >= classes.shared(146, 146)
+    assert passed < 10
+
+
+def test_points_hold_counts_of_any_size():
+    classes = Classes(85)
+    sets = [np.arange(600, dtype=np.uint64), np.arange(550, dtype=np.uint64) << np.uint64(50)]
+    (k, *_) = classes.of(600)
+    points = classes.points([classes.point(x, k).tobytes() for x in sets], k)
+    assert points.sum(axis=1).tolist() == [600, 550] and points.max() == 600
+    assert classes.points([classes.point(sets[1], k).tobytes()], k).sum() == 550

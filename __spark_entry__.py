@@ -145,13 +145,13 @@ def sorted_lines_written(spark, sf_dir):
 
 
 def index_by_frequency(spark, sf_dir):
-    averages = text.term_averages(documents(spark, sf_dir))
+    averages = text.term_averages(documents(spark, sf_dir), whole=True)
     return text.index_by_frequency(averages).select("term", "avg_count")
 
 
 def frequent_terms(spark, sf_dir):
     path = scratch_path(spark, "averages")
-    text.store_averages(documents(spark, sf_dir), path)
+    text.store_averages(documents(spark, sf_dir), path, whole=True)
     stored = scan_rows(spark, path).withColumnRenamed("word", "term")
     return text_ops.above_average(stored, THRESHOLD)
 
@@ -161,7 +161,7 @@ def averages_after_update(spark, sf_dir):
     path = scratch_path(spark, "averages")
     for rest in (0, 1):
         part = documents(spark, sf_dir).where(F.col("doc").cast("bigint") % 2 == rest)
-        text.store_averages(part, path)
+        text.store_averages(part, path, whole=True)
     compact(spark, path)
     return scan_rows(spark, path).withColumnRenamed("word", "term")
 
@@ -169,7 +169,7 @@ def averages_after_update(spark, sf_dir):
 def exported_averages(spark, sf_dir):
     """The table of averages written as text, loaded into an SQL table and selected from."""
     path = scratch_path(spark, "averages")
-    text.store_averages(documents(spark, sf_dir), path)
+    text.store_averages(documents(spark, sf_dir), path, whole=True)
     out = scratch_path(spark, "export")
     export_rows(spark, path, out)
     table = "exported_" + uuid.uuid4().hex
@@ -213,7 +213,7 @@ def pairs_from_lines(spark, sf_dir):
 
 
 def top_average_terms(spark, sf_dir):
-    averages = text.term_averages(documents(spark, sf_dir))
+    averages = text.term_averages(documents(spark, sf_dir), whole=True)
     return text_ops.top_averages(averages, 100).select("term", "avg_count")
 
 

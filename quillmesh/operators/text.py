@@ -98,15 +98,29 @@ def _numbers(column) -> np.ndarray:
     return column.combine_chunks().dictionary_encode("encode").indices.to_numpy()
 
 
-def _chunk_lists(chunk, at: int):
+def _chunk_counts(chunk) -> tuple:
+    """Documents, terms, and the term, document and count of each pair, in order of terms."""
     docs = chunk.column("doc").combine_chunks().dictionary_encode("encode")
     words = pc.split_pattern_regex(chunk.column("text").combine_chunks(), BLANKS)
     doc = docs.indices.to_numpy()[pc.list_parent_indices(words).to_numpy()]
     words = pc.list_flatten(words).dictionary_encode()
-    terms = words.dictionary
     code = words.indices.to_numpy().astype(np.int64)
     pairs, n = np.unique(code * max(1, len(docs.dictionary)) + doc, return_counts=True)
     code, doc = np.divmod(pairs, max(1, len(docs.dictionary)))
+    return docs, words.dictionary, code, doc, n
+
+
+def _chunk_sums(chunk):
+    """(term, n, sum): documents that hold a term of the chunk, and how often all of them do."""
+    _, terms, code, _, n = _chunk_counts(chunk)
+    counts = np.bincount(code, minlength=len(terms))
+    sums = np.bincount(code, weights=n, minlength=len(terms)).astype(np.int64)
+    rows = pa.RecordBatch.from_arrays([terms, pa.array(counts, pa.int64()), pa.array(sums)], names=["term", "n", "sum"])
+    return rows.filter(pc.not_equal(terms, ""))
+
+
+def _chunk_lists(chunk, at: int):
+    docs, terms, code, doc, n = _chunk_counts(chunk)
     starts = np.flatnonzero(np.diff(code, prepend=-1))
     sizes = np.diff(starts, append=len(code))
     items = pa.StructArray.from_arrays([docs.dictionary.take(pa.array(doc)), pa.array(n, pa.int64())], names=["doc", "n"])
@@ -126,6 +140,24 @@ def term_averages(counts: DataFrame) -> DataFrame:
     )
 
 
+def document_averages(docs: DataFrame) -> DataFrame:
+    """``term_averages`` of (doc, text) rows, counted where the texts lie.
+
+    The rows of a document meet in one task, in order of documents. A chunk gives
+    a row for each of its terms, so no row of a term and a document is ever made.
+    """
+    lowered = docs.select(F.lit(0).cast("bigint").alias(RANGE), "doc", F.lower("text").alias("text"))
+
+    def sums(batches):
+        for chunk in _chunks(batches):
+            yield _chunk_sums(chunk)
+
+    counted = lowered.repartition("doc").sortWithinPartitions("doc").mapInArrow(
+        sums, "term STRING, n BIGINT, sum BIGINT")
+    totals = counted.groupBy("term").agg(F.sum("n").alias("n_docs"), F.sum("sum").alias("total"))
+    return totals.select("term", (F.col("total") / F.col("n_docs")).alias("avg_count"), "n_docs")
+
+
 def author_documents(documents: DataFrame) -> DataFrame:
     """(author, n_docs) from the document list, one row per listed document."""
     return _with_author(documents).groupBy("author").agg(F.count("*").alias("n_docs"))

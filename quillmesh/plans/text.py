@@ -25,9 +25,9 @@ def term_counts(docs: DataFrame, keep: tuple = ()) -> DataFrame:
     return ops.term_counts(docs, keep)
 
 
-def term_averages(docs: DataFrame) -> DataFrame:
-    """(term, avg_count, n_docs) straight from documents."""
-    return ops.term_averages(term_counts(docs))
+def term_averages(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """(term, avg_count, n_docs) straight from documents; ``whole`` as for ``inverted_index``."""
+    return ops.document_averages(docs) if whole else ops.term_averages(term_counts(docs))
 
 
 def inverted_index(docs: DataFrame, size: int = BLOCK_SIZE, ranges: int | None = None,
@@ -95,9 +95,9 @@ def tf_idf_from_lines(lines: DataFrame, documents: DataFrame) -> DataFrame:
     return tf_idf_from_counts(ops.parse_index(lines), documents)
 
 
-def store_averages(docs: DataFrame, path: str) -> int:
+def store_averages(docs: DataFrame, path: str, whole: bool = False) -> int:
     """Put each term's average into the keyed table at ``path``."""
-    averages = term_averages(docs).select(F.col("term").alias("word"), "avg_count")
+    averages = term_averages(docs, whole).select(F.col("term").alias("word"), "avg_count")
     return put_rows(averages, path, "word")
 
 

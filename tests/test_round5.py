@@ -7,6 +7,8 @@ import pytest
 
 from quillmesh.llm.ngram_join import Classes
 from quillmesh.operators import graph as ops
+from quillmesh.operators import text as text_ops
+from quillmesh.plans import text
 from test_graph import brute_force
 
 
@@ -53,3 +55,14 @@ def test_points_hold_counts_of_any_size():
     points = classes.points([classes.point(x, k).tobytes() for x in sets], k)
     assert points.sum(axis=1).tolist() == [600, 550] and points.max() == 600
     assert classes.points([classes.point(sets[1], k).tobytes()], k).sum() == 550
+
+
+@pytest.mark.parametrize("chunk", [1, 16 << 20])
+def test_averages_are_counted_where_documents_lie(spark, monkeypatch, chunk):
+    """Before, a row for each term of a document was aggregated and shuffled."""
+    monkeypatch.setattr(text_ops, "CHUNK_BYTES", chunk)
+    rows = [("a", "X x y"), ("b", "y\ty  z"), ("a", "x"), ("c", None), ("c", ""), ("d", " \u0130 \x0b"), (None, "y z"), (None, "z")]
+    docs = spark.createDataFrame(rows, "doc STRING, text STRING").repartition(5)
+    found = text.term_averages(docs, whole=True)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, text.term_averages(docs).collect()))
+    assert "explode" not in found._jdf.queryExecution().toString().lower()

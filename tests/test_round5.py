@@ -35,7 +35,7 @@ def test_copies_of_a_light_graph_need_no_colours(spark, monkeypatch):
 
 
 def test_points_tell_near_copies_that_are_not_alike():
-    """Before, about half of such pairs passed the bound: as many as the square of a group of near copies."""
+    """Before, too many of such pairs passed the bound, which grew with the square of a group of near copies."""
     classes, rng, passed = Classes(85), np.random.default_rng(3), 0
     for _ in range(200):
         codes = rng.integers(0, 1 << 63, 171, dtype=np.uint64)

@@ -29,7 +29,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.skew import lookup_join
@@ -183,7 +183,10 @@ def ngram_classes(docs: DataFrame, words: int = WORDS, alike: int = ALIKE, leaf:
     some = rows.where("size > 0").groupBy("name").agg(
         F.min("row").alias("row"), F.min("doc_id").alias("least"), F.count("*").alias("_rows"))
     some = keep(some, "names")
-    sets = keep(rows.join(some.select("row"), "row").withColumnRenamed("row", "id"), "sets")
+    # Sketches are half as large as their texts: they stay where they are while the ids can be broadcast.
+    first = some.select("row", F.lit(1).cast("bigint").alias("_rows"))
+    sets = lookup_join(rows, first.select("row"), "row", counts=first)
+    sets = keep(sets.withColumnRenamed("row", "id"), "sets")
 
     roots = keep(components(links_of(sets, docs, words, alike, leaf)).withColumnRenamed("id", "row"), "roots")
     roots = keep(roots.join(some.select("row", "least"), "row"), "linked")
@@ -210,13 +213,14 @@ def links_of(sets: DataFrame, docs: DataFrame, words: int, alike: int, leaf: int
         return F.transform(F.coalesce(trees, F.array()), lambda t: F.struct(t.alias("tree"), code))
 
     placed = sets.select(F.explode(F.concat(coded("own", 1), coded("next", 0))).alias("t")).select("t.*")
-    shared = placed.groupBy("tree").agg(
-        F.count("*").alias("_rows"), F.min("code").alias("first"), F.bool_or(F.col("code") % 2 == 1).alias("home"))
-    shared = keep(shared.where("_rows > 1 AND home").select(
-        "tree", F.shiftright("first", 1).alias("first"), "_rows"), "shared")
-    members = lookup_join(placed, shared.select("tree", "first"), "tree", small=False,
-                          counts=shared.select("tree", "_rows"))
-    members = members.select("tree", F.shiftright("code", 1).alias("id"), (F.col("code") % 2 == 1).alias("home"), "first")
+    # Dealt by tree once. Nearly all trees have one member, and no set is in a tree twice, so the rows
+    # of a tree are no more than the sets.
+    tree = Window.partitionBy("tree")
+    shared = placed.select(
+        "tree", "code", F.count("*").over(tree).alias("_rows"), F.min("code").over(tree).alias("first"),
+        F.max(F.col("code") % 2).over(tree).alias("_home")).where("_rows > 1 AND _home = 1")
+    members = shared.select("tree", F.shiftright("code", 1).alias("id"), (F.col("code") % 2 == 1).alias("home"),
+                            F.shiftright("first", 1).alias("first"))
     members = keep(members.where("first <> id"), "members")
     star = members.select(F.col("first").alias("a"), F.col("id").alias("b"))
     # Copies at the edge are alike to some of their group only: a few more centres,

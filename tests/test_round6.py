@@ -1,6 +1,8 @@
 """The check of round 3."""
 
-from quillmesh.llm import substrings
+import numpy as np
+
+from quillmesh.llm import ngram_join, substrings
 
 
 def documents(spark, texts):
@@ -38,3 +40,19 @@ def test_anchors_of_many_texts_come_in_several_batches(spark):
     rows = substrings.context_anchors(texts.withColumnRenamed("doc_id", "uid"), 400, 64)
     sizes = rows.mapInArrow(lambda batches: (b.slice(0, 1) for b in batches), rows.schema).count()
     assert sizes >= 700 // substrings._TEXTS
+
+
+def test_trees_and_sketches_are_shuffled_once_at_most(spark, monkeypatch):
+    """Before, rows of trees were dealt twice, and sketches were, to drop those of equal sets."""
+    seen = written(monkeypatch, ngram_join)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rng = np.random.default_rng(5)
+        texts = [" ".join(map(str, rng.integers(0, 900, 60))) for _ in range(60)]
+        got = ngram_join.ngram_classes(documents(spark, texts + [t + " more" for t in texts[:20]] + texts[:5])).collect()
+        plans = {name: rows._jdf.queryExecution().executedPlan().toString() for name, rows in seen.items()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [r.component_id for r in sorted(got)] == [*range(60), *range(20), *range(5)]
+    assert plans["members"].count("hashpartitioning(") == 1
+    assert "hashpartitioning" not in plans["sets"]

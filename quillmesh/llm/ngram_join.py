@@ -183,7 +183,7 @@ def ngram_classes(docs: DataFrame, words: int = WORDS, alike: int = ALIKE, leaf:
     some = rows.where("size > 0").groupBy("name").agg(
         F.min("row").alias("row"), F.min("doc_id").alias("least"), F.count("*").alias("_rows"))
     some = keep(some, "names")
-    # Sketches are half as large as their texts: they stay where they are while the ids can be broadcast.
+    # Sketches are large: they stay where they are while the ids can be broadcast.
     first = some.select("row", F.lit(1).cast("bigint").alias("_rows"))
     sets = lookup_join(rows, first.select("row"), "row", counts=first)
     sets = keep(sets.withColumnRenamed("row", "id"), "sets")

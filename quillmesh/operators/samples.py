@@ -1,8 +1,8 @@
 """All-pairs sums over (id, label, x) samples, block by block.
 
 Samples are packed into blocks and every two blocks meet in one row, where
-numpy works out the kernel between them. Only sums leave such a row - two
-numbers per sample, or one d x d matrix per task - never the pairs. Where samples
+numpy works out the kernel between them. Only sums leave a task - two
+numbers per sample, or one d x d matrix - never the pairs. Where samples
 lie so far apart that kernels are exactly 0, blocks are cut by balls, and those
 that are out of each other's reach never meet.
 """
@@ -27,8 +27,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MAX_BLOCK = 2048
 MIN_BLOCK = 64
 BLOCK_BYTES = 8 << 20
-STRIP = 128  # rows of a block whose kernels are held at once
-KEPT_BLOCKS = 64  # blocks whose nearest a task holds
+STRIP = 64  # rows of a block whose kernels are held at once
+KEPT_BLOCKS = 64  # blocks whose sums or nearest a task holds
+ZERO_FROM = -750.0  # exp is exactly 0.0 in doubles up to here
+# numpy has its own exp of doubles for AVX-512; elsewhere it takes the slower one of the C library.
+SLOW_EXP = not any(kind["current"].startswith("AVX512") for found in np.lib.introspect.opt_func_info(
+    func_name="^exp$", signature="float64").values() for kind in found.values())
 
 
 def labelled_samples(samples: DataFrame, labels: DataFrame) -> tuple[DataFrame, int, int]:
@@ -67,33 +71,30 @@ def block_count(samples: DataFrame, n: int, d: int) -> int:
 
 
 def block_cells(samples: DataFrame, blocks: int) -> DataFrame:
-    """(own, other, diagonal) rows, one for every two blocks.
+    """(own, own_x, other, other_x, diagonal) rows, one for every two blocks.
 
     Blocks are dealt to groups and every two groups meet in one cell, where
     their blocks do. A block travels once or twice per group, and groups grow
     with the root of the tasks, not with the samples. Cells are merged, so the
     blocks of a group may spill.
     """
-    tasks = _tasks(samples)
-    groups = group_count(blocks, tasks)
-    packed = samples.groupBy(
-        F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block")
-    ).agg(F.collect_list(F.struct(*samples.columns)).alias("rows"))
+    groups = group_count(blocks, _cell_tasks(samples, blocks))
+    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block")
+    packed = _with_bytes(samples.groupBy(block).agg(_rows(samples)))
     group = F.col("block") % groups
     own = packed.select(
         group.alias("low"), F.explode(F.sequence(group, F.lit(groups - 1))).alias("high"),
-        F.col("block").alias("own_block"), F.col("rows").alias("own"),
+        F.col("block").alias("own_block"), F.col("rows").alias("own"), F.col("x").alias("own_x"),
     )
     other = packed.select(
         F.explode(F.sequence(F.lit(0), group)).alias("low"), group.alias("high"),
-        F.col("block").alias("other_block"), F.col("rows").alias("other"),
+        F.col("block").alias("other_block"), F.col("rows").alias("other"), F.col("x").alias("other_x"),
     )
-    tasks = min(tasks, groups * (groups + 1) // 2)
-    own, other = (side.repartition(tasks, "low", "high") for side in (own, other))
+    own, other = _dealt(own, other, groups * (groups + 1) // 2)
     return (
         own.join(other.hint("merge"), ["low", "high"])
         .where("low < high or own_block <= other_block")
-        .select("own", "other", (F.col("own_block") == F.col("other_block")).alias("diagonal"))
+        .select("own", "own_x", "other", "other_x", (F.col("own_block") == F.col("other_block")).alias("diagonal"))
     )
 
 
@@ -110,36 +111,69 @@ def ball_cells(samples: DataFrame, blocks: int, balls: Balls) -> DataFrame:
     A ball with many samples makes several blocks. Groups are balls next to each
     other, and a block travels only to the groups that hold a ball near its own.
     """
-    tasks = _tasks(samples)
     near = balls.within(KERNEL_REACH)
-    of_ball = groups_of(balls.counts, group_count(blocks, tasks))
+    of_ball = groups_of(balls.counts, group_count(blocks, _cell_tasks(samples, blocks)))
     met = meeting_groups(near, of_ball, of_ball)
-    packed = _packed(balls, samples, blocks)
+    packed = _with_bytes(_packed(balls, samples, blocks))
     both = np.triu(met | met.T)
     own = _sent(packed, near, of_ball, both, "low", "high").select(
         "low", "high", F.col("block").alias("own_block"), F.col("ball").alias("own_ball"), "near",
-        F.col("rows").alias("own"))
+        F.col("rows").alias("own"), F.col("x").alias("own_x"))
     other = _sent(packed, near, of_ball, both.T, "high", "low").select(
         "low", "high", F.col("block").alias("other_block"), F.col("ball").alias("other_ball"),
-        F.col("rows").alias("other"))
-    tasks = min(tasks, int(both.sum()))
-    own, other = (side.repartition(tasks, "low", "high") for side in (own, other))
+        F.col("rows").alias("other"), F.col("x").alias("other_x"))
+    own, other = _dealt(own, other, int(both.sum()))
     return (
         own.join(other.hint("merge"), ["low", "high"])
         .where("array_contains(near, other_ball)")
         .where("low < high or (own_ball, own_block) <= (other_ball, other_block)")
-        .select("own", "other",
+        .select("own", "own_x", "other", "other_x",
                 F.expr("own_ball = other_ball and own_block = other_block").alias("diagonal"))
     )
 
 
+def _rows(samples: DataFrame):
+    """A block of samples, by id: a block is the same in each copy."""
+    return F.sort_array(F.collect_list(F.struct(*samples.columns))).alias("rows")
+
+
+def _with_bytes(packed: DataFrame) -> DataFrame:
+    """Blocks with their vectors as x, a binary, which travels as one value; all else stays in rows."""
+    others = [c for c in packed.columns if c != "rows"]
+    names = [c for c in packed.schema["rows"].dataType.elementType.names if c != "x"]
+    cut = packed.select(*others, F.transform("rows", lambda r: F.struct(*(r[c].alias(c) for c in names))).alias("rows"),
+                        F.col("rows.x").alias("x"))
+    schema = cut.withColumn("x", F.lit(b"")).schema
+
+    def binary(batches):
+        for batch in batches:
+            x = pa.array([_bytes(vectors.values) for vectors in batch.column("x")], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], x], names=schema.names)
+
+    return cut.mapInArrow(binary, schema)
+
+
+def _bytes(vectors) -> bytes:
+    """Vectors as floats if that loses nothing, or else as doubles."""
+    if vectors.null_count or vectors.flatten().null_count:
+        raise ValueError("a vector or one of its components is null")
+    x = vectors.flatten().to_numpy(zero_copy_only=False)
+    with np.errstate(over="ignore"):
+        short = x.astype(np.float32)
+    return (short if np.array_equal(short, x) else x).tobytes()
+
+
+def _dealt(own: DataFrame, other: DataFrame, cells: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides by cell, to so many tasks that few have more than one."""
+    return tuple(side.repartition(2 * max(1, cells), "low", "high") for side in (own, other))
+
+
 def _packed(balls: Balls, samples: DataFrame, blocks: int) -> DataFrame:
     """(ball, block, rows): the samples of a ball in blocks of the usual size."""
     size = max(1, math.ceil(int(balls.counts.sum()) / blocks))
     parts = F.lit([max(1, math.ceil(n / size)) for n in balls.counts.tolist()])
     part = F.pmod(F.xxhash64("id"), F.element_at(parts, F.col("ball") + 1)).cast("int")
-    return balls.place(samples).groupBy("ball", part.alias("block")).agg(
-        F.collect_list(F.struct(*samples.columns)).alias("rows"))
+    return balls.place(samples).groupBy("ball", part.alias("block")).agg(_rows(samples))
 
 
 def _sent(packed: DataFrame, near: np.ndarray, of_ball: np.ndarray, met: np.ndarray,
@@ -158,6 +192,12 @@ def _tasks(samples: DataFrame) -> int:
     return max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism)
 
 
+def _cell_tasks(samples: DataFrame, blocks: int) -> int:
+    """Tasks to cut all pairs for: more would copy blocks oftener and end no sooner, fewer hold longer groups."""
+    cores = samples.sparkSession.sparkContext.defaultParallelism
+    return min(_tasks(samples), max(4 * cores, blocks // 16))
+
+
 def _cells_of(samples: DataFrame, blocks: int, balls: Balls | None) -> DataFrame:
     return block_cells(samples, blocks) if balls is None else ball_cells(samples, blocks, balls)
 
@@ -173,11 +213,19 @@ def kernel_sums(samples: DataFrame, matrix, blocks: int, balls: Balls | None = N
     schema = samples.select("id", F.lit(0.0).alias("z"), F.lit(0.0).alias("s")).schema
 
     def sums(batches):
-        for own, other, diagonal in _cells(batches):
+        kept = {}
+        for own, other, diagonal in _cells(batches, a.value.shape[1]):
             rows, columns = _cell_sums(own, other, a.value, diagonal)
-            yield _sums_batch(own["id"], *rows)
-            if not diagonal:
-                yield _sums_batch(other["id"], *columns)
+            for block, found in ((own, rows),) if diagonal else ((own, rows), (other, columns)):
+                name = block["id"][0].as_py()  # of no other block
+                if name in kept:
+                    kept[name][1] += found
+                else:
+                    kept[name] = [block["id"], found]
+            if len(kept) > KEPT_BLOCKS:
+                yield from (_sums_batch(ids, *found) for ids, found in kept.values())
+                kept = {}
+        yield from (_sums_batch(ids, *found) for ids, found in kept.values())
 
     parts = _cells_of(samples.select("id", "label", "x"), blocks, balls).mapInArrow(sums, schema)
     return parts.groupBy("id").agg(F.sum("z").alias("z"), F.sum("s").alias("s"))
@@ -200,7 +248,7 @@ def gradient(samples: DataFrame, successes: DataFrame, matrix, blocks: int,
 
     def fold(batches):
         total = np.zeros((a.value.shape[1], a.value.shape[1]))
-        for own, other, diagonal in _cells(batches):
+        for own, other, diagonal in _cells(batches, a.value.shape[1]):
             total += _cell_fold(own, other, a.value, diagonal)
         yield packed_batch(a.value @ total)
 
@@ -222,7 +270,7 @@ def nearest(samples: DataFrame, matrix, blocks: int, k: int, digits: int = 9) ->
 
     def candidates(batches):
         kept = {}
-        for own, other, diagonal in _cells(batches):
+        for own, other, diagonal in _cells(batches, a.value.shape[1]):
             d = np.round(np.sqrt(_squares(own["x"], other["x"], a.value)), digits)
             found = [(own, _nearest_batch(own, other, d, k, diagonal))]
             if not diagonal:
@@ -293,14 +341,20 @@ def _best(old, new, k: int):
     return both.filter(pa.array(rank < k)).to_batches()[0]
 
 
-def _cells(batches):
+def _cells(batches, d: int):
     """The packed samples of each row as numpy columns; ids and labels as Arrow."""
     for batch in batches:
         for at in range(batch.num_rows):
-            sides = (_unpack(batch.column(name)[at].values) for name in ("own", "other"))
+            sides = (_block(batch.column(name)[at].values, batch.column(f"{name}_x")[at].as_buffer(), d)
+                     for name in ("own", "other"))
             yield *sides, batch.column("diagonal")[at].as_py()
 
 
+def _block(rows, data, d: int) -> dict:
+    x = np.frombuffer(data, dtype=f"f{data.size // (len(rows) * d)}")
+    return _unpack(rows) | {"x": x.reshape(len(rows), d).astype(float)}
+
+
 def _unpack(rows) -> dict:
     columns = {}
     for field in rows.type:
@@ -324,49 +378,132 @@ def _squares(x: np.ndarray, y: np.ndarray, a: np.ndarray) -> np.ndarray:
 
 
 def _strips(own: dict, other: dict, a: np.ndarray, diagonal: bool):
-    """(rows, kernels, same label) between STRIP rows of own at a time and all of other."""
+    """(rows, kernels, parts, room) between STRIP rows of own at a time and all of other, both sorted by code.
+
+    Parts are the rows and columns of the kernels that have one label. Rows whose
+    kernels are all 0 are left out. The kernels are overwritten by the next ones;
+    the room is as large as they are, for the caller to use.
+    """
     centre = own["x"].mean(axis=0)
     x, y = (own["x"] - centre) @ a.T, (other["x"] - centre) @ a.T
     of_x, of_y = (x * x).sum(axis=1), (y * y).sum(axis=1)
-    codes = pa.concat_arrays([own["label"], other["label"]]).dictionary_encode().indices.to_numpy()
+    furthest = (math.sqrt(of_x.max()) + math.sqrt(of_y.max())) ** 2
+    wide = not furthest < -ZERO_FROM
+    halvings = _halvings(-ZERO_FROM if wide else furthest)
+    scale = 1.0 if wide or not SLOW_EXP else _exp_scale(halvings)
+    # -|x - y|^2 in one product.
+    left = np.column_stack([2.0 * scale * x, -scale * of_x, np.full(len(x), -scale)])
+    right = np.column_stack([y, np.ones(len(y)), of_y]).T
+    room = np.empty((3, min(STRIP, len(x)), len(y)))
     for at in range(0, len(x), STRIP):
-        rows = slice(at, at + STRIP)
-        k = x[rows] @ y.T
-        k *= 2.0
-        k -= of_x[rows, None]
-        k -= of_y[None, :]
-        np.exp(np.minimum(k, 0.0, out=k), out=k)
+        rows = slice(at, min(at + STRIP, len(x)))
+        k, *spare = room[:, :rows.stop - at]
+        np.matmul(left[rows], right, out=k)
+        if wide:
+            near = np.flatnonzero(~(k <= ZERO_FROM))
+            if not len(near):
+                continue
+        if wide and len(near) < k.size // 8:
+            found = np.exp(np.minimum(k.ravel()[near], 0.0))
+            k[:] = 0.0
+            k.ravel()[near] = found
+        else:
+            if wide:
+                np.clip(k, ZERO_FROM, 0.0, out=k)
+            if SLOW_EXP:
+                if wide:
+                    k *= _exp_scale(halvings)
+                _exp(k, halvings, *spare)
+            else:
+                np.exp(k, out=k)
         if diagonal:
             k[np.arange(len(k)), np.arange(at, at + len(k))] = 0.0
-        yield rows, k, codes[:len(x)][rows, None] == codes[None, len(x):]
+        yield rows, k, _parts(own["code"][rows], other["code"]), spare[0]
+
+
+def _halvings(furthest: float) -> int:
+    """How often to halve exponents of up to this size for _exp."""
+    return max(0, math.ceil(math.log2(max(furthest, 1e-300) / 0.125)))
+
+
+def _exp_scale(halvings: int) -> float:
+    return 0.05 * 0.5 ** halvings
+
+
+def _exp(t: np.ndarray, halvings: int, w: np.ndarray, e: np.ndarray) -> None:
+    """exp(t / _exp_scale(halvings)) in place, to about 2^halvings roundings; w and e are overwritten.
+
+    The quotient of two polynomials of degree 4 is exp to the last digit up to 0.125,
+    and squares undo the halvings: a third of the time of the C library's exp.
+    """
+    np.multiply(t, t, out=w)
+    np.add(w, 0.45, out=e)
+    e *= w
+    e += 0.0105
+    w += 0.105
+    w *= t
+    np.add(e, w, out=t)
+    e -= w
+    t /= e
+    for _ in range(halvings):
+        np.multiply(t, t, out=t)
+
+
+def _parts(rows: np.ndarray, columns: np.ndarray) -> list:
+    """Slices of two sorted lists of codes that hold one code."""
+    starts = np.concatenate([[0], np.flatnonzero(rows[1:] != rows[:-1]) + 1, [len(rows)]])
+    codes = rows[starts[:-1]]
+    low, high = (np.searchsorted(columns, codes, side) for side in ("left", "right"))
+    return [(slice(*r), slice(*c)) for *r, c in zip(starts[:-1], starts[1:], zip(low, high)) if c[0] < c[1]]
+
+
+def _by_code(own: dict, other: dict) -> tuple[dict, dict]:
+    """Both blocks sorted by label, with code, the labels in numbers, and at, where a sample was."""
+    codes = pa.concat_arrays([own["label"], other["label"]]).dictionary_encode().indices.to_numpy()
+    both = []
+    for block, code in ((own, codes[:len(own["x"])]), (other, codes[len(own["x"]):])):
+        at = np.argsort(code, kind="stable")
+        numbers = {name: block[name][at] for name in ("x", "p", "z") if name in block}
+        both.append(numbers | {"code": code[at], "at": at})
+    return tuple(both)
 
 
 def _cell_sums(own: dict, other: dict, a: np.ndarray, diagonal: bool) -> tuple:
     """Kernel sums over all and over the own label: of each own sample, and of each other."""
+    own, other = _by_code(own, other)
     of_rows, of_columns = np.zeros((2, len(own["x"]))), np.zeros((2, len(other["x"])))
-    for rows, k, same in _strips(own, other, a, diagonal):
-        for at in range(2):
-            of_rows[at, rows] = k.sum(axis=1)
-            of_columns[at] += k.sum(axis=0)
-            k *= same
-    return of_rows, of_columns
+    ones = np.ones(max(len(own["x"]), len(other["x"])))
+    for rows, k, parts, _ in _strips(own, other, a, diagonal):
+        of_rows[0, rows] = k @ ones[:k.shape[1]]
+        of_columns[0] += ones[:len(k)] @ k
+        same = of_rows[1, rows]
+        for r, c in parts:
+            same[r] += k[r, c].sum(axis=1)
+            of_columns[1, c] += k[r, c].sum(axis=0)
+    back = np.empty_like(of_rows), np.empty_like(of_columns)
+    back[0][:, own["at"]], back[1][:, other["at"]] = of_rows, of_columns
+    return back
 
 
 def _cell_fold(own: dict, other: dict, a: np.ndarray, diagonal: bool) -> np.ndarray:
+    own, other = _by_code(own, other)
     centre = own["x"].mean(axis=0)
     x, y = own["x"] - centre, other["x"] - centre
-    cross, columns = np.zeros((x.shape[1], y.shape[1])), np.zeros(len(y))
-    total = np.zeros_like(cross)
-    of_own, of_other = _inverse(own["z"]), _inverse(other["z"])
-    for rows, k, same in _strips(own, other, a, diagonal):
-        weight = (own["p"][rows, None] - same) * of_own[rows, None]
-        if not diagonal:
-            weight += (other["p"][None, :] - same) * of_other[None, :]
+    cross, of_columns = np.zeros((x.shape[1], y.shape[1])), np.zeros(len(y))
+    of_rows = np.zeros(len(x))
+    ones = np.ones(max(len(x), len(y)))
+    # A kernel weighs p/z - [same] 1/z of its row, and that of its column too.
+    of_own, of_other = _inverse(own["z"]), _inverse(other["z"]) * (not diagonal)
+    all_own, all_other = own["p"] * of_own, other["p"] * of_other
+    for rows, k, parts, weight in _strips(own, other, a, diagonal):
+        np.add(all_own[rows, None], all_other[None, :], out=weight)
+        for r, c in parts:
+            weight[r, c] -= of_own[rows][r, None] + of_other[None, c]
         k *= weight
         cross += x[rows].T @ (k @ y)
-        total += x[rows].T @ (x[rows] * k.sum(axis=1)[:, None])
-        columns += k.sum(axis=0)
-    return total + y.T @ (y * columns[:, None]) - cross - cross.T
+        of_rows[rows] = k @ ones[:k.shape[1]]
+        of_columns += ones[:len(k)] @ k
+    return x.T @ (x * of_rows[:, None]) + y.T @ (y * of_columns[:, None]) - cross - cross.T
 
 
 def _inverse(z: np.ndarray) -> np.ndarray:

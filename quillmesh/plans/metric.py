@@ -74,14 +74,15 @@ def nca_fit_stored(samples: DataFrame, labels: DataFrame, lr: float, epochs: int
         return found, balls, expected_correct(found).first().f
 
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    found = None
     try:
         if holds_model(spark, path):
             epoch = last_epoch(spark, path)
             a = load_model(spark, path, epoch)
         else:
             epoch, a = 0, _start(matrix, d)
-            save_epoch(spark, 0, a, path, success=successes_at(a)[2])
-        found = None
+            found, balls, f = successes_at(a)
+            save_epoch(spark, 0, a, path, success=f)
         while epoch < epochs:
             if found is None:
                 found, balls, _ = successes_at(a)

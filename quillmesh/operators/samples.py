@@ -28,6 +28,8 @@ MAX_BLOCK = 2048
 MIN_BLOCK = 64
 BLOCK_BYTES = 8 << 20
 STRIP = 64  # rows of a block whose kernels are held at once
+SCREEN = 256  # rows of a block whose rounded squares are held at once
+DIFFERENCES = 1 << 20  # numbers in the differences of vectors that are held at once
 KEPT_BLOCKS = 64  # blocks whose sums or nearest a task holds
 ZERO_FROM = -750.0  # exp is exactly 0.0 in doubles up to here
 # numpy has its own exp of doubles for AVX-512; elsewhere it takes the slower one of the C library.
@@ -164,8 +166,9 @@ def _bytes(vectors) -> bytes:
 
 
 def _dealt(own: DataFrame, other: DataFrame, cells: int) -> tuple[DataFrame, DataFrame]:
-    """Both sides by cell, to so many tasks that few have more than one."""
-    return tuple(side.repartition(2 * max(1, cells), "low", "high") for side in (own, other))
+    """Both sides by cell, if partitions allow to so many tasks that few have more than one."""
+    tasks = max(1, min(2 * cells, _tasks(own)))
+    return tuple(side.repartition(tasks, "low", "high") for side in (own, other))
 
 
 def _packed(balls: Balls, samples: DataFrame, blocks: int) -> DataFrame:
@@ -262,6 +265,8 @@ def nearest(samples: DataFrame, matrix, blocks: int, k: int, digits: int = 9) ->
     Distances are rounded; equal ones go by neighbour id. The k nearest of all
     samples are among them. A task keeps the k best of each sample of up to
     KEPT_BLOCKS blocks, so what it sends does not grow with the pairs of blocks.
+    All pairs are compared, in single precision; those that may be among the k
+    nearest by that are worked out in doubles.
     """
     a = samples.sparkSession.sparkContext.broadcast(np.asarray(matrix, dtype=float))
     schema = samples.select(
@@ -271,17 +276,13 @@ def nearest(samples: DataFrame, matrix, blocks: int, k: int, digits: int = 9) ->
     def candidates(batches):
         kept = {}
         for own, other, diagonal in _cells(batches, a.value.shape[1]):
-            d = np.round(np.sqrt(_squares(own["x"], other["x"], a.value)), digits)
-            found = [(own, _nearest_batch(own, other, d, k, diagonal))]
-            if not diagonal:
-                found.append((other, _nearest_batch(other, own, d.T, k, False)))
-            for block, near in found:
-                name = block["id"][0].as_py()  # of no other block
-                kept[name] = _best(kept[name], near, k) if name in kept else near
+            first, second = (kept.setdefault(block["id"][0].as_py(), _Nearest(block, k))  # a name of no other block
+                             for block in (own, other))
+            _compare(first, own["x"] @ a.value.T, second, other["x"] @ a.value.T, digits)
             if len(kept) > KEPT_BLOCKS:
-                yield from kept.values()
+                yield from (block.best() for block in kept.values())
                 kept = {}
-        yield from kept.values()
+        yield from (block.best() for block in kept.values())
 
     return block_cells(samples.select("id", "label", "x"), blocks).mapInArrow(candidates, schema)
 
@@ -325,15 +326,156 @@ def nearest_of(queries: DataFrame, samples: DataFrame, matrix, blocks: int, k: i
                 own, other = (_unpack(batch.column(c)[at].values) for c in ("own", "other"))
                 d = np.round(np.sqrt(_squares(own["x"], other["x"], a.value)), digits)
                 found = _nearest_batch(own, other, d, k, False)
-                kept[name] = _best(kept[name], found, k) if name in kept else found
+                kept[name] = _best([kept[name], found], k) if name in kept else found
         yield from kept.values()
 
     return cells.mapInArrow(best, schema)
 
 
-def _best(old, new, k: int):
-    """Of the candidates of two batches the k nearest to each id; ties to the smaller neighbour."""
-    both = pa.Table.from_batches([old, new]).combine_chunks()
+class _Nearest:
+    """The k nearest found so far to each sample of a block, and bounds for what is yet to come."""
+
+    def __init__(self, block: dict, k: int):
+        self.ids, self.labels, self.k = block["id"], block["label"], k
+        self.distances = np.full((len(self.ids), k), np.inf)
+        self.found, self.held, self.ranked = [], 0, False
+
+    @property
+    def bounds(self) -> np.ndarray:
+        """No neighbour further than this is among the k nearest."""
+        return self.distances[:, -1]
+
+    def add(self, rows: np.ndarray, other: _Nearest, columns: np.ndarray, distance: np.ndarray) -> None:
+        """Samples in these columns of the other block are neighbours of those in these rows."""
+        near = np.flatnonzero(~(distance > self.bounds[rows]))
+        near = near[np.lexsort((distance[near], rows[near]))]
+        rows, columns, distance = rows[near], columns[near], distance[near]
+        if not len(rows):
+            return
+        starts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+        rank = np.arange(len(rows)) - np.repeat(starts, np.diff(np.append(starts, len(rows))))
+        touched, first = rows[starts], rank < self.k
+        new = np.full((len(touched), self.k), np.inf)
+        new[np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(rows))))[first], rank[first]] = distance[first]
+        self.distances[touched] = np.sort(np.concatenate([self.distances[touched], new], axis=1), axis=1)[:, :self.k]
+        near = ~(distance > self.bounds[rows])
+        rows, columns = pa.array(rows[near]), pa.array(columns[near])
+        self.found.append(pa.RecordBatch.from_arrays(
+            [self.ids.take(rows), other.ids.take(columns), other.labels.take(columns), pa.array(distance[near])],
+            names=["id", "neighbour", "label", "distance"]))
+        self.held, self.ranked = self.held + len(rows), False
+        if self.held > 8 * self.k * len(self.ids):
+            self.best()
+
+    def best(self):
+        if not self.ranked:
+            self.found = [_best(self.found, self.k)] if self.found else [_no_neighbours(self.ids, self.labels)]
+            self.held, self.ranked = self.found[0].num_rows, True
+        return self.found[0]
+
+
+def _no_neighbours(ids, labels):
+    none = pa.array([], pa.int64())
+    return pa.RecordBatch.from_arrays([ids.take(none), ids.take(none), labels.take(none), pa.array([], pa.float64())],
+                                      names=["id", "neighbour", "label", "distance"])
+
+
+def _compare(own: _Nearest, x: np.ndarray, other: _Nearest, y: np.ndarray, digits: int) -> None:
+    """Add the pairs of two blocks that may be among the k nearest of either sample.
+
+    Squares of distances in single precision, with room for its rounding, tell which
+    pairs may be; only the distances of those are worked out, from the differences.
+    Where single precision leaves very many, doubles tell, and of samples with the same
+    vector those with the smallest ids are compared.
+    """
+    diagonal = own is other
+    usable = np.isfinite(x).all(axis=1)
+    centre = x[usable].mean(axis=0) if usable.any() else 0.0
+    rounded, room = _squares_of(x - centre, y - centre)
+    slack, pairs = 10.0 ** -digits, max(1, DIFFERENCES // x.shape[1])
+    rows_limit, columns_limit = (_limit(block.bounds, slack, room) for block in (own, other))
+    first_few, new, held = None, bool(np.isinf(other.bounds).any()), []
+    for at in range(0, len(x), SCREEN):
+        rows = slice(at, min(at + SCREEN, len(x)))
+        squares = rounded(rows)
+        if diagonal:
+            squares[np.arange(len(squares)), np.arange(rows.start, rows.stop)] = np.inf
+        _tighten(rows_limit[rows], squares, own.k, slack, room)
+        far = squares > rows_limit[rows, None]
+        if not diagonal:
+            _tighten(columns_limit, squares.T, own.k, slack, room)
+            far &= squares > columns_limit[None, :]
+        if diagonal:
+            far[np.arange(len(far)), np.arange(rows.start, rows.stop)] = True
+        near = np.flatnonzero(~far.ravel())
+        if len(near) > far.size // 8 and len(near) > 1 << 12:
+            if first_few is None:
+                exact, exact_room = _squares_of(x - centre, y - centre, np.float64)
+                first_few = _first_few(x, own.k + 1), _first_few(y, own.k + 1)
+            squares = exact(rows)
+            far |= (squares > _limit(own.bounds[rows], slack, exact_room, np.float64)[:, None]) & (
+                diagonal | (squares > _limit(other.bounds, slack, exact_room, np.float64)[None, :]))
+            needed = first_few[1][None, :] if diagonal else first_few[0][rows, None] | first_few[1][None, :]
+            near = np.flatnonzero(~far.ravel() & np.broadcast_to(needed, far.shape).ravel())
+        for part in np.split(near, range(pairs, len(near), pairs)):
+            i, j = np.divmod(part, len(y))
+            away = x[at + i] - y[j]
+            held.append((at + i, j, np.round(np.sqrt(np.einsum("nd,nd->n", away, away)), digits)))
+            if new or rows.stop == len(x) or sum(len(i) for i, _, _ in held) > pairs:
+                i, j, away = (np.concatenate(c) for c in zip(*held))
+                held = []
+                own.add(i, other, j, away)
+                if not diagonal:
+                    other.add(j, own, i, away)
+        if new and not diagonal:
+            np.minimum(columns_limit, _limit(other.bounds, slack, room), out=columns_limit)
+
+
+def _squares_of(x: np.ndarray, y: np.ndarray, dtype=np.float32) -> tuple:
+    """A function that gives squared distances from some rows of x to all y, and how far they may be off."""
+    of_x, of_y = (x * x).sum(axis=1), (y * y).sum(axis=1)
+    most = (math.sqrt(of_x.max()) + math.sqrt(of_y.max())) ** 2
+    if not most < 1e30:
+        dtype = np.float64
+    left = np.column_stack([-2.0 * x, of_x, np.ones(len(x))]).astype(dtype)
+    right = np.column_stack([y, np.ones(len(y)), of_y]).T.astype(dtype)
+    # A sum of d + 2 products, each of numbers rounded once before.
+    return lambda rows: left[rows] @ right, (x.shape[1] + 8) * float(np.finfo(dtype).eps) * most
+
+
+def _limit(bounds: np.ndarray, slack: float, room: float, dtype=np.float32) -> np.ndarray:
+    """Computed squares above this are of distances above the bounds, even if rounded."""
+    with np.errstate(over="ignore"):
+        return np.nextafter(((bounds + slack) ** 2 * (1 + 1e-9) + room).astype(dtype), dtype(np.inf))
+
+
+def _tighten(limit: np.ndarray, squares: np.ndarray, k: int, slack: float, room: float) -> None:
+    """Limits of rows without bounds, in place: the k-th of the least squares of several sets of columns is no less than the k-th of all."""
+    if len(limit) == 0 or not np.isinf(limit).any():
+        return
+    sets = min(squares.shape[1], max(64, 4 * k))
+    if sets < k:
+        return
+    each = squares.shape[1] // sets
+    least = squares[:, :sets * each].reshape(len(squares), each, sets).min(axis=1)
+    kth = np.maximum(np.partition(least, k - 1, axis=1)[:, k - 1].astype(float) + room, 0.0)
+    np.minimum(limit, _limit(np.sqrt(kth), slack, room), out=limit)
+
+
+def _first_few(x: np.ndarray, few: int) -> np.ndarray:
+    """Whether a sample is one of the first few with its vector."""
+    x = np.ascontiguousarray(x)
+    _, same = np.unique(x.view(np.dtype((np.void, x.dtype.itemsize * x.shape[1]))).ravel(), return_inverse=True)
+    order = np.argsort(same, kind="stable")
+    starts = np.concatenate([[0], np.cumsum(np.bincount(same))])
+    found = np.empty(len(x), dtype=bool)
+    found[order] = np.arange(len(x)) - starts[same[order]] < few
+    return found
+
+
+def _best(batches: list, k: int):
+    """Of the candidates of some batches the k nearest to each id; ties to the smaller neighbour."""
+    both = pa.Table.from_batches(batches).combine_chunks()
     both = both.sort_by([("id", "ascending"), ("distance", "ascending"), ("neighbour", "ascending")])
     codes = both.column("id").combine_chunks().dictionary_encode().indices.to_numpy()
     first = np.concatenate([[True], codes[1:] != codes[:-1]]) if len(codes) else np.zeros(0, dtype=bool)
